@@ -207,3 +207,154 @@ def attach_posts(pairs: DataFrame, posts: DataFrame, id_col: str = "post_id") ->
     a = posts.select(F.col(id_col).alias("post_id_a"), F.struct(*[F.col(c) for c in cols]).alias("post_a"))
     b = posts.select(F.col(id_col).alias("post_id_b"), F.struct(*[F.col(c) for c in cols]).alias("post_b"))
     return pairs.join(a, "post_id_a").join(b, "post_id_b")
+
+
+# ---------------------------------------------------------------------------
+# random pairs per author (short-post corpora)
+# ---------------------------------------------------------------------------
+
+def author_table(posts: DataFrame, users: DataFrame) -> DataFrame:
+    """Per author: split, split_idx, split_n and n_texts."""
+    n = posts.groupBy("author").agg(F.count(F.lit(1)).cast("bigint").alias("n_texts"))
+    return users.join(n, "author")
+
+
+def pairs_random(posts: DataFrame, users: DataFrame | None = None, pos_per_author: int = 2,
+                 neg_per_author: int = 2, seed: int = 42, negatives_from: str = "split") -> DataFrame:
+    """per author ``pos_per_author`` positives (two different texts, drawn
+    independently each time) and ``neg_per_author`` negatives (own text + a
+    text of a uniformly drawn other author).
+
+    ``negatives_from='split'`` draws the other author inside the anchor's split
+    (no text leaks across splits, q3); ``'all'`` draws from every split like
+    the reference.
+    """
+    if users is None:
+        users = split_authors(posts, "author", seed=seed)
+    users = cut_lineage(users)
+    idx = cut_lineage(index_posts(posts.select("author", "post_id")))
+    auth = author_table(idx, users)
+    texts = idx.select("author", "tord", "post_id")
+    # positives ---------------------------------------------------------------
+    pos = auth.filter(F.col("n_texts") >= 2).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(pos_per_author - 1))))
+    i = key(seed, "f5", "pi", F.col("author"), F.col("slot")) % F.col("n_texts")
+    j0 = key(seed, "f5", "pj", F.col("author"), F.col("slot")) % (F.col("n_texts") - 1)
+    pos = pos.withColumn("ia", i).withColumn("jb", j0 + (j0 >= F.col("ia")).cast("bigint"))
+    pos = (pos.join(texts.select("author", F.col("tord").alias("ia"), F.col("post_id").alias("post_id_a")), ["author", "ia"])
+           .join(texts.select("author", F.col("tord").alias("jb"), F.col("post_id").alias("post_id_b")), ["author", "jb"])
+           .select("split", F.lit(True).alias("label"), F.col("author").alias("author_a"), "post_id_a",
+                   F.col("author").alias("author_b"), "post_id_b", F.col("slot").cast("bigint").alias("slot")))
+    # negatives ---------------------------------------------------------------
+    if negatives_from == "split":
+        pool_n, own_idx = F.col("split_n"), F.col("split_idx")
+        other = users.select(F.col("split"), F.col("split_idx").alias("ob"), F.col("author").alias("author_b"))
+        on = ["split", "ob"]
+    elif negatives_from == "all":
+        from quillspark.operators.ranking import dense_ids
+        g = dense_ids(users, ["author"], ["author"], id_col="gidx")
+        total = users.agg(F.count(F.lit(1)).cast("bigint").alias("g_n"))
+        auth = auth.join(g, "author").crossJoin(F.broadcast(total))
+        pool_n, own_idx = F.col("g_n"), F.col("gidx")
+        other = g.select(F.col("gidx").alias("ob"), F.col("author").alias("author_b"))
+        on = ["ob"]
+    else:
+        raise ValueError(negatives_from)
+    neg = auth.filter(pool_n >= 2).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(neg_per_author - 1))))
+    neg = neg.withColumn("ia", key(seed, "f5", "ni", F.col("author"), F.col("slot")) % F.col("n_texts"))
+    b0 = key(seed, "f5", "nb", F.col("author"), F.col("slot")) % (pool_n - 1)
+    neg = neg.withColumn("ob", b0 + (b0 >= own_idx).cast("bigint"))
+    neg = neg.join(other, on)
+    nb = auth.select(F.col("author").alias("author_b"), F.col("n_texts").alias("n_b"))
+    neg = neg.join(nb, "author_b").withColumn("jb", key(seed, "f5", "nj", F.col("author"), F.col("slot")) % F.col("n_b"))
+    neg = (neg.join(texts.select("author", F.col("tord").alias("ia"), F.col("post_id").alias("post_id_a")), ["author", "ia"])
+           .join(texts.select(F.col("author").alias("author_b"), F.col("tord").alias("jb"), F.col("post_id").alias("post_id_b")),
+                 ["author_b", "jb"])
+           .select("split", F.lit(False).alias("label"), F.col("author").alias("author_a"), "post_id_a", "author_b",
+                   "post_id_b", F.col("slot").cast("bigint").alias("slot")))
+    return pos.unionByName(neg)
+
+
+# ---------------------------------------------------------------------------
+# Pairs anchored on every text
+# ---------------------------------------------------------------------------
+
+def _text_frame(df: DataFrame, author_col: str, id_col: str):
+    from quillspark.operators.ranking import dense_ids
+    base = df.select(F.col(author_col).alias("author"), F.col(id_col).alias("text_id"))
+    idx = index_posts(base, "author", "text_id")
+    n = base.groupBy("author").agg(F.count(F.lit(1)).cast("bigint").alias("n_texts"))
+    ids = dense_ids(base, ["author"], ["text_id"], id_col="aidx")
+    A = ids.agg(F.count(F.lit(1)).cast("bigint").alias("A"))
+    authors = cut_lineage(ids.join(n, "author").crossJoin(F.broadcast(A)))
+    return cut_lineage(idx.join(authors, "author")), authors
+
+
+def pairs_per_text(df: DataFrame, author_col: str = "author_id", id_col: str = "text_id", seed: int = 42,
+                   passes: int = 1, mode: str = "both") -> DataFrame:
+    """Pairs anchored on each text.
+
+    * ``mode='both'`` (F9, F11, F13): one positive with a different text of the
+      same author and one negative with a text of a different author; authors
+      with fewer than 2 texts are skipped; ``passes`` > 1 repeats the draw with
+      the pass number in the key (F11, F13).
+    * ``mode='coin'`` (F10): one pair per text, a keyed coin picks same (another
+      text of the author) or different author.
+    Output: (pass, text_id_a, author_a, text_id_b, author_b, label int).
+    """
+    idx, authors = _text_frame(df, author_col, id_col)
+    anchors = idx.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
+    if mode == "both":
+        anchors = anchors.filter(F.col("n_texts") >= 2)
+        pos = anchors.withColumn("label", F.lit(1))
+        neg = anchors.withColumn("label", F.lit(0))
+        rows = pos.unionByName(neg)
+    elif mode == "coin":
+        coin = key(seed, "coin", F.col("pass"), F.col("text_id")) % 2
+        rows = anchors.filter((F.col("n_texts") >= 2) | (coin == 0)).withColumn("label", coin.cast("int"))
+    else:
+        raise ValueError(mode)
+    rows = rows.filter((F.col("label") == 1) | (F.col("A") >= 2))
+    kj = key(seed, "ppt", "same", F.col("pass"), F.col("text_id")) % (F.col("n_texts") - 1)
+    kb = key(seed, "ppt", "other", F.col("pass"), F.col("text_id")) % (F.col("A") - 1)
+    rows = rows.withColumn("jb", F.when(F.col("label") == 1, kj + (kj >= F.col("tord")).cast("bigint")))
+    rows = rows.withColumn("ob", F.when(F.col("label") == 0, kb + (kb >= F.col("aidx")).cast("bigint")))
+    other = authors.select(F.col("aidx").alias("ob"), F.col("author").alias("author_o"), F.col("n_texts").alias("n_o"))
+    rows = rows.join(other, "ob", "left")
+    rows = rows.withColumn("author_b", F.when(F.col("label") == 1, F.col("author")).otherwise(F.col("author_o")))
+    ko = key(seed, "ppt", "otext", F.col("pass"), F.col("text_id")) % F.col("n_o")
+    rows = rows.withColumn("jb", F.when(F.col("label") == 1, F.col("jb")).otherwise(ko))
+    t = idx.select(F.col("author").alias("author_b"), F.col("tord").alias("jb"), F.col("text_id").alias("text_id_b"))
+    out = rows.join(t, ["author_b", "jb"])
+    return out.select(F.col("pass").cast("bigint").alias("pass"), F.col("text_id").alias("text_id_a"),
+                      F.col("author").alias("author_a"), "text_id_b", "author_b", F.col("label").cast("int").alias("label"))
+
+
+def augment_pairs(df: DataFrame, author_col: str = "author_id", id_col: str = "text_id", seed: int = 42) -> DataFrame:
+    """sample per-text pairs twice and keep the distinct ones."""
+    p = pairs_per_text(df, author_col, id_col, seed, passes=2)
+    return p.select("text_id_a", "author_a", "text_id_b", "author_b", "label").distinct()
+
+
+# ---------------------------------------------------------------------------
+# mixing pair sets
+# ---------------------------------------------------------------------------
+
+def mix_pair_sets(sets: dict[str, DataFrame], n_per_label: int | dict[str, int], seed: int = 42) -> DataFrame:
+    """per source set and split, n positives and n negatives (keyed choice),
+    concatenated; user ids stay top-level columns, the ``source`` is kept.
+
+    ``row_number() <= n`` per (source, split, label) lets Spark cut each map
+    task to n rows per group before the shuffle (WindowGroupLimit).
+    """
+    parts = []
+    for name, df in sets.items():
+        n = n_per_label[name] if isinstance(n_per_label, dict) else n_per_label
+        k = key(seed, "mix", name, F.col("split"), F.col("post_id_a"), F.col("post_id_b"), F.col("label"))
+        w = Window.partitionBy("split", "label").orderBy(k, "post_id_a", "post_id_b")
+        part = (df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+                .withColumn("source", F.lit(name)))
+        parts.append(part)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -16,17 +16,7 @@ from quillspark.operators import clean, pairs
 from quillspark.plans import sql_twins as Q
 from quillspark.sources import views
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+from quillspark.plans.registry import QUERIES, SQL, register  # noqa: F401
 
 
 def forum_posts(spark: SparkSession, sf_dir: str, fine: bool = True) -> DataFrame:
@@ -52,3 +42,7 @@ def q_pairs_cross_domain(spark, sf_dir):
     FROM ({Q.pairs_by_domain_sql(Q.forum_posts_sql(True), 'in_domain')}) x GROUP BY split, label""")
 def q_pair_counts(spark, sf_dir):
     return q_pairs_in_domain(spark, sf_dir).groupBy("split", "label").agg(F.count(F.lit(1)).cast("bigint").alias("n_pairs"))
+
+
+# Area modules register themselves on import.
+from quillspark.plans import q_text, q_corpus  # noqa: E402,F401

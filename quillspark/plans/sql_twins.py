@@ -74,3 +74,79 @@ def pairs_by_domain_sql(posts_rel: str, mode: str = "in_domain", attempts: int =
     UNION ALL
     SELECT split, false AS label, ua AS author_a, pa AS post_id_a, ub AS author_b, pb AS post_id_b,
            CAST(slot AS BIGINT) AS slot, anchor FROM neg"""
+
+
+def pairs_random_sql(posts_rel: str, seed: int = 42, p: int = 2, q: int = 2) -> str:
+    """Twin of ``pairs.pairs_random`` (negatives inside the split)."""
+    kpi = key_sql(seed, "f5", "pi", "@pd.author", "@pd.slot")
+    kpj = key_sql(seed, "f5", "pj", "@pd.author", "@pd.slot")
+    kni = key_sql(seed, "f5", "ni", "@nd.author", "@nd.slot")
+    knb = key_sql(seed, "f5", "nb", "@nd.author", "@nd.slot")
+    knj = key_sql(seed, "f5", "nj", "@nd3.author", "@nd3.slot")
+    return f"""
+    WITH p AS ({posts_rel}),
+    users AS ({split_authors_sql('SELECT author FROM p', 'author', seed)}),
+    ix AS (SELECT author, post_id, row_number() OVER (PARTITION BY author ORDER BY post_id) - 1 AS tord FROM p),
+    au AS (SELECT u.*, n.n_texts FROM users u JOIN (SELECT author, count(*) AS n_texts FROM p GROUP BY author) n ON u.author = n.author),
+    pd AS (SELECT au.*, s.slot FROM au CROSS JOIN range(0, {p}) s(slot) WHERE n_texts >= 2),
+    pd2 AS (SELECT pd.*, {kpi} % n_texts AS ia, {kpj} % (n_texts - 1) AS j0 FROM pd),
+    pos AS (SELECT pd2.split, true AS label, pd2.author AS author_a, a.post_id AS post_id_a, pd2.author AS author_b,
+                   b.post_id AS post_id_b, CAST(pd2.slot AS BIGINT) AS slot
+            FROM pd2 JOIN ix a ON a.author = pd2.author AND a.tord = pd2.ia
+            JOIN ix b ON b.author = pd2.author AND b.tord = pd2.j0 + CASE WHEN pd2.j0 >= pd2.ia THEN 1 ELSE 0 END),
+    nd AS (SELECT au.*, s.slot FROM au CROSS JOIN range(0, {q}) s(slot) WHERE split_n >= 2),
+    nd2 AS (SELECT nd.*, {kni} % n_texts AS ia, {knb} % (split_n - 1) AS b0 FROM nd),
+    nd3 AS (SELECT nd2.*, o.author AS author_b, o.n_texts AS n_b FROM nd2 JOIN au o ON o.split = nd2.split
+            AND o.split_idx = nd2.b0 + CASE WHEN nd2.b0 >= nd2.split_idx THEN 1 ELSE 0 END),
+    neg AS (SELECT nd3.split, false AS label, nd3.author AS author_a, a.post_id AS post_id_a, nd3.author_b,
+                   b.post_id AS post_id_b, CAST(nd3.slot AS BIGINT) AS slot
+            FROM nd3 JOIN ix a ON a.author = nd3.author AND a.tord = nd3.ia
+            JOIN ix b ON b.author = nd3.author_b AND b.tord = {knj} % nd3.n_b)
+    SELECT * FROM pos UNION ALL SELECT * FROM neg"""
+
+
+def pairs_per_text_sql(aa_rel: str, passes: int = 1, mode: str = "both", seed: int = 42) -> str:
+    """Twin of ``pairs.pairs_per_text``."""
+    kcoin = key_sql(seed, "coin", "@pass", "@text_id")
+    kj = key_sql(seed, "ppt", "same", "@pass", "@text_id")
+    kb = key_sql(seed, "ppt", "other", "@pass", "@text_id")
+    ko = key_sql(seed, "ppt", "otext", "@pass", "@text_id")
+    if mode == "both":
+        rows = "SELECT t.*, 1 AS label FROM t WHERE n_texts >= 2 UNION ALL SELECT t.*, 0 AS label FROM t WHERE n_texts >= 2"
+    else:
+        rows = f"SELECT t.*, CAST({kcoin} % 2 AS INTEGER) AS label FROM t WHERE n_texts >= 2 OR {kcoin} % 2 = 0"
+    return f"""
+    WITH a AS (SELECT author_id AS author, text_id FROM ({aa_rel}) r),
+    ix AS (SELECT author, text_id, row_number() OVER (PARTITION BY author ORDER BY text_id) - 1 AS tord FROM a),
+    au AS (SELECT author, row_number() OVER (ORDER BY min(text_id), author) - 1 AS aidx, count(*) AS n_texts FROM a GROUP BY author),
+    na AS (SELECT count(*) AS A FROM au),
+    t AS (SELECT ix.*, au.aidx, au.n_texts, na.A, ps.pass FROM ix JOIN au ON ix.author = au.author CROSS JOIN na
+          CROSS JOIN range(0, {passes}) ps(pass)),
+    rw AS ({rows}),
+    r2 AS (SELECT * FROM rw WHERE label = 1 OR A >= 2),
+    r3 AS (SELECT *, CASE WHEN label = 1 THEN {kj} % (n_texts - 1) END AS kj,
+                     CASE WHEN label = 0 THEN {kb} % (A - 1) END AS kb FROM r2),
+    r4 AS (SELECT *, CASE WHEN label = 1 THEN kj + CASE WHEN kj >= tord THEN 1 ELSE 0 END END AS jb,
+                     CASE WHEN label = 0 THEN kb + CASE WHEN kb >= aidx THEN 1 ELSE 0 END END AS ob FROM r3),
+    r5 AS (SELECT r4.*, CASE WHEN r4.label = 1 THEN r4.author ELSE o.author END AS author_b, o.n_texts AS n_o
+           FROM r4 LEFT JOIN au o ON o.aidx = r4.ob),
+    r6 AS (SELECT *, CASE WHEN label = 1 THEN jb ELSE {ko} % n_o END AS jb2 FROM r5)
+    SELECT CAST(r6.pass AS BIGINT) AS pass, r6.text_id AS text_id_a, r6.author AS author_a, x.text_id AS text_id_b,
+           r6.author_b, CAST(r6.label AS INTEGER) AS label
+    FROM r6 JOIN ix x ON x.author = r6.author_b AND x.tord = r6.jb2"""
+
+
+def check_corpus_sql(strat_rel: str) -> str:
+    """Twin of ``checks.check_corpus`` over a stratified split with train-learnt dense labels."""
+    return f"""
+    WITH s AS ({strat_rel}),
+    ids AS (SELECT author, row_number() OVER (ORDER BY min(post_id), author) - 1 AS author_id FROM s WHERE split = 'train' GROUP BY author),
+    x AS (SELECT s.*, ids.author_id FROM s LEFT JOIN ids ON s.author = ids.author),
+    na AS (SELECT count(DISTINCT author_id) AS A FROM x WHERE split = 'train')
+    SELECT 'labels_dense' AS "check", CAST(count_if(author_id IS NULL OR author_id < 0 OR author_id >= na.A) AS BIGINT) AS n_bad
+      FROM x, na WHERE split = 'train' GROUP BY na.A
+    UNION ALL
+    SELECT 'eval_labels_in_train', CAST(count(*) AS BIGINT) FROM x WHERE split <> 'train'
+      AND (author_id IS NULL OR author_id NOT IN (SELECT author_id FROM x WHERE split = 'train' AND author_id IS NOT NULL))
+    UNION ALL
+    SELECT 'text_in_two_splits', CAST(count_if(ns > 1) AS BIGINT) FROM (SELECT text, count(DISTINCT split) AS ns FROM x GROUP BY text) t"""
