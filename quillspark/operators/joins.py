@@ -63,3 +63,17 @@ def overlapping_keys(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFra
 def missing_keys(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keys of ``a`` not in ``b`` (e.g. test labels never seen in train)."""
     return a.select(*cols).distinct().join(b.select(*cols).distinct(), list(cols), "left_anti")
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a per-group side table whose size is only known at run time.
+
+    The side table is written once (checkpoint) and counted; it is broadcast
+    only if it has at most ``max_rows`` rows, otherwise a shuffle join is
+    planned (AQE then splits skewed partitions).
+    """
+    from quillspark.session import cut_lineage
+    small = cut_lineage(small)
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

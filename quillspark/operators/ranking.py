@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.session import cut_lineage
+
 _PID = "__qs_pid"
 _MID = "__qs_mid"
 
@@ -31,7 +33,10 @@ def global_rank(df: DataFrame, order: Sequence, rank_col: str = "rank", num_part
     if num_partitions is None:
         num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(num_partitions, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
+    # Partition ids and row ids are written once (reliable checkpoint): the
+    # counts below and the join read the same rows, even if the range
+    # boundaries would be sampled differently on a recomputation.
+    tagged = cut_lineage(ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id()))
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__qs_n"))
     # one row per partition: a global window here is over num_partitions rows only
     offsets = counts.select(
@@ -78,3 +83,32 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], order: Sequence, id_col: s
     first = df.groupBy(*key_cols).agg(F.min(F.struct(*_cols(order))).alias("__qs_first"))
     ranked = global_rank(first, [F.col("__qs_first"), *[F.col(k) for k in key_cols]], rank_col="__qs_r")
     return ranked.select(*key_cols, (F.col("__qs_r") - 1).alias(id_col))
+
+
+def prefix_sums(df: DataFrame, group: Sequence[str], order: Sequence, values: Sequence[str],
+                prefix: str = "cum_", inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
+    """Running sums of ``values`` inside each group in ``order`` (unique per group).
+
+    Skew-safe: rows are range-partitioned on (group, order), so one large
+    group spans many tasks. Each task sums its own slice (window on
+    (partition, group)); slice totals (one row per partition and group)
+    give the offsets. Adds ``prefix+value`` columns.
+    """
+    group = list(group)
+    order_cols = _cols(order)
+    if num_partitions is None:
+        num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(num_partitions, *_cols(group), *order_cols).withColumn(_PID, F.spark_partition_id())
+    w = Window.partitionBy(_PID, *group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cut_lineage(ranged.select("*", *[F.sum(v).over(w).alias(f"__loc_{v}") for v in values]))
+    tot = local.groupBy(_PID, *group).agg(*[F.sum(v).alias(f"__tot_{v}") for v in values])
+    wo = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(_PID, *group, *[F.coalesce(F.sum(f"__tot_{v}").over(wo), F.lit(0)).alias(f"__off_{v}") for v in values])
+    from quillspark.operators.joins import join_small
+    out = join_small(local, off, [_PID, *group])
+    for v in values:
+        c = F.col(f"__off_{v}") + F.col(f"__loc_{v}")
+        if not inclusive:
+            c = c - F.col(v)
+        out = out.withColumn(prefix + v, c)
+    return out.drop(_PID, *[f"__loc_{v}" for v in values], *[f"__off_{v}" for v in values])
