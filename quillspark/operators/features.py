@@ -257,15 +257,14 @@ def masked_stopwords(tokens, tags, stopwords: Sequence[str]) -> Column:
                       lambda t, g: F.when(F.array_contains(sw, F.lower(t)), t).otherwise(g))
 
 
-def misspelling_rates(tokens_df: DataFrame, word_lists: DataFrame, id_col: str = "text_id",
+def misspelling_rates(tokens_df: DataFrame, word_lists: DataFrame, list_names: Sequence[str], id_col: str = "text_id",
                       tokens_col: str = "tokens") -> DataFrame:
     """H9: share of each text's tokens found in each word list (list, word); a
     text without tokens has rate 0 (q22). Long output (id, list, rate)."""
     n = tokens_df.select(id_col, F.size(tokens_col).alias("__n"))
     toks = tokens_df.select(id_col, F.explode(tokens_col).alias("word"))
     hits = toks.join(word_lists.select("list", "word"), "word").groupBy(id_col, "list").agg(F.count(F.lit(1)).alias("__h"))
-    lists = word_lists.select("list").distinct()
-    grid = n.crossJoin(F.broadcast(lists))
+    grid = n.withColumn("list", F.explode(F.array(*[F.lit(x) for x in list_names])))
     g = grid.join(hits, [id_col, "list"], "left").fillna(0, ["__h"])
     return g.select(id_col, "list", F.when(F.col("__n") == 0, F.lit(0.0)).otherwise(F.col("__h") / F.col("__n")).alias("rate"))
 

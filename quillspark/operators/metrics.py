@@ -210,9 +210,8 @@ def threshold_grid(df: DataFrame, keys: Sequence[str] = ("dataset", "model"), pr
     cells = d.groupBy(*keys, "__b").agg(
         F.count_if(y).cast("bigint").alias("pos"), F.count_if(~y).cast("bigint").alias("neg"),
         F.count_if(y & eq).cast("bigint").alias("eq_pos"), F.count_if(~y & eq).cast("bigint").alias("eq_neg"))
-    spark = df.sparkSession
-    g = spark.range(points).select(F.col("id").cast("int").alias("__b"))
-    full = mm.crossJoin(F.broadcast(g)).join(cells, [*keys, "__b"], "left").fillna(0, ["pos", "neg", "eq_pos", "eq_neg"])
+    grid_rows = mm.withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    full = grid_rows.join(cells, [*keys, "__b"], "left").fillna(0, ["pos", "neg", "eq_pos", "eq_neg"])
     w = Window.partitionBy(*keys).orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     full = full.withColumn("ge_pos", F.sum("pos").over(w)).withColumn("ge_neg", F.sum("neg").over(w))
     P, n = F.col("__P"), F.col("__n")
