@@ -358,3 +358,43 @@ def mix_pair_sets(sets: dict[str, DataFrame], n_per_label: int | dict[str, int],
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def triplet_rows(df: DataFrame, author_col: str = "author_id", id_col: str = "text_id") -> DataFrame:
+    """(author, text) rows for triplet training, clustered by author so a
+    batch reader sees an author's texts together (no own sampling logic)."""
+    return df.repartition(author_col).sortWithinPartitions(author_col, id_col)
+
+
+def sample_episodes(df: DataFrame, n_way: int, k_shot: int, episodes: int, author_col: str = "author_id",
+                    id_col: str = "text_id", seed: int = 42) -> DataFrame:
+    """``episodes`` n-way k-shot episodes. Each episode draws n distinct
+    authors (among authors with >= 2k texts) and 2k distinct texts of each:
+    the first k adapt, the next k evaluate; labels 0..n-1 in draw order.
+
+    Draws without replacement use the shift rule: the m-th draw is uniform in
+    [0, N - m) and is moved past every earlier pick <= it (in ascending
+    order), so no group is enumerated."""
+    from quillspark.operators.ranking import dense_ids
+
+    def distinct_draws(n_pool, m, key_fn):
+        def step(acc, i):
+            raw = key_fn(i) % (n_pool - i)
+            shifted = F.aggregate(F.array_sort(acc), raw, lambda x, c: x + (x >= c).cast("bigint"))
+            return F.concat(acc, F.array(shifted))
+        return F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.lit(m - 1).cast("bigint")), F.array().cast("array<bigint>"), step)
+
+    base = df.select(F.col(author_col).alias("author"), F.col(id_col).alias("text_id"))
+    n = base.groupBy("author").agg(F.count(F.lit(1)).cast("bigint").alias("n_texts")).filter(F.col("n_texts") >= 2 * k_shot)
+    ids = dense_ids(base.join(n, "author", "left_semi"), ["author"], ["text_id"], id_col="aidx")
+    A = ids.agg(F.count(F.lit(1)).cast("bigint").alias("A"))
+    ep = df.sparkSession.range(episodes).select(F.col("id").alias("episode")).crossJoin(F.broadcast(A)).filter(F.col("A") >= n_way)
+    picks = ep.select("episode", F.posexplode(distinct_draws(F.col("A"), n_way, lambda i: key(seed, "ep", F.col("episode"), i))).alias("label", "aidx"))
+    picks = picks.join(ids, "aidx").join(n, "author")
+    tx = picks.select("episode", "label", "author", F.posexplode(distinct_draws(
+        F.col("n_texts"), 2 * k_shot, lambda i: key(seed, "shot", F.col("episode"), F.col("author"), i))).alias("slot", "tord"))
+    idx = index_posts(base, "author", "text_id")
+    out = tx.join(idx.select("author", "tord", "text_id"), ["author", "tord"])
+    return out.select(F.col("episode").cast("bigint").alias("episode"), F.col("label").cast("int").alias("label"),
+                      F.col("author").alias(author_col), F.col("text_id").alias(id_col),
+                      F.when(F.col("slot") < k_shot, "adapt").otherwise("evaluate").alias("role"))
