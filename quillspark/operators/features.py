@@ -173,16 +173,21 @@ def char_wb_ngrams(text, n_min: int = 1, n_max: int = 3, lowercase: bool = True)
 
 
 def char_ngrams(text, n_min: int = 1, n_max: int = 3, lowercase: bool = True) -> Column:
-    """Plain character n-grams over the whole text."""
+    """Plain character n-grams over the whole text.
+
+    The text is split into code points once and grams are array slices:
+    substring offsets on UTF-8 strings would rescan the text per gram."""
     s = F.col(text) if isinstance(text, str) else text
     if lowercase:
         s = F.lower(s)
-    def body(ss):
-        L = F.length(ss)
+
+    def body(chars):
+        L = F.size(chars)
         per_n = F.transform(F.sequence(F.lit(n_min), F.lit(n_max)), lambda n: F.when(
-            n <= L, F.transform(F.sequence(F.lit(0), L - n), lambda o: F.substring(ss, o + 1, n))).otherwise(F.array().cast("array<string>")))
+            n <= L, F.transform(F.sequence(F.lit(0), L - n), lambda o: F.array_join(F.slice(chars, o + 1, n), "")))
+            .otherwise(F.array().cast("array<string>")))
         return F.flatten(per_n)
-    return let(F.coalesce(s, F.lit("")), body)
+    return let(F.regexp_extract_all(F.coalesce(s, F.lit("")), F.lit("(?s)."), 0), body)
 
 
 def word_ngrams(tokens, n_min: int = 1, n_max: int = 1, sep: str = " ") -> Column:

@@ -45,4 +45,4 @@ def q_pair_counts(spark, sf_dir):
 
 
 # Area modules register themselves on import.
-from quillspark.plans import q_text, q_corpus, q_metrics, q_features, q_ppm, q_vectors, q_verdicts, q_text2  # noqa: E402,F401
+from quillspark.plans import q_text, q_corpus, q_metrics, q_features, q_ppm, q_vectors, q_verdicts, q_text2, q_models  # noqa: E402,F401
