@@ -58,7 +58,7 @@ def _q(s: str) -> str:
 # G1 -----------------------------------------------------------------------
 def word_count(t) -> Column:
     """Words = runs of non-whitespace (Python ``len(s.split())``); NULL -> 0."""
-    return F.coalesce(F.size(F.regexp_extract_all(_c(t), _lit(WORD_RE), 0)), F.lit(0)).cast("bigint")
+    return F.coalesce(F.regexp_count(_c(t), _lit(WORD_RE)), F.lit(0)).cast("bigint")
 
 
 def word_count_sql(t: str) -> str:

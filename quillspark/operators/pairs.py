@@ -173,6 +173,9 @@ def pairs_by_domain(posts: DataFrame, users: DataFrame | None = None, mode: str
     ``posts``: author, post_id, domain. ``users``: output of ``split_authors``
     (computed here when missing). Returns id-only pair rows.
     """
+    # The id columns are all the pair logic needs: write them once, so the
+    # scan and the upstream filters are not re-run by every branch below.
+    posts = cut_lineage(posts.select("author", "post_id", "domain"))
     if users is None:
         users = split_authors(posts, "author", seed=seed)
     # Both id tables are read by several branches below: write them once
@@ -229,10 +232,11 @@ def pairs_random(posts: DataFrame, users: DataFrame | None = None, pos_per_autho
     (no text leaks across splits, q3); ``'all'`` draws from every split like
     the reference.
     """
+    posts = cut_lineage(posts.select("author", "post_id"))
     if users is None:
         users = split_authors(posts, "author", seed=seed)
     users = cut_lineage(users)
-    idx = cut_lineage(index_posts(posts.select("author", "post_id")))
+    idx = cut_lineage(index_posts(posts))
     auth = author_table(idx, users)
     texts = idx.select("author", "tord", "post_id")
     # positives ---------------------------------------------------------------
@@ -280,7 +284,7 @@ def pairs_random(posts: DataFrame, users: DataFrame | None = None, pos_per_autho
 
 def _text_frame(df: DataFrame, author_col: str, id_col: str):
     from quillspark.operators.ranking import dense_ids
-    base = df.select(F.col(author_col).alias("author"), F.col(id_col).alias("text_id"))
+    base = cut_lineage(df.select(F.col(author_col).alias("author"), F.col(id_col).alias("text_id")))
     idx = index_posts(base, "author", "text_id")
     n = base.groupBy("author").agg(F.count(F.lit(1)).cast("bigint").alias("n_texts"))
     ids = dense_ids(base, ["author"], ["text_id"], id_col="aidx")

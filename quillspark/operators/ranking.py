@@ -67,8 +67,11 @@ def ordinal_in_group(df: DataFrame, group: Sequence[str], order: Sequence, col:
         return df.withColumn(col, (F.row_number().over(w) - 1).cast("bigint"))
     ranked = global_rank(df, [*_cols(group), *order_cols], rank_col="__qs_r")
     first = ranked.groupBy(*group).agg(F.min("__qs_r").alias("__qs_first"))
+    # one row per group: broadcast when small (the range partitioning of
+    # ``ranked`` then survives, so a hot group stays spread over many tasks)
+    from quillspark.operators.joins import join_small
     return (
-        ranked.join(first, group)
+        join_small(ranked, first, group)
         .withColumn(col, (F.col("__qs_r") - F.col("__qs_first")).cast("bigint"))
         .drop("__qs_r", "__qs_first")
     )

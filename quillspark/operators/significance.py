@@ -19,23 +19,48 @@ N_BOOTSTRAPS = 10_000
 SEED = 42
 
 
-def dataset_rows(scores: DataFrame, dataset_col: str = "dataset", pair_col: str = "pair_id") -> DataFrame:
-    """Distinct pairs per dataset with their ordinal 0..n-1 and n."""
-    rows = scores.select(dataset_col, pair_col).distinct()
-    o = ordinal_in_group(rows, [dataset_col], [pair_col], col="ord")
-    n = rows.groupBy(dataset_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    return o.join(n, dataset_col)
+def pair_patterns(scores: DataFrame, dataset_col: str = "dataset", model_col: str = "model", pair_col: str = "pair_id",
+                  label_col: str = "label", pred_col: str = "pred") -> DataFrame:
+    """One row per (dataset, pair): the label and the predictions of every model
+    packed into a pattern key 'label|model=pred,...' (models in name order)."""
+    per = scores.groupBy(dataset_col, pair_col).agg(
+        F.first(label_col).alias("label"), F.sort_array(F.collect_list(F.struct(F.col(model_col).alias("m"), F.col(pred_col).alias("p")))).alias("preds"))
+    key_s = F.concat_ws("|", F.col("label").cast("string"),
+                        F.array_join(F.transform("preds", lambda x: F.concat(x["m"], F.lit("="), x["p"].cast("string"))), ","))
+    return per.withColumn("pattern", key_s)
 
 
 def bootstrap_weights(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED,
-                      dataset_col: str = "dataset", pair_col: str = "pair_id") -> DataFrame:
-    """M1: n draws with replacement per (dataset, replicate), as weights
-    (dataset, replicate, ord, w) -- rows never drawn are absent."""
-    rows = dataset_rows(scores, dataset_col, pair_col)
-    draws = rows.select(dataset_col, "n", F.col("ord").alias("slot"),
-                        F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    draws = draws.withColumn("ord", key(seed, "boot", F.col(dataset_col), F.col("replicate"), F.col("slot")) % F.col("n"))
-    return draws.groupBy(dataset_col, "replicate", "ord").agg(F.count(F.lit(1)).cast("bigint").alias("w"))
+                      dataset_col: str = "dataset", pair_col: str = "pair_id", model_col: str = "model",
+                      label_col: str = "label", pred_col: str = "pred") -> DataFrame:
+    """M1: n draws with replacement per (dataset, replicate), reduced to weights
+    per *pattern* (label and all models' predictions): (dataset, replicate, pattern, w).
+
+    Rows are ordered by (pattern, pair_id); draw d of a replicate picks row
+    ``key(seed, dataset, replicate, d) % n``, which falls in its pattern's
+    range -- a lookup in a table of at most (distinct patterns) rows per
+    dataset. Metrics only depend on how often each pattern is drawn, so the
+    shuffle carries (dataset, replicate, pattern) counts, not draws."""
+    from quillspark.operators.joins import join_small
+    from pyspark.sql import Window
+    pp = pair_patterns(scores, dataset_col, model_col, pair_col, label_col, pred_col)
+    slots = ordinal_in_group(pp.select(dataset_col, pair_col), [dataset_col], [pair_col], col="slot")
+    pat = pp.groupBy(dataset_col, "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("n_p"))
+    w = Window.partitionBy(dataset_col).orderBy("pattern")
+    pat = (pat.withColumn("start", F.coalesce(F.sum("n_p").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+           .withColumn("n", F.sum("n_p").over(Window.partitionBy(dataset_col))))
+    n = pat.select(dataset_col, "n").distinct()
+    # spread the slots before exploding them into replicates: one dataset
+    # may hold most rows, and its draws must not stay in one task
+    nparts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = slots.repartition(nparts, dataset_col, "slot")
+    draws = join_small(slots, n, dataset_col).select(
+        dataset_col, "n", "slot", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+    draws = draws.withColumn("idx", key(seed, "boot", F.col(dataset_col), F.col("replicate"), F.col("slot")) % F.col("n"))
+    ranges = pat.select(dataset_col, "pattern", "start", F.col("n_p"))
+    hit = join_small(draws, ranges, (draws[dataset_col] == ranges[dataset_col]) & (draws["idx"] >= ranges["start"])
+                     & (draws["idx"] < ranges["start"] + ranges["n_p"]))
+    return hit.groupBy(draws[dataset_col], "replicate", "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("w"))
 
 
 def bootstrap_metrics(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED,
@@ -43,14 +68,16 @@ def bootstrap_metrics(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: i
                       label_col: str = "label", pred_col: str = "pred") -> DataFrame:
     """M2: F1 and accuracy of every resample and model:
     (dataset, model, replicate, f1, accuracy)."""
-    rows = dataset_rows(scores, dataset_col, pair_col).select(dataset_col, pair_col, "ord")
-    preds = scores.join(rows, [dataset_col, pair_col]).select(dataset_col, model_col, "ord", label_col, pred_col)
-    w = bootstrap_weights(scores, replicates, seed, dataset_col, pair_col)
-    j = w.join(preds, [dataset_col, "ord"])
-    y, p, wt = F.col(label_col) == 1, F.col(pred_col) == 1, F.col("w")
+    from quillspark.operators.joins import join_small
+    pp = pair_patterns(scores, dataset_col, model_col, pair_col, label_col, pred_col)
+    per_model = pp.select(dataset_col, "pattern", "label", F.explode("preds").alias("x")).select(
+        dataset_col, "pattern", "label", F.col("x.m").alias(model_col), F.col("x.p").alias(pred_col)).distinct()
+    w = bootstrap_weights(scores, replicates, seed, dataset_col, pair_col, model_col, label_col, pred_col)
+    j = join_small(w, per_model, [dataset_col, "pattern"])
+    y, p, wt = F.col("label") == 1, F.col(pred_col) == 1, F.col("w")
     agg = j.groupBy(dataset_col, model_col, "replicate").agg(
         F.sum(F.when(y & p, wt).otherwise(0)).alias("tp"), F.sum(F.when(~y & p, wt).otherwise(0)).alias("fp"),
-        F.sum(F.when(y & ~p, wt).otherwise(0)).alias("fn"), F.sum(F.when(y == p, wt).otherwise(0)).alias("ok"),
+        F.sum(F.when(y & ~p, wt).otherwise(0)).alias("fn"), F.sum(F.when(F.col("label") == F.col(pred_col), wt).otherwise(0)).alias("ok"),
         F.sum(wt).alias("n"))
     den = 2 * F.col("tp") + F.col("fp") + F.col("fn")
     return agg.select(dataset_col, model_col, F.col("replicate").cast("bigint").alias("replicate"),

@@ -20,7 +20,13 @@ from quillspark.plans.registry import QUERIES, SQL, register  # noqa: F401
 
 
 def forum_posts(spark: SparkSession, sf_dir: str, fine: bool = True) -> DataFrame:
-    p = views.posts(spark, sf_dir, fine=fine)
+    """posts -> B3 -> B10, id columns only (texts are joined back by id when needed).
+
+    The per-text counts are computed in one pass and written once, so the
+    length filter and the author-size aggregate read integers instead of
+    re-running the word regex in every branch."""
+    from quillspark.session import cut_lineage
+    p = cut_lineage(views.posts(spark, sf_dir, fine=fine).select("post_id", "author", "domain", "text_length", "url_count"))
     p = clean.filter_length_open(p, "text_length", 25, 1000)
     return clean.filter_author_size(p, "author", 2, 1000)
 

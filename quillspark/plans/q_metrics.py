@@ -186,15 +186,20 @@ def q_similarity_stats(spark, sf_dir):
 
 # ---- bootstrap ------------------------------------------------------------------
 _PRED_SQL = f"SELECT *, CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS pred FROM ({SC}) x"
-_ROWS_SQL = f"""SELECT dataset, pair_id, row_number() OVER (PARTITION BY dataset ORDER BY pair_id) - 1 AS ord,
-    count(*) OVER (PARTITION BY dataset) AS n FROM (SELECT DISTINCT dataset, pair_id FROM ({SC}) y) z"""
-_W_SQL = f"""SELECT dataset, replicate, ord2 AS ord, CAST(count(*) AS BIGINT) AS w FROM (
-    SELECT dataset, r.replicate, {key_sql(S.SEED, 'boot', '@dataset', '@r.replicate', '@ord')} % n AS ord2
-    FROM ({_ROWS_SQL}) rw CROSS JOIN range(0, {B}) r(replicate)) d GROUP BY dataset, replicate, ord2"""
+_PAT_SQL = f"""SELECT dataset, pair_id, first(label) AS label,
+    concat_ws('|', CAST(first(label) AS VARCHAR), string_agg(concat(model, '=', CAST(pred AS VARCHAR)), ',' ORDER BY model)) AS pattern
+    FROM ({_PRED_SQL}) s GROUP BY dataset, pair_id"""
+_ROWS_SQL = f"""SELECT dataset, pair_id, pattern, row_number() OVER (PARTITION BY dataset ORDER BY pattern, pair_id) - 1 AS ord,
+    count(*) OVER (PARTITION BY dataset) AS n FROM ({_PAT_SQL}) z"""
+_W_SQL = f"""SELECT d.dataset, d.replicate, r.pattern, CAST(count(*) AS BIGINT) AS w FROM (
+    SELECT dataset, rp.replicate, {key_sql(S.SEED, 'boot', '@dataset', '@rp.replicate', '@slot')} % n AS ord2
+    FROM (SELECT dataset, n, unnest(generate_series(0, n - 1)) AS slot FROM (SELECT DISTINCT dataset, n FROM ({_ROWS_SQL}) q) q2) rw
+    CROSS JOIN range(0, {B}) rp(replicate)) d JOIN ({_ROWS_SQL}) r ON r.dataset = d.dataset AND r.ord = d.ord2
+    GROUP BY d.dataset, d.replicate, r.pattern"""
 _BOOT_SQL = f"""
-    WITH p AS (SELECT s.dataset, s.model, rw.ord, s.label, s.pred FROM ({_PRED_SQL}) s JOIN ({_ROWS_SQL}) rw
-               ON s.dataset = rw.dataset AND s.pair_id = rw.pair_id),
-    j AS (SELECT w.*, p.model, p.label, p.pred FROM ({_W_SQL}) w JOIN p ON w.dataset = p.dataset AND w.ord = p.ord),
+    WITH p AS (SELECT DISTINCT pt.dataset, pt.pattern, s.model, s.label, s.pred FROM ({_PRED_SQL}) s JOIN ({_PAT_SQL}) pt
+               ON s.dataset = pt.dataset AND s.pair_id = pt.pair_id),
+    j AS (SELECT w.*, p.model, p.label, p.pred FROM ({_W_SQL}) w JOIN p ON w.dataset = p.dataset AND w.pattern = p.pattern),
     a AS (SELECT dataset, model, replicate, sum(CASE WHEN label = 1 AND pred = 1 THEN w ELSE 0 END) AS tp,
                  sum(CASE WHEN label <> 1 AND pred = 1 THEN w ELSE 0 END) AS fp, sum(CASE WHEN label = 1 AND pred <> 1 THEN w ELSE 0 END) AS fn,
                  sum(CASE WHEN label = pred THEN w ELSE 0 END) AS ok, sum(w) AS n FROM j GROUP BY dataset, model, replicate)
@@ -206,12 +211,12 @@ def _pred_scores(spark, sf_dir):
     return _scores(spark, sf_dir).withColumn("pred", M.binarize("prob", 0.5))
 
 
-@register("bootstrap_weights", f"""SELECT dataset, CAST(replicate AS BIGINT) AS replicate, CAST(count(*) AS BIGINT) AS n_drawn,
+@register("bootstrap_weights", f"""SELECT dataset, CAST(replicate AS BIGINT) AS replicate, CAST(count(*) AS BIGINT) AS n_patterns,
     CAST(sum(w) AS BIGINT) AS n_draws, CAST(max(w) AS BIGINT) AS max_w FROM ({_W_SQL}) w GROUP BY dataset, replicate""")
 def q_bootstrap_weights(spark, sf_dir):
-    w = S.bootstrap_weights(_scores(spark, sf_dir))
+    w = S.bootstrap_weights(_pred_scores(spark, sf_dir))
     return w.groupBy("dataset", F.col("replicate").cast("bigint").alias("replicate")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_drawn"), F.sum("w").cast("bigint").alias("n_draws"),
+        F.count(F.lit(1)).cast("bigint").alias("n_patterns"), F.sum("w").cast("bigint").alias("n_draws"),
         F.max("w").cast("bigint").alias("max_w"))
 
 
