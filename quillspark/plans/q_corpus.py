@@ -319,3 +319,27 @@ def q_check_corpus(spark, sf_dir):
     ids = dense_ids(s.filter("split = 'train'"), ["author"], ["post_id"], id_col="author_id")
     s = s.join(ids, "author", "left")
     return checks.check_corpus(s, "split", "author_id", "text")
+
+
+# F7 / F8 / C6 --------------------------------------------------------------------------
+_PROFILE_POSTS_SQL = f"""SELECT u.split, p.author, p.post_id, d.text FROM ({Q.forum_posts_sql(True)}) p
+    JOIN ({splits.split_authors_sql(f"SELECT author FROM ({Q.forum_posts_sql(True)}) q")}) u ON p.author = u.author
+    JOIN documents d ON d.doc_id = p.post_id"""
+
+
+@register("pairs_profile", Q.profile_pairs_sql(_PROFILE_POSTS_SQL))
+def q_pairs_profile(spark, sf_dir):
+    from quillspark.operators import profiles
+    from quillspark.plans.catalog import forum_posts
+    fp = forum_posts(spark, sf_dir)
+    users = splits.split_authors(fp, "author")
+    d = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("post_id"), "text")
+    posts = fp.select("author", "post_id").join(users.select("author", "split"), "author").join(d, "post_id")
+    halves = profiles.profile_split(posts)
+    return profiles.pairs_profile(halves)
+
+
+@register("sample_episodes")
+def q_sample_episodes(spark, sf_dir):
+    """100 episodes of 5-way 2-shot over the AA view (rows-only check)."""
+    return pairs.sample_episodes(aa(spark, sf_dir), 5, 2, 100, "author_id", "text_id")

@@ -150,3 +150,56 @@ def check_corpus_sql(strat_rel: str) -> str:
       AND (author_id IS NULL OR author_id NOT IN (SELECT author_id FROM x WHERE split = 'train' AND author_id IS NOT NULL))
     UNION ALL
     SELECT 'text_in_two_splits', CAST(count_if(ns > 1) AS BIGINT) FROM (SELECT text, count(DISTINCT split) AS ns FROM x GROUP BY text) t"""
+
+
+def profile_pairs_sql(posts_rel: str, seed: int = 42, min_tokens: int = 25, min_ratio: float = 0.3, max_ratio: float = 0.7,
+                      tries: int = 10, buckets: int = 10) -> str:
+    """Twin of ``profiles.profile_split`` + ``profiles.pairs_profile``: candidates
+    are enumerated (positives x halves) and ordered by (len, author, side)."""
+    from quillspark.functions import unit_sql
+    from quillspark.functions import text as T
+    k = key_sql(seed, "prof", "@author", "@post_id")
+    u = unit_sql(seed, "target", "@per.author", "@r.r")
+    kn = key_sql(seed, "profneg", "@c.split", "@c.author")
+    qs = ", ".join(f"({i}, CAST({i / buckets!r} AS DOUBLE))" for i in range(buckets + 1))
+    return f"""
+    WITH p0 AS ({posts_rel}),
+    p AS (SELECT split, author, post_id, text, {T.word_count_sql('text')} AS tok, {k} AS k FROM p0),
+    po AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY k, post_id) - 1 AS o FROM p),
+    pa AS (SELECT *, sum(tok) OVER (PARTITION BY author ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc FROM po),
+    per AS (SELECT split, author, count(*) AS n, sum(tok) AS T FROM pa GROUP BY split, author HAVING count(*) >= 2),
+    tr AS (SELECT per.*, r.r, (CAST({min_ratio!r} AS DOUBLE) + CAST({max_ratio - min_ratio!r} AS DOUBLE) * {u}) * CAST(per.T AS DOUBLE) AS target
+           FROM per CROSS JOIN range(0, {tries}) r(r)),
+    cuts AS (SELECT tr.author, first(pa.o + 1 ORDER BY tr.r, pa.o) AS sp_try FROM tr JOIN pa ON pa.author = tr.author
+             WHERE pa.o < tr.n - 1 AND CAST(pa.acc AS DOUBLE) >= tr.target AND pa.acc >= {min_tokens} AND tr.T - pa.acc >= {min_tokens}
+             GROUP BY tr.author),
+    sp AS (SELECT per.split, per.author, CASE WHEN per.n = 2 THEN 1 ELSE coalesce(cuts.sp_try, per.n // 2) END AS sp
+           FROM per LEFT JOIN cuts ON per.author = cuts.author),
+    halves AS (SELECT pa.split, pa.author, CASE WHEN pa.o < sp.sp THEN 'a' ELSE 'b' END AS side,
+                      CAST(sum(pa.tok) + count(*) - 1 AS BIGINT) AS len
+               FROM pa JOIN sp ON pa.author = sp.author GROUP BY pa.split, pa.author, side),
+    pos AS (SELECT a.split, a.author, a.len AS len_a, b.len AS len_b,
+                   abs(CAST(a.len AS DOUBLE) - CAST(b.len AS DOUBLE)) / CAST(a.len + b.len AS DOUBLE) AS diff
+            FROM halves a JOIN halves b ON a.author = b.author AND a.side = 'a' AND b.side = 'b'),
+    ranked AS (SELECT split, diff, row_number() OVER (PARTITION BY split ORDER BY diff) - 1 AS o, count(*) OVER (PARTITION BY split) AS n FROM pos),
+    qd AS (SELECT s.split, s.n, q.qi, q.q, q.q * CAST(s.n - 1 AS DOUBLE) AS h FROM (SELECT DISTINCT split, n FROM ranked) s
+           CROSS JOIN (VALUES {qs}) q(qi, q)),
+    qv AS (SELECT qd.split, qd.qi, CASE WHEN qd.h - floor(qd.h) >= 0.5 THEN hi.diff - (hi.diff - lo.diff) * (CAST(1 AS DOUBLE) - (qd.h - floor(qd.h)))
+                                  ELSE lo.diff + (hi.diff - lo.diff) * (qd.h - floor(qd.h)) END AS value
+           FROM qd JOIN ranked lo ON lo.split = qd.split AND lo.o = CAST(floor(qd.h) AS BIGINT)
+           JOIN ranked hi ON hi.split = qd.split AND hi.o = CAST(ceil(qd.h) AS BIGINT)),
+    pb AS (SELECT pos.*, least({buckets - 1}, greatest(0, (SELECT count(*) FROM qv WHERE qv.split = pos.split AND qv.value <= pos.diff) - 1)) AS bucket FROM pos),
+    pq AS (SELECT pb.*, l.value AS lo, h.value AS hi FROM pb JOIN qv l ON l.split = pb.split AND l.qi = pb.bucket
+           JOIN qv h ON h.split = pb.split AND h.qi = pb.bucket + 1),
+    cand AS (SELECT pq.split, pq.author, pq.len_a, h.author AS author_b, h.side AS side_b, h.len AS len_b2,
+                    abs(CAST(pq.len_a AS DOUBLE) - CAST(h.len AS DOUBLE)) / CAST(pq.len_a + h.len AS DOUBLE) AS d, pq.lo, pq.hi
+             FROM pq JOIN halves h ON h.split = pq.split AND h.author <> pq.author),
+    cnt AS (SELECT split, author, count_if(d >= lo AND d <= hi) AS C, count(*) AS NO FROM cand GROUP BY split, author),
+    c AS (SELECT cand.*, cnt.C, cnt.NO FROM cand JOIN cnt ON cand.split = cnt.split AND cand.author = cnt.author
+          WHERE (cnt.C > 0 AND cand.d >= cand.lo AND cand.d <= cand.hi) OR cnt.C = 0),
+    c2 AS (SELECT c.*, row_number() OVER (PARTITION BY c.split, c.author ORDER BY c.len_b2, c.author_b, c.side_b) - 1 AS ord,
+                  CASE WHEN c.C > 0 THEN c.C ELSE c.NO END AS pool FROM c),
+    neg AS (SELECT * FROM c2 c WHERE ord = {kn} % pool)
+    SELECT split, true AS label, author AS author_a, 'a' AS side_a, author AS author_b, 'b' AS side_b, len_a, len_b FROM pos
+    UNION ALL
+    SELECT split, false AS label, author AS author_a, 'a' AS side_a, author_b, side_b, len_a, len_b2 AS len_b FROM neg"""
