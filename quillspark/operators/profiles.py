@@ -60,7 +60,8 @@ def profile_split(posts: DataFrame, seed: int = 42, min_tokens: int = MIN_TOKENS
 
 
 def _diff(a: Column, h: Column) -> Column:
-    return F.abs(a.cast("double") - h.cast("double")) / (a + h).cast("double")
+    """|a - h| / (a + h) as the reference computes it; NULL when a + h = 0."""
+    return F.when((a + h) > 0, F.abs(a.cast("double") - h.cast("double")) / (a + h).cast("double"))
 
 
 def exact_quantiles(df: DataFrame, group: str, col: str, qs) -> DataFrame:
@@ -145,7 +146,7 @@ def _length_intervals(pos: DataFrame) -> DataFrame:
 
     def ok(hv: Column) -> Column:
         d = _diff(F.col("len_a"), hv)
-        return (hv >= 0) & ((F.col("len_a") + hv) > 0) & (d >= lo) & (d <= hi)
+        return F.coalesce((hv >= 0) & ((F.col("len_a") + hv) > 0) & (d >= lo) & (d <= hi), F.lit(False))
 
     big = F.lit(1 << 40).cast("bigint")
     # left side: diff decreases in h; L1 = min h with diff <= hi, L2 = max h <= a with diff >= lo
