@@ -37,7 +37,7 @@ def _html_sql(col: str) -> str:
 @register("html_to_text", f"SELECT page_id, md5({_html_sql('html')}) AS h, length({_html_sql('html')}) AS n FROM pages")
 def q_html_to_text(spark, sf_dir):
     p = views.table(spark, sf_dir, "pages").select("page_id", NZ.html_to_text("html").alias("t"))
-    return p.select("page_id", F.md5("t").alias("h"), F.length("t").alias("n"))
+    return p.select("page_id", F.md5("t").alias("h"), F.length("t").cast("bigint").alias("n"))
 
 
 def _norm_sql(col: str) -> str:

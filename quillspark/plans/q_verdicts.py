@@ -75,8 +75,8 @@ def q_truncate_pair_tokens(spark, sf_dir):
 @register("broadcast_single", """SELECT d.doc_id, b.item_id, length(b.text) AS n0, length(d.text) AS n1 FROM documents d,
     (SELECT * FROM benchmark ORDER BY item_id LIMIT 1) b""")
 def q_broadcast_single(spark, sf_dir):
-    b = views.table(spark, sf_dir, "benchmark").orderBy("item_id").limit(1).select("item_id", F.length("text").alias("n0"))
-    d = views.table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n1"))
+    b = views.table(spark, sf_dir, "benchmark").orderBy("item_id").limit(1).select("item_id", F.length("text").cast("bigint").alias("n0"))
+    d = views.table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("bigint").alias("n1"))
     return N.broadcast_single(b, d).select("doc_id", "item_id", "n0", "n1")
 
 
