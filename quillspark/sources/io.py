@@ -265,3 +265,60 @@ def materialize_corpus(aa: DataFrame, path: str, seed: int = 42, shares=(0.6, 0.
     st = stats.summarize_corpus(s.withColumnRenamed("author_id", "author"), "split", "author", "text")
     st.write.mode("errorifexists").json(f"{path}/stats")
     return st
+
+
+def _repair_runs(pdf):
+    """Re-assemble 4-field records from a file's malformed lines, in file order
+    (fields longer than one character are gathered; exactly 4 make a record,
+    more than 4 are dropped and gathering starts over; the gathered list is
+    not cleared after a record, as in the reference)."""
+    import pandas as pd
+    pdf = pdf.sort_values(["block", "mid"])
+    cur, out = [], []
+    for parts in pdf["parts"]:
+        for thing in parts:
+            thing = thing.strip()
+            if len(thing) > 1:
+                cur.append(thing)
+        if len(cur) > 4:
+            cur = []
+            continue
+        if len(cur) == 4:
+            out.append((pdf["file"].iloc[0], int(pdf["block"].iloc[0]), int(pdf["mid"].iloc[0]), *cur))
+    cols = ["file", "block", "mid", "f0", "f1", "f2", "f3"]
+    return pd.DataFrame(out, columns=cols)
+
+
+def read_tweet_tsv(spark: SparkSession, path: str, label_map: DataFrame | None = None) -> DataFrame:
+    """``user_id \\t tweet_id \\t tweet \\t created`` lines; NUL characters
+    removed; records broken over several lines re-assembled per file; rows whose
+    user id is not an integer dropped; exact duplicate tweets dropped (first
+    occurrence in file order kept); users mapped to labels 0.. in first-seen
+    order, or through ``label_map`` (user_id, label) where unmapped users are
+    dropped. Tabs only separate fields (quotes are not interpreted).
+
+    Well-formed lines (the bulk) are parsed in parallel; only malformed lines
+    go through the per-file repair (``applyInPandas``), ordered by the split
+    offset and the row position inside the split."""
+    lines = spark.read.text(path).select(
+        F.split(F.translate("value", "\u0000", ""), "\t").alias("parts"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("mid"))
+    from quillspark.session import cut_lineage
+    lines = cut_lineage(lines)  # fixes the row ids used as file order below
+    good = lines.filter(F.size("parts") == 4).select(
+        "file", "block", "mid", *[F.col("parts")[i].alias(f"f{i}") for i in range(4)])
+    bad = lines.filter(F.size("parts") != 4)
+    fixed = bad.groupBy("file").applyInPandas(
+        _repair_runs, "file string, block long, mid long, f0 string, f1 string, f2 string, f3 string")
+    rec = good.unionByName(fixed).withColumn("user_id", F.expr("try_cast(f0 AS BIGINT)")).filter(F.col("user_id").isNotNull())
+    order = F.struct("file", "block", "mid")
+    first = rec.groupBy(F.xxhash64("f2").alias("__h"), F.col("f2")).agg(F.min(order).alias("__o"))
+    rec = rec.withColumn("__o", order).join(first.select("f2", "__o"), ["f2", "__o"], "left_semi")
+    rec = rec.select("user_id", F.col("f1").alias("tweet_id"), F.col("f2").alias("text"), F.col("f3").alias("created"), "__o")
+    if label_map is None:
+        from quillspark.operators.ranking import dense_ids
+        ids = dense_ids(rec, ["user_id"], ["__o"], id_col="label")
+    else:
+        ids = label_map.select("user_id", "label")
+    return rec.join(ids, "user_id").drop("__o")
