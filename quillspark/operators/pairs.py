@@ -114,17 +114,18 @@ def positive_pairs_by_domain(indexed: DataFrame, mode: str = "in_domain", max_pe
 
 
 def negative_pairs_by_domain(indexed: DataFrame, users: DataFrame, positives: DataFrame, mode: str = "in_domain",
-                             attempts: int = 8, seed: int = 42) -> DataFrame:
+                             attempts: int = 8, seed: int = 42, first_attempt: int = 0) -> DataFrame:
     """F6 negatives: one per positive, from two distinct users of the same split whose
     posts are drawn uniformly among the pairs allowed by the domain rule.
 
-    Each positive gets ``attempts`` keyed user-pair draws; the first draw that
-    has an allowed post pair is used (the reference redraws until one fits).
-    Positives whose attempts all fail are left without a negative; see
-    ``negative_shortfall`` (the reference would loop forever when none exists).
+    Each positive gets ``attempts`` keyed user-pair draws numbered from
+    ``first_attempt``; the first draw that has an allowed post pair is used.
+    ``pairs_by_domain`` repeats rounds for positives left without a negative
+    while their split admits any pair; where none exists the shortfall is
+    reported by ``negative_shortfall`` (the reference would loop forever).
     """
     pos = positives.select("split", F.col("author_a").alias("anchor"), "slot")
-    att = pos.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
+    att = pos.withColumn("t", F.explode(F.sequence(F.lit(first_attempt), F.lit(first_attempt + attempts - 1))))
     u = users.select("split", "split_idx", "split_n", "author")
     n_split = u.select("split", "split_n").distinct()
     att = att.join(F.broadcast(n_split), "split").filter(F.col("split_n") >= 2)
@@ -184,10 +185,40 @@ def pairs_by_domain(posts: DataFrame, users: DataFrame | None = None, mode: str
     indexed = cut_lineage(index_posts(posts.select("author", "post_id", "domain"), domain_col="domain").join(
         users.select("author", "split"), "author"))
     pos = cut_lineage(positive_pairs_by_domain(indexed, mode, max_per_user, seed))
-    neg = negative_pairs_by_domain(indexed, users, pos, mode, attempts, seed)
+    neg = cut_lineage(negative_pairs_by_domain(indexed, users, pos, mode, attempts, seed))
+    # Positives whose attempts all failed get further rounds of keyed attempts
+    # (the reference redraws until one fits) as long as their split has any
+    # allowed pair at all; the first valid attempt number wins, as in round one.
+    feasible = _feasible_splits(indexed, mode)
+    rnd = 1
+    while True:
+        missing = (pos.join(neg.select("split", F.col("anchor").alias("author_a"), "slot"), ["split", "author_a", "slot"], "left_anti")
+                   .join(feasible, "split", "left_semi"))
+        missing = cut_lineage(missing)
+        if missing.isEmpty():
+            break
+        if rnd > MAX_NEGATIVE_ROUNDS:
+            raise RuntimeError("negative sampling did not converge")
+        extra = negative_pairs_by_domain(indexed, users, missing, mode, attempts, seed, first_attempt=rnd * attempts)
+        neg = cut_lineage(neg.unionByName(extra))
+        rnd += 1
     return pos.withColumn("anchor", F.col("author_a")).unionByName(neg)
 
 
+MAX_NEGATIVE_ROUNDS = 10_000
+
+
+def _feasible_splits(indexed: DataFrame, mode: str) -> DataFrame:
+    """Splits in which some pair of different users has an allowed post pair:
+    in-domain needs a domain with two users; cross-domain needs two users and
+    two domains in the split."""
+    if mode == "in_domain":
+        d = indexed.groupBy("split", "domain").agg(F.countDistinct("author").alias("__u")).filter(F.col("__u") >= 2)
+        return d.select("split").distinct()
+    d = indexed.groupBy("split").agg(F.countDistinct("author").alias("__u"), F.countDistinct("domain").alias("__d"))
+    return d.filter((F.col("__u") >= 2) & (F.col("__d") >= 2)).select("split")
+
+
 def pairs_in_domain(posts: DataFrame, users: DataFrame | None = None, **kw) -> DataFrame:
     return pairs_by_domain(posts, users, mode="in_domain", **kw)
 

@@ -99,3 +99,23 @@ def test_global_rank_is_dense_and_ordered(spark):
     for g in range(3):
         vs = sorted((x.v, x.o) for x in o if x.g == g)
         assert [x[1] for x in vs] == list(range(len(vs)))
+
+
+def test_negatives_retry_until_every_positive_is_served(spark):
+    # 8 users, each with two posts in a domain of their own, except u0 and u1 who
+    # share domain X: in-domain negatives exist only between u0 and u1, so most
+    # keyed attempts fail and further rounds are needed.
+    rows, pid = [], 0
+    for u in range(8):
+        dom = "X" if u < 2 else f"D{u}"
+        for _ in range(2):
+            rows.append((f"u{u}", pid, dom))
+            pid += 1
+    posts = spark.createDataFrame(rows, "author string, post_id long, domain string")
+    users = spark.createDataFrame([(f"u{u}", "train", u, 8) for u in range(8)],
+                                  "author string, split string, split_idx long, split_n long")
+    out = pairs.pairs_in_domain(posts, users).collect()
+    pos = [r for r in out if r.label]
+    neg = [r for r in out if not r.label]
+    assert len(pos) == 8 and len(neg) == 8
+    assert all({r.author_a, r.author_b} == {"u0", "u1"} for r in neg)
