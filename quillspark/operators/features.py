@@ -301,3 +301,34 @@ def dependency_ngrams(deps: DataFrame, max_len: int = 4, id_col: str = "text_id"
         out = out.unionByName(nxt)
         level = nxt
     return out.groupBy(id_col, "path").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def prepare_entries(df: DataFrame, text_col: str = "text", tags_col: str | None = None,
+                    chunks_col: str | None = None, out: str = "entry") -> DataFrame:
+    """Text -> struct(preprocessed = G3 masked text, tokens = G10 tokens of
+    it, plus optional tag / chunk arrays given as input columns)."""
+    pre = T.mask_urls(text_col)
+    fields = [pre.alias("preprocessed"), T.tokenize(pre).alias("tokens")]
+    if tags_col is not None:
+        fields.append(F.col(tags_col).alias("pos_tags"))
+    if chunks_col is not None:
+        fields.append(F.col(chunks_col).alias("pos_tag_chunks"))
+    return df.withColumn(out, F.struct(*fields))
+
+
+def prepare_tweet_entries(df: DataFrame, user_col: str = "author", text_col: str = "text", order_col: str = "post_id",
+                          out: str = "entry") -> DataFrame:
+    """H16 (tweets): all tweets of a user, G4-masked, joined by newlines in
+    ``order_col`` order, as one entry per user."""
+    g = df.groupBy(user_col).agg(F.sort_array(F.collect_list(F.struct(F.col(order_col), T.mask_tweet(text_col).alias("t")))).alias("__s"))
+    joined = F.array_join(F.transform("__s", lambda x: x["t"]), "\n")
+    return g.select(user_col, F.struct(joined.alias("preprocessed"), T.tokenize(joined).alias("tokens")).alias(out))
+
+
+def merge_entries(df: DataFrame, author_col: str = "author", entry_col: str = "entry", order_col: str = "text_id") -> DataFrame:
+    """Concatenate an author's entries: preprocessed texts joined by a
+    space, token arrays concatenated, in ``order_col`` order."""
+    g = df.groupBy(author_col).agg(F.sort_array(F.collect_list(F.struct(F.col(order_col), F.col(entry_col)))).alias("__s"))
+    return g.select(author_col, F.struct(
+        F.array_join(F.transform("__s", lambda x: x[entry_col]["preprocessed"]), " ").alias("preprocessed"),
+        F.flatten(F.transform("__s", lambda x: x[entry_col]["tokens"])).alias("tokens")).alias(entry_col))

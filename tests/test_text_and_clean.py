@@ -71,3 +71,13 @@ def test_render_prompt_requires_both_fields():
     import pytest
     with pytest.raises(ValueError):
         T.render_prompt("only {text_a}", "a", "b")
+
+
+def test_prepare_and_merge_entries(spark):
+    from quillspark.operators import features as H
+    df = spark.createDataFrame([("a", 1, "See WWW.X.COM now"), ("a", 2, "Second one")], "author string, text_id long, text string")
+    e = H.prepare_entries(df, "text")
+    first = e.orderBy("text_id").first().entry
+    assert first.preprocessed == "see  URL  now" and first.tokens == ["see", "URL", "now"]
+    m = H.merge_entries(e, "author", "entry", "text_id").first().entry
+    assert m.preprocessed == "see  URL  now second one" and m.tokens == ["see", "URL", "now", "second", "one"]
