@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.functions.keys import key, key_sql
 from quillspark.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,52 @@ def op4(spark, sf_dir):
     from quillspark.llm import sp_codec
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sp_codec.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"], ids=False, decoded=False)
+
+
+# --- operator 10 -----------------------------------------------------------
+# The tables hold one copy of the pages, so the second replica is derived from
+# it: records drawn by key (3 in 100) have a character changed, lose their last
+# five characters, or are lost.
+
+def _merkle_levels() -> str:
+    up = []
+    for k in range(1, 6):
+        for s in "ab":
+            up.append(f"""{s}{k} AS (SELECT node // 64 AS node, sha256(string_agg(hash, '' ORDER BY node)) AS hash
+                FROM {s}{k - 1} GROUP BY node // 64)""")
+    return ",\n".join(up)
+
+
+OP10_SQL = f"""
+WITH r AS (SELECT page_id, {key_sql('op10', 'damage', '@page_id')} % 100 AS d,
+        'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+        || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+        || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
+        || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS a FROM pages),
+c AS (SELECT *, CASE WHEN d = 0 THEN substr(a, 1, CAST(length(a) // 2 AS BIGINT) - 1)
+        || CASE WHEN substr(a, CAST(length(a) // 2 AS BIGINT), 1) = 'x' THEN 'y' ELSE 'x' END || substr(a, CAST(length(a) // 2 AS BIGINT) + 1)
+        WHEN d = 1 THEN substr(a, 1, length(a) - 5) WHEN d = 2 THEN NULL ELSE a END AS b FROM r),
+h AS (SELECT page_id, sha256(a) AS da, CAST(strlen(a) AS BIGINT) AS la, sha256(b) AS db, CAST(strlen(b) AS BIGINT) AS lb FROM c),
+p AS (SELECT *, row_number() OVER w - 1 AS node, CAST(coalesce(sum(la) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS lo
+        FROM h WINDOW w AS (ORDER BY page_id NULLS FIRST, da)),
+a0 AS (SELECT node, sha256(concat_ws(':', lo, la, da)) AS hash FROM p),
+b0 AS (SELECT node, sha256(concat_ws(':', lo, lb, db)) AS hash FROM p WHERE db IS NOT NULL),
+{_merkle_levels()}
+SELECT page_id, CAST(node AS BIGINT) AS ordinal, lo AS record_offset, la AS length,
+    CASE WHEN db IS NULL THEN 'missing' WHEN la <> lb THEN 'resized' ELSE 'changed' END AS status,
+    da AS digest_a, db AS digest_b, (SELECT hash FROM a5) AS root_a, (SELECT hash FROM b5) AS root_b
+FROM p WHERE db IS NULL OR da <> db
+"""
+
+
+@register("op10_merkle_audit", OP10_SQL)
+def op10(spark, sf_dir):
+    from quillspark.llm import merkle
+    record = merkle.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    changed = F.expr("concat(substring(record, 1, length(record) div 2 - 1), "
+                     "if(substring(record, length(record) div 2, 1) = 'x', 'y', 'x'), substring(record, length(record) div 2 + 1))")
+    damage = key("op10", "damage", F.col("page_id")) % 100
+    replica = (F.when(damage == 0, changed).when(damage == 1, F.expr("substring(record, 1, length(record) - 5)"))
+               .when(damage == 2, F.lit(None).cast("string")).otherwise(F.col("record")))
+    pages = table(spark, sf_dir, "pages").select("page_id", record.alias("record"))
+    return merkle.audit_replicas(pages, "page_id", F.col("record"), replica).withColumnRenamed("record_id", "page_id")
