@@ -90,3 +90,11 @@ def op10(spark, sf_dir):
                .when(damage == 2, F.lit(None).cast("string")).otherwise(F.col("record")))
     pages = table(spark, sf_dir, "pages").select("page_id", record.alias("record"))
     return merkle.audit_replicas(pages, "page_id", F.col("record"), replica).withColumnRenamed("record_id", "page_id")
+
+
+@register("op9_quality_rules")
+def op9(spark, sf_dir):
+    from quillspark.llm import ngram_rules
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id")
+    return ngram_rules.apply_rules(docs, good)
