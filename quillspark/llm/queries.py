@@ -98,3 +98,15 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id")
     return ngram_rules.apply_rules(docs, good)
+
+
+def remainder(n: int, col: str = "doc_id"):
+    return F.crc32(F.col(col).cast("string").cast("binary")) % n
+
+
+@register("op5_kernel_quality")
+def op5(spark, sf_dir):
+    from quillspark.llm import kernel_quality
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return kernel_quality.classify(docs, labels, remainder(3) != 1)
