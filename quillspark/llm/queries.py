@@ -110,3 +110,11 @@ def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return kernel_quality.classify(docs, labels, remainder(3) != 1)
+
+
+@register("op3_substring_dedup")
+def op3(spark, sf_dir):
+    from quillspark.llm import gear_dedup
+    report = gear_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["stop"])), ",")
+    return report.select("doc_id", "n_words", "n_chunks", "n_repeat_words", "repeats_across", "n_removed_words", spans.alias("removed"))
