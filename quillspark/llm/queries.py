@@ -118,3 +118,11 @@ def op3(spark, sf_dir):
     report = gear_dedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["stop"])), ",")
     return report.select("doc_id", "n_words", "n_chunks", "n_repeat_words", "repeats_across", "n_removed_words", spans.alias("removed"))
+
+
+@register("op6_byte_cnn_language")
+def op6(spark, sf_dir):
+    from quillspark.llm import byte_cnn
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = byte_cnn.train(docs, remainder(4) != 2)
+    return byte_cnn.predict(docs, net).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
