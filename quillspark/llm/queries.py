@@ -126,3 +126,9 @@ def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = byte_cnn.train(docs, remainder(4) != 2)
     return byte_cnn.predict(docs, net).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op1_prob_minhash")
+def op1(spark, sf_dir):
+    from quillspark.llm import prob_minhash
+    return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
