@@ -10,15 +10,19 @@ register with probability equal to their probability Jaccard similarity
 
     J_P(x, y) = sum over common i of 1 / sum_j max(x_j / x_i, y_j / y_i).
 
-Registers are cut into bands (24 bands of 5: a pair at 0.8 meets with
-probability 0.9999). Pairs that meet are verified with the exact J_P >= 0.8.
+The first half of the registers is cut into bands (24 bands of 5: a pair at 0.8
+meets with probability 0.9999). Pairs that meet are verified with the exact
+J_P >= 0.8.
 
 Equal texts form a class and are compared once, through the smallest id. In a
-bucket all members are verified against the bucket's smallest member; only
-members that are then still in different components are verified among
-themselves, so a bucket of thousands of near copies costs about one check a
-member, and no link between components is lost. Groups are the connected
-components, computed without collecting links.
+bucket all members are verified against the bucket's smallest member. Members
+that are then still in different components are compared among themselves, in
+blocks of a bucket and on sketches (a byte of each register): pairs that agree
+in fewer registers than a pair at 0.8 does with probability 1 - 1e-6 are not
+read again, all others are verified. So a bucket of thousands of near copies
+costs about one check a member, pairs are never listed, only the links that join
+components, and no such link is lost. Groups are the connected components, computed
+without collecting links.
 
 Rows that share an id are one document. Null ids never link: such rows return
 null class and group. Null and empty texts (and texts without words) have no
@@ -44,6 +48,10 @@ from quillspark.session import cut_lineage
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
+REGISTERS = 240
+AGREE = int(REGISTERS * THRESHOLD - 4.75 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+BLOCK = 128
+BLOCK_BYTES, BLOCK_TEXTS = 1 << 20, 256
 BROADCAST_IDS = 500_000  # 4 MB of ids; more are joined by shuffle
 
 
@@ -70,7 +78,7 @@ def weighted_shingles(raw: np.ndarray, offs: np.ndarray, words: int = WORDS) ->
     return g[first], weight[order], owner[first]
 
 
-def signatures(g: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int, m: int = BANDS * ROWS) -> np.ndarray:
+def signatures(g: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int, m: int = REGISTERS) -> np.ndarray:
     """(n, m) hash of the shingle with the earliest arrival in each register (0 for texts without shingles)."""
     early = np.full(n * m, np.inf)
     kept = np.zeros(n * m, np.uint64)
@@ -98,8 +106,8 @@ def signatures(g: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int, m:
 
 
 def band_hashes(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    n, m = sig.shape
-    part = sig.reshape(n, bands, m // bands)
+    n = len(sig)
+    part = sig[:, : bands * ROWS].reshape(n, bands, ROWS)
     h = np.broadcast_to(V.mix(np.arange(1, bands + 1, dtype=np.uint64) * V._GOLD), (n, bands)).copy()
     for k in range(part.shape[2]):
         h = V.mix(h * V._GRAM + part[:, :, k])
@@ -107,9 +115,9 @@ def band_hashes(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def with_bands(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, d1, d2 (digest of the text) and bands (array<long>, empty without shingles)."""
+    """id, d1, d2 (digest of the text), bands (array<long>, empty without shingles) and sketch (a byte a register)."""
     schema = T.StructType([df.schema[id_col], T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-                           T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -120,10 +128,13 @@ def with_bands(df: DataFrame, id_col: str, text: str) -> DataFrame:
                                   np.int64).reshape(-1, 2)
                 g, weight, owner = weighted_shingles(raw, offs)
                 full = np.bincount(owner, minlength=n) > 0
-                bands = band_hashes(signatures(g, weight, owner, n))[full]
+                sig = signatures(g, weight, owner, n)
+                bands = band_hashes(sig)[full]
+                sketch = V.mix(sig).astype(np.uint8).tobytes()
                 at = np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1])),
-                                                  pa.ListArray.from_arrays(pa.array(at), pa.array(bands.ravel()))], names=schema.names)
+                                                  pa.ListArray.from_arrays(pa.array(at), pa.array(bands.ravel())),
+                                                  pa.array([sketch[k: k + REGISTERS] for k in range(0, n * REGISTERS, REGISTERS)], pa.binary())], names=schema.names)
 
     return df.select(id_col, text).mapInArrow(run, schema)
 
@@ -143,74 +154,180 @@ def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return float((1.0 / (sum_x[i] / x[i] + sum_y[i] / y[i])).sum())
 
 
-def pair_similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """J_P of the texts of two columns, row by row."""
-    out = np.zeros(len(left))
-    sides = []
-    for col in (left, right):
-        raw, offs = V.buffer_of(col)
-        sides.append(weighted_shingles(raw, offs))
-    bounds = [np.searchsorted(s[2], np.arange(len(left) + 1)) for s in sides]
-    for k in range(len(left)):
-        (g0, w0), (g1, w1) = ((s[0][b[k]: b[k + 1]], s[1][b[k]: b[k + 1]]) for s, b in zip(sides, bounds))
-        union, place = np.unique(np.concatenate([g0, g1]), return_inverse=True)
-        x, y = np.zeros(len(union), np.int64), np.zeros(len(union), np.int64)
-        x[place[: len(g0)]], y[place[len(g0):]] = w0, w1
-        out[k] = probability_jaccard(x, y)
-    return out
+class Texts:
+    """Sorted shingles and weights of some texts, for exact similarities of pairs of them."""
+
+    def __init__(self, texts: pa.Array):
+        raw, offs = V.buffer_of(texts)
+        g, w, owner = weighted_shingles(raw, offs)
+        order = np.lexsort((g, owner))
+        at = np.searchsorted(owner, np.arange(len(texts) + 1))
+        self.parts = [(g[order[a:b]], w[order[a:b]]) for a, b in zip(at[:-1], at[1:])]
+
+    def similarity(self, i: int, other: Texts, j: int) -> float:
+        (g0, w0), (g1, w1) = self.parts[i], other.parts[j]
+        if not len(g0) or not len(g1):
+            return 0.0
+        place = np.minimum(np.searchsorted(g1, g0), len(g1) - 1)
+        hit = g1[place] == g0
+        if w0.max() == 1 and w1.max() == 1:
+            same = np.count_nonzero(hit)
+            return same / (len(g0) + len(g1) - same)
+        only = np.ones(len(g1), bool)
+        only[place[hit]] = False
+        x = np.concatenate([w0, np.zeros(np.count_nonzero(only), w0.dtype)])
+        y = np.concatenate([np.where(hit, w1[place], 0), w1[only]])
+        return probability_jaccard(x, y)
 
 
 def verified(pairs: DataFrame, df: DataFrame, id_col: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
-    """The (a, b) pairs whose texts have J_P >= threshold."""
+    """The (a, b) pairs whose texts have J_P >= threshold.
+
+    Texts move in blocks: those of one family (component of the pairs) are dealt to blocks of about BLOCK_BYTES and
+    BLOCK_TEXTS, and the pairs between two blocks are checked together, so a text moves once for a pair of blocks.
+    """
     pairs = cut_lineage(pairs)
-    ends = cut_lineage(pairs.select(F.col("a").alias("__n")).union(pairs.select(F.col("b").alias("__n"))).distinct())
+    family = cut_lineage(components(pairs))
+    ends = family.select(F.col("node").alias("__n"), F.col("component").alias("family"))
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
-    texts = df.select(id_col, text).join(ends, F.col(id_col) == F.col("__n")).select("__n", F.col(text).alias("__t")).distinct()
-    both = (pairs.join(texts.select(F.col("__n").alias("a"), F.col("__t").alias("ta")), "a")
-            .join(texts.select(F.col("__n").alias("b"), F.col("__t").alias("tb")), "b"))
+    texts = df.select(F.col(id_col).alias("node"), F.col(text).alias("text")).join(ends, F.col("node") == F.col("__n")).drop("__n")
+    size = texts.groupBy("family").agg(F.greatest(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int").alias("blocks"))
+    size = cut_lineage(size)
+    block = F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int")
+    blocks = (texts.join(size, "family").withColumn("block", block).groupBy("family", "block")
+              .agg(F.collect_set(F.struct("node", "text")).alias("texts")))
+    blocks = cut_lineage(blocks)
+    where = family.join(size, F.col("component") == F.col("family")).select("node", "family", block.alias("block"))
+    listed = (pairs.join(where.select(F.col("node").alias("a"), "family", F.col("block").alias("ba")), "a")
+              .join(where.select(F.col("node").alias("b"), F.col("block").alias("bb")), "b")
+              .groupBy("family", F.least("ba", "bb").alias("i"), F.greatest("ba", "bb").alias("j")).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b")))
+    both = (listed.join(blocks.select("family", F.col("block").alias("i"), F.col("texts").alias("ti")), ["family", "i"])
+            .join(blocks.select("family", F.col("block").alias("j"), F.col("texts").alias("tj")), ["family", "j"]))
 
     def run(batches):
         for batch in batches:
-            size = np.diff(V.buffer_of(batch.column(2))[1]) + np.diff(V.buffer_of(batch.column(3))[1])
-            cut = np.flatnonzero(np.diff(np.concatenate([[-1], np.cumsum(size) // V.SLICE_BYTES])))
-            for lo, hi in zip(cut, [*cut[1:], len(size)]):
-                part = batch.slice(lo, hi - lo)
-                sim = pair_similarities(part.column(2), part.column(3))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sim)], names=["a", "b", "similarity"])
+            for row in range(batch.num_rows):
+                a, b, *sides = (batch.column(k)[row].values for k in range(4))
+                place: dict = {}
+                for side in sides[:1] if batch.column(4)[row].as_py() else sides:
+                    held = Texts(side.field(1))
+                    for k, node in enumerate(side.field(0).to_pylist()):
+                        place.setdefault(node, []).append((held, k))
+                sim = [max(p.similarity(i, q, j) for p, i in place[x] for q, j in place[y]) for x, y in zip(a.to_pylist(), b.to_pylist())]
+                yield pa.RecordBatch.from_arrays([a, b, pa.array(sim, pa.float64())], names=["a", "b", "similarity"])
 
     kind = df.schema[id_col].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, schema).where(F.col("similarity") >= threshold).select("a", "b").distinct()
+    return both.select("a", "b", "ti", "tj", (F.col("i") == F.col("j")).alias("one")).mapInArrow(run, schema).where(F.col("similarity") >= threshold).select("a", "b").distinct()
+
+
+def _block_pairs(rows: DataFrame, payload: list[str], size: str) -> DataFrame:
+    """Pairs of blocks of each bucket of (key, rep, comp, ...) rows that has several components.
+
+    A block holds about BLOCK members and BLOCK_BYTES of ``size``; pairs are joined by (bucket, block, block), so a large
+    bucket spreads over tasks. Columns: key, then arrays rep, comp and ``payload`` of both sides (_i, _j), and one (a block with itself).
+    """
+    many = (rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                    F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(size) / BLOCK_BYTES)).cast("int").alias("blocks"))
+            .where("c0 <> c1").select("key", "blocks"))
+    held = ["rep", "comp", *payload]
+    blocks = cut_lineage(rows.join(many, "key").groupBy("key", "blocks", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block"))
+                         .agg(F.collect_list(F.struct(*held)).alias("m")))
+    side = lambda s: [F.col(f"m.{c}").alias(f"{c}_{s}") for c in held]
+    i = blocks.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *side("i"))
+    j = blocks.select("key", F.col("block").alias("j"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), *side("j"))
+    return i.join(j, ["key", "i", "j"]).select("key", *[f"{c}_{s}" for s in "ij" for c in held], (F.col("i") == F.col("j")).alias("one"))
+
+
+def _agreeing(batch: pa.RecordBatch, row: int, width: int) -> tuple:
+    """(columns of both sides, mask of pairs in different components whose sketches agree in AGREE registers or more)."""
+    cols = [batch.column(1 + k)[row].values for k in range(2 * width)]
+    c0, c1 = (cols[k].to_numpy(zero_copy_only=False) for k in (1, width + 1))
+    m0, m1 = (np.frombuffer(b"".join(cols[k].to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, width + 2))
+    return cols, (np.stack([(m1 == m).sum(axis=1) for m in m0]) >= AGREE) & (c0[:, None] != c1[None])
+
+
+def apart_links(placed: DataFrame, marks: DataFrame, df: DataFrame, id_col: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) that join all components with a verified pair in a common bucket.
+
+    ``placed``: (key, rep, comp); ``marks``: (id, bands, sketch). Sketches first name the members with a pair to check
+    (rows, not pairs, leave the tasks); then only their texts join the blocks. Inside two blocks a pair is checked in its
+    first common band, and not if links found there have already joined it.
+    """
+    kind = placed.schema["rep"].dataType
+    rows = placed.join(marks, F.col("rep") == F.col("id")).withColumn("size", F.lit(REGISTERS))
+
+    def members(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                cols, mask = _agreeing(batch, row, 3)
+                reps = pa.concat_arrays([cols[0].filter(pa.array(mask.any(axis=1))), cols[3].filter(pa.array(mask.any(axis=0)))]).unique()
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[row].as_py()] * len(reps), pa.int64()), reps], names=["key", "rep"])
+
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("rep", kind)])
+    wanted = cut_lineage(_block_pairs(rows, ["sketch"], "size").mapInArrow(members, schema).distinct())
+    nodes = cut_lineage(wanted.select(F.col("rep").alias("__n")).distinct())
+    if nodes.count() <= BROADCAST_IDS:
+        nodes = F.broadcast(nodes)
+    texts = df.select(F.col(id_col).alias("__i"), F.col(text).alias("text")).join(nodes, F.col("__i") == F.col("__n")).select("__i", "text").distinct()
+    full = (placed.join(wanted, ["key", "rep"]).join(marks, F.col("rep") == F.col("id")).join(texts, F.col("rep") == F.col("__i"))
+            .select("key", "rep", "comp", "sketch", "bands", "text", F.octet_length("text").alias("size")))
+
+    def links(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                cols, mask = _agreeing(batch, row, 5)
+                key, one = batch.column(0)[row].as_py(), batch.column(11)[row].as_py()
+                b0, b1 = (c.flatten().to_numpy().reshape(-1, BANDS) for c in (cols[3], cols[8]))
+                x, y = np.nonzero(np.triu(mask) if one else mask)
+                common = b0[x] == b1[y]
+                here = common.argmax(axis=1) == (b0[x] == key).argmax(axis=1)
+                x, y = x[here], y[here]
+                t0 = Texts(cols[4])
+                t1 = t0 if one else Texts(cols[9])
+                c0, c1 = cols[1].to_pylist(), cols[6].to_pylist()
+                up: dict = {}
+
+                def top(c):
+                    while c in up:
+                        c = up[c]
+                    return c
+
+                found = []
+                for p, q in zip(x.tolist(), y.tolist()):
+                    u, v = top(c0[p]), top(c1[q])
+                    if u != v and t0.similarity(p, t1, q) >= threshold:
+                        up[max(u, v)] = min(u, v)
+                        found.append((p, q))
+                at = np.array(found, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([cols[0].take(pa.array(at[:, 0])), cols[5].take(pa.array(at[:, 1]))], names=["a", "b"])
+
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    return _block_pairs(full, ["sketch", "bands", "text"], "size").mapInArrow(links, schema).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """id, class_id (smallest id of equal texts), group_id (smallest id of the group), n_links (verified links of its class),
-    kept (the group's smallest id) for every row."""
+    """id, class_id (smallest id of equal texts), group_id (smallest id of the group) and
+    kept (it is the group's smallest id) for every row."""
     signed = cut_lineage(with_bands(df, id_col, text).withColumnRenamed(id_col, "id"))
-    classes = cut_lineage(signed.where(F.col("id").isNotNull()).groupBy("d1", "d2").agg(F.min(F.struct("id", "bands")).alias("m"))
-                          .select("d1", "d2", F.col("m.id").alias("rep"), F.col("m.bands").alias("bands")))
+    classes = cut_lineage(signed.where(F.col("id").isNotNull()).groupBy("d1", "d2").agg(F.min(F.struct("id", "bands", "sketch")).alias("m"))
+                          .select("d1", "d2", F.col("m.id").alias("rep"), F.col("m.bands").alias("bands"), F.col("m.sketch").alias("sketch")))
     rows = classes.select("rep", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead <> last")
     bucketed = cut_lineage(rows.join(shared.select("key", "lead"), "key"))
-    tried = cut_lineage(bucketed.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
+    tried = bucketed.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     edges = cut_lineage(verified(tried, df, id_col, text, threshold))
     comps = components(edges)
     # members of a bucket that are still apart
     placed = bucketed.join(comps, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-    apart = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-    split = cut_lineage(placed.join(apart, "key"))
-    other = split.select("key", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"))
-    left = (split.join(other, "key").where("comp < comp2").select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    more = cut_lineage(verified(left, df, id_col, text, threshold))
+    marks = classes.select(F.col("rep").alias("id"), "bands", "sketch")
+    more = cut_lineage(apart_links(placed, marks, df, id_col, text, threshold))
     if not more.isEmpty():
-        edges = cut_lineage(edges.union(more).distinct())
-        comps = components(edges)
-    links = (edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links")))
-    grouped = (classes.select("d1", "d2", "rep").join(comps.join(links, "node", "left"), F.col("rep") == F.col("node"), "left")
-               .select("d1", "d2", "rep", F.coalesce("component", "rep").alias("group"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links")))
+        comps = components(edges.union(more))
+    grouped = (classes.select("d1", "d2", "rep").join(comps, F.col("rep") == F.col("node"), "left")
+               .select("d1", "d2", "rep", F.coalesce("component", "rep").alias("group")))
     one = signed.select("id", "d1", "d2").join(grouped, ["d1", "d2"], "left")
     there = F.col("id").isNotNull()
     return one.select(F.col("id").alias(id_col), F.when(there, F.col("rep")).alias("class_id"), F.when(there, F.col("group")).alias("group_id"),
-                      F.when(there, F.col("links")).otherwise(0).alias("n_links"), F.coalesce(F.col("id") == F.col("group"), F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("id") == F.col("group"), F.lit(True)).alias("kept"))
