@@ -132,3 +132,9 @@ def op6(spark, sf_dir):
 def op1(spark, sf_dir):
     from quillspark.llm import prob_minhash
     return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op7_simhash_decontamination")
+def op7(spark, sf_dir):
+    from quillspark.llm import simhash_decon
+    return simhash_decon.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
