@@ -50,7 +50,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = 240
 AGREE = int(REGISTERS * THRESHOLD - 4.75 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
-BLOCK = 128
+BLOCK = 512
 BLOCK_BYTES, BLOCK_TEXTS = 1 << 20, 256
 BROADCAST_IDS = 500_000  # 4 MB of ids; more are joined by shuffle
 
