@@ -138,3 +138,11 @@ def op1(spark, sf_dir):
 def op7(spark, sf_dir):
     from quillspark.llm import simhash_decon
     return simhash_decon.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_boosted_pii")
+def op8(spark, sf_dir):
+    from quillspark.llm import boosted_pii
+    found = boosted_pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = [F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(boosted_pii.KINDS)]
+    return found.select("doc_id", *count, F.sha2(boosted_pii.spans_text("base"), 256).alias("base_sha256"), boosted_pii.spans_text("spans").alias("spans"))
