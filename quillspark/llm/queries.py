@@ -146,3 +146,9 @@ def op8(spark, sf_dir):
     found = boosted_pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = [F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(boosted_pii.KINDS)]
     return found.select("doc_id", *count, F.sha2(boosted_pii.spans_text("base"), 256).alias("base_sha256"), boosted_pii.spans_text("spans").alias("spans"))
+
+
+@register("op2_gru_language_model")
+def op2(spark, sf_dir):
+    from quillspark.llm import gru_lm
+    return gru_lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), remainder(7) != 2)
