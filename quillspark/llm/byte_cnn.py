@@ -165,8 +165,8 @@ def train(df: DataFrame, trains: Column, id_col: str = "doc_id", text: str = "te
     return net
 
 
-def predict(df: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, lang_pred and score for every row."""
+def predict(df: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """``keep`` columns, lang_pred and score for every row. ``with_text``: ``keep`` names the text too (it is sent once)."""
     if net is None:
         return df.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = df.sparkSession.sparkContext.broadcast(net)
@@ -176,7 +176,7 @@ def predict(df: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[
         net = shared.value
         names = np.array([*net.languages, UNKNOWN], object)
         for batch in batches:
-            for lo, hi, raw, offs in V.slices(batch.column(len(keep))):
+            for lo, hi, raw, offs in V.slices(batch.column(place)):
                 n = hi - lo
                 start, size, of = text_windows(raw, offs)
                 total = np.zeros((n, len(net.languages)))
@@ -192,4 +192,5 @@ def predict(df: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[
                     [*(batch.column(k).slice(lo, n) for k in range(len(keep))), pa.array(names[best], pa.string()),
                      pa.array(np.where(known, q.max(axis=1), 0.0))], names=schema.names)
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    place = list(keep).index(text) if with_text else len(keep)
+    return df.select(*keep, *([] if with_text else [text])).mapInArrow(run, schema)
