@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from quillspark.llm import textvec as V
 
 WINDOW = 16
-CUT_BITS = 5
+CUT_BITS = 4
 LEAST, MOST = 24, 512
 MIN_WORDS = 16
 GEAR = (V.mix(np.arange(256, dtype=np.uint64) + np.uint64(7919)) >> np.uint64(32)).astype(np.uint32)
