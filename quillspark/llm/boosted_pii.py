@@ -276,8 +276,8 @@ def find_spans(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """Replaces every span by its kind in brackets; spans that overlap become one, named by the first."""
-    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    """Replaces every span by its kind in brackets; spans that overlap become one, named by the first (the longer of two with one start)."""
+    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("back"), s["kind"].alias("kind"), s["stop"].alias("stop"))))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     t = F.coalesce(F.col(text), F.lit(""))
 
