@@ -33,6 +33,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
 PER_LANGUAGE = 1_500
+SHARES = 16
 EPOCHS = 6
 BATCH = 32
 RATE = 4e-3
@@ -151,6 +152,9 @@ def train(df: DataFrame, trains: Column, id_col: str = "doc_id", text: str = "te
     begin = F.pmod(F.xxhash64(id_col, F.lit("at")), F.greatest(F.length(text) - WINDOW, F.lit(0)) + 1).cast("int") + 1
     rows = (df.where(trains & F.col(lang).isNotNull() & (F.length(text) > 0))
             .select(F.col(lang).alias("lang"), key.alias("k"), F.col(id_col).alias("id"), F.substring(F.col(text), begin, F.lit(WINDOW)).alias("w")))
+    # first within shares of a language, so that the last step sees SHARES * per_language rows of it at most
+    share = Window.partitionBy("lang", F.pmod("k", F.lit(SHARES))).orderBy("k", "id", "w")
+    rows = rows.withColumn("r", F.row_number().over(share)).where(F.col("r") <= per_language)
     first = Window.partitionBy("lang").orderBy("k", "id", "w")
     got = (rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_language)
            .orderBy("lang", "r").select("lang", "w").toPandas())
