@@ -49,7 +49,9 @@ def build_forum_pairs(posts: DataFrame, out: str | None = None, domain_map: Data
 def build_short_post_pairs(tweets: DataFrame, seed: int = 42, languages: Sequence[str] | None = None) -> DataFrame:
     """A6 -> B1 -> G1, G2 -> B4, B5, B6 -> B2 -> B10 (>= 2 texts) -> F1 -> F5.
 
-    ``tweets``: (type, text, user[, lang])."""
+    ``tweets``: (type, text, user[, lang][, post_id]). Without ``post_id`` the id is the 128-bit digest of
+    (author, text), and equal texts of an author are one post (P2), so no pair holds a post twice and ids
+    can be joined back to the texts."""
     t = clean.drop_types(tweets, "type")
     t = t.withColumn("url_count", T.url_count("text"))
     t = clean.drop_url_posts(t)
@@ -57,7 +59,9 @@ def build_short_post_pairs(tweets: DataFrame, seed: int = 42, languages: Sequenc
         t = clean.keep_languages(t, languages, "lang")
     t = clean.drop_bot_users(t.withColumnRenamed("user", "author"), "author")
     t = clean.filter_words_chars(t, "text", 25, 300)
-    t = t.withColumn("post_id", F.xxhash64("author", "text"))
+    if "post_id" not in t.columns:
+        t = t.withColumn("post_id", F.md5(F.to_json(F.struct("author", "text"))))
+    t = t.select("author", "post_id", F.md5("text").alias("__same")).groupBy("author", "__same").agg(F.min("post_id").alias("post_id"))
     t = clean.filter_author_size(t, "author", 2, None)
     return pairs.pairs_random(t.select("author", "post_id"), seed=seed)
 

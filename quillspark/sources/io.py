@@ -69,7 +69,7 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_pan_files(spark: SparkSession, pairs: Sequence[str], truths: Sequence[str]) -> DataFrame:
-    """Concatenate pair sets; the first file's truth wins for a repeated id."""
+    """Concatenate pair sets (every pair row stays); the first file's truth wins for a repeated id."""
     ps = [spark.read.schema("id string, pair array<string>").json(p).withColumn("__src", F.lit(i)) for i, p in enumerate(pairs)]
     ts = [spark.read.schema("id string, authors array<string>").json(t).withColumn("__src", F.lit(i)) for i, t in enumerate(truths)]
     u = ps[0]
@@ -79,8 +79,7 @@ def merge_pan_files(spark: SparkSession, pairs: Sequence[str], truths: Sequence[
     for t in ts[1:]:
         tu = tu.unionByName(t)
     first_truth = tu.groupBy("id").agg(F.min_by("authors", "__src").alias("authors"))
-    first_pair = u.groupBy("id").agg(F.min_by("pair", "__src").alias("pair"))
-    return first_pair.join(first_truth, "id")
+    return u.drop("__src").join(first_truth, "id")
 
 
 def read_tweets(spark: SparkSession, path_glob: str) -> DataFrame:
@@ -103,8 +102,11 @@ def read_author_lines(spark: SparkSession, path: str, num_authors: int | None =
 
     Authors are numbered by their first line (file order via the row's file
     position); with ``num_authors`` only the first N authors are kept."""
-    d = spark.read.schema("author_id string, syms array<string>").json(path)
-    d = d.withColumn("__line", F.monotonically_increasing_id())
+    from quillspark.session import cut_lineage
+    d = spark.read.schema("author_id string, syms array<string>").json(path).select(
+        "*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("mid")).alias("__line"))
+    d = cut_lineage(d)  # fixes the row ids that stand for the place in a split
     firsts = d.groupBy("author_id").agg(F.min("__line").alias("__first"))
     from quillspark.operators.ranking import global_rank
     ranked = global_rank(firsts, ["__first", "author_id"], "__r").select("author_id", (F.col("__r") - 1).alias("author_idx"))
@@ -114,16 +116,19 @@ def read_author_lines(spark: SparkSession, path: str, num_authors: int | None =
     return ex.drop("__line")
 
 
-def read_reviews(spark: SparkSession, path: str, min_chars: int = 50, max_chars: int = 100_000) -> DataFrame:
+def read_reviews(spark: SparkSession, path: str, min_chars: int = 50, max_chars: int | None = None) -> DataFrame:
     """Review JSONL files; text = summary (or '') + ' ' + reviewText; rows
     without reviewText dropped; topic = file name without extension."""
+    # the length rule comes before NUL characters go
     d = spark.read.schema("reviewerID string, summary string, reviewText string").json(path).select(
         "*", F.col("_metadata.file_name").alias("__file"))
     d = d.filter(F.col("reviewText").isNotNull())
     text = F.concat(F.coalesce(F.col("summary"), F.lit("")), F.lit(" "), F.col("reviewText"))
-    d = d.select(F.col("reviewerID").alias("author"), F.translate(F.substring(text, 1, max_chars), "\u0000", "").alias("text"),
-                 F.regexp_extract("__file", r"^(.*?)(\.[^.]*)?$", 1).alias("topic"))
-    return d.filter(F.length("text") >= min_chars)
+    d = d.filter(F.length(text) >= min_chars)
+    if max_chars is not None:
+        text = F.substring(text, 1, max_chars)
+    return d.select(F.col("reviewerID").alias("author"), F.translate(text, "\u0000", "").alias("text"),
+                    F.regexp_extract("__file", r"^(.*?)(\.[^.]*)?$", 1).alias("topic"))
 
 
 def read_text_tree(spark: SparkSession, path_glob: str, encoding: str = "UTF-8", author_level: int = -2,
@@ -267,26 +272,25 @@ def materialize_corpus(aa: DataFrame, path: str, seed: int = 42, shares=(0.6, 0.
     return st
 
 
-def _repair_runs(pdf):
-    """Re-assemble 4-field records from a file's malformed lines, in file order
-    (fields longer than one character are gathered; exactly 4 make a record,
-    more than 4 are dropped and gathering starts over; the gathered list is
-    not cleared after a record, as in the reference)."""
-    import pandas as pd
-    pdf = pdf.sort_values(["block", "mid"])
-    cur, out = [], []
-    for parts in pdf["parts"]:
-        for thing in parts:
-            thing = thing.strip()
-            if len(thing) > 1:
-                cur.append(thing)
-        if len(cur) > 4:
-            cur = []
-            continue
-        if len(cur) == 4:
-            out.append((pdf["file"].iloc[0], int(pdf["block"].iloc[0]), int(pdf["mid"].iloc[0]), *cur))
-    cols = ["file", "block", "mid", "f0", "f1", "f2", "f3"]
-    return pd.DataFrame(out, columns=cols)
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """Records broken over several lines: (file, block, mid, f0..f3).
+
+    A run is a stretch of adjacent malformed lines of a file. Fields longer than one character are numbered
+    through the run; the lines that hold fields 4j .. 4j+3 are record j if they hold exactly those, else they
+    are dropped. Lines next to each other across a split count as adjacent. Windows see malformed lines only."""
+    ends = lines.groupBy("file", "block").agg(F.min("mid").alias("__first"), F.max("mid").alias("__last"))
+    fields = F.filter(F.transform("parts", lambda p: F.trim(p)), lambda p: F.length(p) > 1)
+    bad = lines.filter(F.size("parts") != 4).select("file", "block", "mid", fields.alias("fields")).join(ends, ["file", "block"])
+    in_file = Window.partitionBy("file").orderBy("block", "mid")
+    touches = (F.when(F.lag("block").over(in_file) == F.col("block"), F.lag("mid").over(in_file) + 1 == F.col("mid"))
+               .otherwise((F.lag("mid").over(in_file) == F.lag("__last").over(in_file)) & (F.col("mid") == F.col("__first"))))
+    bad = bad.withColumn("__new", F.when(touches, 0).otherwise(1))
+    bad = bad.withColumn("__run", F.sum("__new").over(in_file))
+    before = F.sum(F.size("fields")).over(Window.partitionBy("file", "__run").orderBy("block", "mid")) - F.size("fields")
+    rec = (bad.withColumn("__rec", F.floor(before / 4)).groupBy("file", "__run", "__rec")
+           .agg(F.sort_array(F.collect_list(F.struct("block", "mid", "fields"))).alias("m")))
+    rec = rec.select("file", F.element_at("m", -1).alias("last"), F.flatten("m.fields").alias("f")).filter(F.size("f") == 4)
+    return rec.select("file", "last.block", "last.mid", *[F.col("f")[i].alias(f"f{i}") for i in range(4)])
 
 
 def read_tweet_tsv(spark: SparkSession, path: str, label_map: DataFrame | None = None) -> DataFrame:
@@ -298,8 +302,7 @@ def read_tweet_tsv(spark: SparkSession, path: str, label_map: DataFrame | None =
     dropped. Tabs only separate fields (quotes are not interpreted).
 
     Well-formed lines (the bulk) are parsed in parallel; only malformed lines
-    go through the per-file repair (``applyInPandas``), ordered by the split
-    offset and the row position inside the split."""
+    are ordered, by the split offset and the row position inside the split."""
     lines = spark.read.text(path).select(
         F.split(F.translate("value", "\u0000", ""), "\t").alias("parts"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -308,10 +311,7 @@ def read_tweet_tsv(spark: SparkSession, path: str, label_map: DataFrame | None =
     lines = cut_lineage(lines)  # fixes the row ids used as file order below
     good = lines.filter(F.size("parts") == 4).select(
         "file", "block", "mid", *[F.col("parts")[i].alias(f"f{i}") for i in range(4)])
-    bad = lines.filter(F.size("parts") != 4)
-    fixed = bad.groupBy("file").applyInPandas(
-        _repair_runs, "file string, block long, mid long, f0 string, f1 string, f2 string, f3 string")
-    rec = good.unionByName(fixed).withColumn("user_id", F.expr("try_cast(f0 AS BIGINT)")).filter(F.col("user_id").isNotNull())
+    rec = good.unionByName(_joined_records(lines)).withColumn("user_id", F.expr("try_cast(f0 AS BIGINT)")).filter(F.col("user_id").isNotNull())
     order = F.struct("file", "block", "mid")
     first = rec.groupBy(F.xxhash64("f2").alias("__h"), F.col("f2")).agg(F.min(order).alias("__o"))
     rec = rec.withColumn("__o", order).join(first.select("f2", "__o"), ["f2", "__o"], "left_semi")

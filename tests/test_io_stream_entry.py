@@ -96,16 +96,21 @@ def test_tweet_tsv_repair(spark):
     d = _tmp()
     lines = [
         "1\t10\thello world\t2020",        # good
-        "2\t11\tbroken",                    # malformed: fields longer than 1 char gathered -> [11, broken]
-        "tweet\t2021",                      # gathered -> [11, broken, tweet, 2021]: a record of user 11
+        "21\t11",                           # a record broken between its fields
+        "tweet\t2021",
         "x3\t12\tbad user\t2020",          # user id not an int: dropped
         "4\t13\thello world\t2022",        # duplicate tweet: dropped
         "5\t14\tfine\x00 text\t2023",      # NUL removed
-        "6\t15",                            # gathered list is not cleared after a record: 5 fields -> dropped
-        "other half\t2024",                 # starts over: [other half, 2024] -> incomplete
+        "61\t15\tthree fields",             # five fields in the run: straddles a record, dropped
+        "other half\t2024",
+        "7\t16\tbetween\t2025",
+        "81\t17",                           # two records in one run, a one-character field ignored
+        "first\tx\t2026",
+        "91",
+        "18\tsecond\t2027",
     ]
     with open(f"{d}/tweets.tsv", "w") as f:
         f.write("\n".join(lines) + "\n")
     out = sorted((r.user_id, r.text, r.label) for r in io.read_tweet_tsv(spark, f"{d}/tweets.tsv").collect())
-    # labels in first-seen order: user 1 (line 0), user 11 (line 2), user 5 (line 5)
-    assert out == [(1, "hello world", 0), (5, "fine text", 2), (11, "tweet", 1)]
+    # labels in first-seen order
+    assert out == [(1, "hello world", 0), (5, "fine text", 2), (7, "between", 3), (21, "tweet", 1), (81, "first", 4), (91, "second", 5)]
