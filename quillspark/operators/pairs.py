@@ -120,8 +120,8 @@ def negative_pairs_by_domain(indexed: DataFrame, users: DataFrame, positives: Da
 
     Each positive gets ``attempts`` keyed user-pair draws numbered from
     ``first_attempt``; the first draw that has an allowed post pair is used.
-    ``pairs_by_domain`` repeats rounds for positives left without a negative
-    while their split admits any pair; where none exists the shortfall is
+    ``pairs_by_domain`` draws directly (``direct_negatives``) for positives left
+    without a negative; where the split admits no pair the shortfall is
     reported by ``negative_shortfall`` (the reference would loop forever).
     """
     pos = positives.select("split", F.col("author_a").alias("anchor"), "slot")
@@ -147,10 +147,10 @@ def negative_pairs_by_domain(indexed: DataFrame, users: DataFrame, positives: Da
     aid = ["split", "anchor", "slot", "t"]
     wa = Window.partitionBy(*aid).orderBy("d", "e")
     cells = (cells.withColumn("cum", F.coalesce(F.sum("w").over(wa.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-             .withColumn("W", F.sum("w").over(Window.partitionBy(*aid))))
+             .withColumn("w_all", F.sum("w").over(Window.partitionBy(*aid))))
     first_ok = cells.groupBy("split", "anchor", "slot").agg(F.min("t").alias("t"))
     chosen = cells.join(first_ok, ["split", "anchor", "slot", "t"])
-    o = key(seed, "neg", mode, "pick", F.col("anchor"), F.col("slot"), F.col("t")) % F.col("W")
+    o = key(seed, "neg", mode, "pick", F.col("anchor"), F.col("slot"), F.col("t")) % F.col("w_all")
     chosen = (chosen.withColumn("o", o)
               .filter((F.col("o") >= F.col("cum")) & (F.col("o") < F.col("cum") + F.col("w")))
               .withColumn("r", F.col("o") - F.col("cum"))
@@ -186,37 +186,55 @@ def pairs_by_domain(posts: DataFrame, users: DataFrame | None = None, mode: str
         users.select("author", "split"), "author"))
     pos = cut_lineage(positive_pairs_by_domain(indexed, mode, max_per_user, seed))
     neg = cut_lineage(negative_pairs_by_domain(indexed, users, pos, mode, attempts, seed))
-    # Positives whose attempts all failed get further rounds of keyed attempts
-    # (the reference redraws until one fits) as long as their split has any
-    # allowed pair at all; the first valid attempt number wins, as in round one.
-    feasible = _feasible_splits(indexed, mode)
-    rnd = 1
-    while True:
-        missing = (pos.join(neg.select("split", F.col("anchor").alias("author_a"), "slot"), ["split", "author_a", "slot"], "left_anti")
-                   .join(feasible, "split", "left_semi"))
-        missing = cut_lineage(missing)
-        if missing.isEmpty():
-            break
-        if rnd > MAX_NEGATIVE_ROUNDS:
-            raise RuntimeError("negative sampling did not converge")
-        extra = negative_pairs_by_domain(indexed, users, missing, mode, attempts, seed, first_attempt=rnd * attempts)
-        neg = cut_lineage(neg.unionByName(extra))
-        rnd += 1
+    # positives whose attempts all failed: one direct draw among the pairs their split allows
+    missing = cut_lineage(pos.join(neg.select("split", F.col("anchor").alias("author_a"), "slot"), ["split", "author_a", "slot"], "left_anti"))
+    neg = neg.unionByName(direct_negatives(indexed, missing, mode, seed))
     return pos.withColumn("anchor", F.col("author_a")).unionByName(neg)
 
 
-MAX_NEGATIVE_ROUNDS = 10_000
-
-
-def _feasible_splits(indexed: DataFrame, mode: str) -> DataFrame:
-    """Splits in which some pair of different users has an allowed post pair:
-    in-domain needs a domain with two users; cross-domain needs two users and
-    two domains in the split."""
+def direct_negatives(indexed: DataFrame, missing: DataFrame, mode: str, seed: int = 42) -> DataFrame:
+    """Negatives for positives without one, in one plan: a keyed ordinal picks a (domain, domain) cell of the
+    split by its number of ordered user pairs, the users are unranked inside the cell (the second one skips the
+    first), and each user's post is drawn by key. A split that allows no pair gives no rows."""
+    held = indexed.groupBy("split", "domain", "author").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    by_user = Window.partitionBy("split", "domain").orderBy("author")
+    held = cut_lineage(held.withColumn("at", (F.row_number().over(by_user) - 1).cast("bigint")))
+    size = held.groupBy("split", "domain").agg(F.count(F.lit(1)).cast("bigint").alias("u"))
     if mode == "in_domain":
-        d = indexed.groupBy("split", "domain").agg(F.countDistinct("author").alias("__u")).filter(F.col("__u") >= 2)
-        return d.select("split").distinct()
-    d = indexed.groupBy("split").agg(F.countDistinct("author").alias("__u"), F.countDistinct("domain").alias("__d"))
-    return d.filter((F.col("__u") >= 2) & (F.col("__d") >= 2)).select("split")
+        cells = size.select("split", F.col("domain").alias("d"), F.col("domain").alias("e"), F.col("u").alias("ud"), F.col("u").alias("ue"),
+                            F.lit(None).cast("bigint").alias("skip"), (F.col("u") * (F.col("u") - 1)).alias("w"))
+    else:
+        x, y = held.select("split", F.col("domain").alias("d"), "author", "at"), held.select("split", F.col("domain").alias("e"), "author")
+        both = x.join(y, ["split", "author"]).filter("d <> e").groupBy("split", "d", "e").agg(F.count(F.lit(1)).cast("bigint").alias("c"), F.min("at").alias("at"))
+        cells = (size.select("split", F.col("domain").alias("d"), F.col("u").alias("ud"))
+                 .join(size.select("split", F.col("domain").alias("e"), F.col("u").alias("ue")), "split").filter("d <> e")
+                 .join(both, ["split", "d", "e"], "left").fillna({"c": 0}))
+        # the only user of e cannot come first
+        cells = cells.withColumn("skip", F.when((F.col("ue") == 1) & (F.col("c") == 1), F.col("at"))).withColumn("w", F.col("ud") * F.col("ue") - F.col("c"))
+    cells = cells.filter("w > 0").select("split", "d", "e", "ud", "ue", "skip", "w")
+    order = Window.partitionBy("split").orderBy("d", "e")  # a row per pair of domains
+    cells = (cells.withColumn("cum", F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .withColumn("w_all", F.sum("w").over(Window.partitionBy("split"))))
+
+    def draw(what, n):
+        return key(seed, "neg", mode, what, F.col("anchor"), F.col("slot")) % n
+
+    got = missing.select("split", F.col("author_a").alias("anchor"), "slot").join(cells, "split").withColumn("o", draw("cell", F.col("w_all")))
+    got = got.filter((F.col("o") >= F.col("cum")) & (F.col("o") < F.col("cum") + F.col("w")))
+    ia = draw("first", F.col("ud") - F.when(F.col("skip").isNull(), 0).otherwise(1))
+    got = got.withColumn("ia", ia).withColumn("ia", F.col("ia") + F.when(F.col("ia") >= F.col("skip"), 1).otherwise(0))
+    first = held.select("split", F.col("domain").alias("d"), F.col("at").alias("ia"), F.col("author").alias("ua"), F.col("n").alias("na"))
+    own = held.select("split", F.col("domain").alias("e"), F.col("author").alias("ua"), F.col("at").alias("own"))
+    got = got.join(first, ["split", "d", "ia"]).join(own, ["split", "e", "ua"], "left")
+    ib = draw("second", F.col("ue") - F.when(F.col("own").isNull(), 0).otherwise(1))
+    got = got.withColumn("ib", ib).withColumn("ib", F.col("ib") + F.when(F.col("ib") >= F.col("own"), 1).otherwise(0))
+    second = held.select("split", F.col("domain").alias("e"), F.col("at").alias("ib"), F.col("author").alias("ub"), F.col("n").alias("nb"))
+    got = (got.join(second, ["split", "e", "ib"]).withColumn("i_ord", draw("post_a", F.col("na"))).withColumn("j_ord", draw("post_b", F.col("nb"))))
+    pa = indexed.select(F.col("author").alias("ua"), F.col("domain").alias("d"), F.col("dord").alias("i_ord"), F.col("post_id").alias("post_id_a"))
+    pb = indexed.select(F.col("author").alias("ub"), F.col("domain").alias("e"), F.col("dord").alias("j_ord"), F.col("post_id").alias("post_id_b"))
+    out = got.join(pa, ["ua", "d", "i_ord"]).join(pb, ["ub", "e", "j_ord"])
+    return out.select("split", F.lit(False).alias("label"), F.col("ua").alias("author_a"), "post_id_a", F.col("ub").alias("author_b"), "post_id_b",
+                      F.col("slot").cast("bigint").alias("slot"), "anchor")
 
 
 def pairs_in_domain(posts: DataFrame, users: DataFrame | None = None, **kw) -> DataFrame:

@@ -119,3 +119,37 @@ def test_negatives_retry_until_every_positive_is_served(spark):
     neg = [r for r in out if not r.label]
     assert len(pos) == 8 and len(neg) == 8
     assert all({r.author_a, r.author_b} == {"u0", "u1"} for r in neg)
+
+
+def test_negatives_by_domain_need_no_rounds(spark):
+    from quillspark.operators import pairs
+    # 40 users with a domain of their own, one domain shared by two of them: almost no drawn user pair is allowed
+    rows = [(f"u{k:02d}", 10 * k + j, f"d{k}") for k in range(40) for j in range(3)]
+    rows += [(f"u{k:02d}", 1000 + 10 * k + j, "shared") for k in (3, 4) for j in range(2)]
+    posts = spark.createDataFrame(rows, "author string, post_id long, domain string")
+    users = spark.createDataFrame([(f"u{k:02d}", "train", k, 40) for k in range(40)], "author string, split string, split_idx long, split_n long")
+    where = {}
+    for a, i, d in rows:
+        where[i] = (a, d)
+    for mode in ("in_domain", "cross_domain"):
+        got = pairs.pairs_by_domain(posts, users, mode=mode).collect()
+        pos, neg = [r for r in got if r.label], [r for r in got if not r.label]
+        if mode == "in_domain":
+            assert len(pos) == len(neg) and len(pos) >= 40
+        else:
+            assert len(pos) == len(neg) > 0
+        for r in neg:
+            (a, d), (b, e) = where[r.post_id_a], where[r.post_id_b]
+            assert (a, b) == (r.author_a, r.author_b) and a != b and (d == e) == (mode == "in_domain")
+        assert len({(r.anchor, r.slot) for r in neg}) == len(neg)
+    lone = posts.filter("domain <> 'shared'")
+    assert not [r for r in pairs.pairs_by_domain(lone, users, mode="in_domain").collect() if not r.label]
+
+
+def test_direct_cross_domain_negatives_skip_the_only_user(spark):
+    from quillspark.operators import pairs
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("b", 3, "x"), ("c", 4, "x")]
+    ix = pairs.index_posts(spark.createDataFrame(rows, "author string, post_id long, domain string"), domain_col="domain").selectExpr("*", "'t' AS split")
+    need = spark.createDataFrame([("t", f"p{k}", k) for k in range(60)], "split string, author_a string, slot long")
+    got = pairs.direct_negatives(ix, need, "cross_domain").collect()
+    assert len(got) == 60 and {frozenset((r.author_a, r.author_b)) for r in got} == {frozenset("ab"), frozenset("ac")}
