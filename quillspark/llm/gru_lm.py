@@ -27,6 +27,8 @@ Weights depend on how the input is cut into partitions, counts do not.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,14 +43,15 @@ CLASS, CLASSES = 64, 31
 HEAD = CLASS * CLASSES
 HOT = 1 << 16
 STEPS = 32
-TRAIN_LANES, SCORE_LANES = 96, 1024
+TRAIN_LANES, SCORE_LANES = 384, 1024
 SEED_TEXTS, SEED_EPOCHS = 400, 3
 SEED_RATE, RATE = 8e-3, 2e-3
-SCORE_BYTES = 16 << 20
+SCORE_BYTES = 8 << 20
 TAIL, START = HEAD, HEAD + 1
 END = np.uint64(0xE0D)
 LOWERED = V.BYTE_VALUE[V.LOWER]
 LN10 = np.log(10.0)
+TOP = 60.0  # logits stay far below it; keeps exp finite
 
 
 def tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,9 +69,8 @@ def train_counts(df: DataFrame, text: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            parts = [tokens(raw, offs)[0] for _, _, raw, offs in V.slices(batch.column(0))]
-            if parts:
-                h, c = np.unique(np.concatenate(parts), return_counts=True)
+            for _, _, raw, offs in V.slices(batch.column(0), SCORE_BYTES):
+                h, c = np.unique(tokens(raw, offs)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
 
     return df.select(text).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
@@ -126,7 +128,10 @@ class Gru:
         out = np.empty((*ids.shape, h), state.dtype)
         saved = []
         for t in range(len(ids)):
-            before = np.where(fresh[t][:, None], 0, state).astype(state.dtype)
+            before = state
+            if fresh[t].any():
+                before = state.copy()
+                before[fresh[t]] = 0
             a = before @ u
             zr = _sigmoid(gates[t, :, : 2 * h] + a[:, : 2 * h])
             z, r = zr[:, :h], zr[:, h:]
@@ -142,8 +147,7 @@ class Gru:
         mean negative log-likelihood if ``grads`` is given and returns them with respect to the states."""
         p, n = self.p, len(want)
         cls = want // CLASS  # TAIL falls into the last class
-        z = states @ p["cw"] + p["cb"]
-        z -= z.max(axis=1, keepdims=True)
+        z = np.minimum(states @ p["cw"] + p["cb"], TOP)
         e = np.exp(z)
         s = e.sum(axis=1)
         rows = np.arange(n)
@@ -164,8 +168,7 @@ class Gru:
                 continue
             w = want[at] - c * CLASS
             g = states[at]
-            z = g @ p["ow"][c] + p["ob"][c]
-            z -= z.max(axis=1, keepdims=True)
+            z = np.minimum(g @ p["ow"][c] + p["ob"][c], TOP)
             e = np.exp(z)
             s = e.sum(axis=1)
             k = np.arange(len(at))
@@ -239,7 +242,6 @@ class Gru:
         lanes = max(1, min(lanes, len(size)))
         queue = [(0, k) for k in range(lanes)]
         dealt: list[list[int]] = [[] for _ in range(lanes)]
-        import heapq
         for t in np.argsort(-size, kind="stable").tolist():
             load, k = heapq.heappop(queue)
             dealt[k].append(t)
@@ -247,21 +249,21 @@ class Gru:
         dealt.sort(key=lambda x: -int(size[x].sum()))
         loads = np.array([int(size[x].sum()) for x in dealt])
         into, first = _inputs(ids, at)
-        place = np.zeros((loads[0], lanes), np.int64)  # token of each step and lane
-        owner = np.full((loads[0], lanes), -1, np.int64)
-        for k, texts in enumerate(dealt):
-            at_k = np.concatenate([np.arange(at[t], at[t + 1]) for t in texts])
-            place[: len(at_k), k] = at_k
-            owner[: len(at_k), k] = np.repeat(texts, size[texts])
+        # lanes end to end: a long text makes a long lane, not a wide table
+        begin = np.cumsum(loads) - loads
+        seq = np.concatenate([np.arange(at[t], at[t + 1], dtype=np.int32) for texts in dealt for t in texts])
+        owner = np.concatenate([np.repeat(np.array(texts, np.int32), size[texts]) for texts in dealt])
         state = np.zeros((lanes, HIDDEN), self.p["u"].dtype)
-        for lo in range(0, len(place), STEPS):
+        for lo in range(0, int(loads[0]), STEPS):
             live = int(np.searchsorted(-loads, -lo, "left"))  # lanes with tokens left, the longest are first
-            p, o = place[lo: lo + STEPS, :live], owner[lo: lo + STEPS, :live]
+            step = np.arange(lo, min(lo + STEPS, int(loads[0])))[:, None]
+            used = step < loads[None, :live]
+            spot = np.minimum(begin[None, :live] + step, len(seq) - 1)
+            p = seq[spot]
             out, last, _ = self.run(into[p], first[p], state[:live])
             state[:live] = last
-            used = o.ravel() >= 0
-            logp, _ = self.outputs(out.reshape(-1, HIDDEN)[used], ids[p].ravel()[used])
-            total += np.bincount(o.ravel()[used], weights=logp, minlength=len(total))
+            logp, _ = self.outputs(out[used], ids[p[used]])
+            total += np.bincount(owner[spot[used]], weights=logp, minlength=len(total))
         return total
 
 

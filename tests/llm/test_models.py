@@ -120,7 +120,9 @@ def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(4, 0), (7, 1), (8, 1), (11, 0), (1, None), (None, 1)], "doc_id long, quality int")
     got = kernel_quality.classify(odd, labels, F.col("doc_id") < 100).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
-    assert len({r.score for r in got if r.doc_id in (8, 9)}) == 1 and len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    for same in ((8, 9), (1, 2)):  # to the last bits of sums over a batch
+        of = [r.score for r in got if r.doc_id in same]
+        assert max(of) - min(of) < 1e-9
     assert {r.score for r in kernel_quality.classify(odd, labels.where("false"), F.lit(True)).collect()} == {0.5}
     assert kernel_quality.classify(none, labels, F.lit(True)).count() == 0
 
