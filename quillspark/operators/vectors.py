@@ -107,11 +107,11 @@ def _blocks(cands: DataFrame, cand_id: str, label_col: str, vec_col: str, block_
                                                           F.col(vec_col).alias("v"))).alias("cands"))
 
 
-def nearest_candidates(queries: DataFrame, cands: DataFrame, k: int = 1, metric: str = "euclidean",
+def nearest_candidates(queries: DataFrame, cands: DataFrame, k: int | None = 1, metric: str = "euclidean",
                        query_id: str = "text_id", cand_id: str = "cand_id", label_col: str = "author_id",
                        vec_col: str = "embedding", exclude_self: bool = False, same_label: bool | None = None,
                        query_label: str | None = None, block_size: int = BLOCK_SIZE, largest: bool = False) -> DataFrame:
-    """Exact k nearest (or farthest) candidates per query vector, block by block.
+    """Exact k nearest (or farthest) candidates per query vector, block by block; all candidates if k is None.
 
     Output (query_id, rank, cand_id, label, d) with rank 1..k. ``same_label``
     restricts candidates to the query's label (True) or the other labels
@@ -137,12 +137,14 @@ def nearest_candidates(queries: DataFrame, cands: DataFrame, k: int = 1, metric:
         cs = F.filter("cands", keep)
         sc = F.transform(cs, lambda c: F.struct((-distance(qv, c["v"], metric) if largest else distance(qv, c["v"], metric)).alias("o"),
                                                  c["cid"].alias("cid"), c["label"].alias("label")))
-        return F.slice(F.array_sort(sc), 1, k)
+        return sc if k is None else F.slice(F.array_sort(sc), 1, k)
 
     top = j.select(query_id, F.explode(let(F.col("__q"), scored)).alias("t"))
     from pyspark.sql import Window
     w = Window.partitionBy(query_id).orderBy(F.col("t.o"), F.col("t.cid"))
-    best = top.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    best = top.withColumn("rank", F.row_number().over(w))
+    if k is not None:
+        best = best.filter(F.col("rank") <= k)
     d = -F.col("t.o") if largest else F.col("t.o")
     return best.select(query_id, F.col("rank").cast("bigint").alias("rank"), F.col("t.cid").alias(cand_id),
                        F.col("t.label").alias(label_col), d.alias("d"))

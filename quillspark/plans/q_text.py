@@ -65,6 +65,15 @@ def q_fixed_windows(spark, sf_dir):
     return fixed_windows(_docs(spark, sf_dir), "text", WIN_N, WIN_K, id_col="doc_id")
 
 
+@register("fixed_windows_all", f"""
+    SELECT doc_id, CAST(w AS BIGINT) AS pos, substr(text, CAST(w * {WIN_N} + 1 AS BIGINT), {WIN_N}) AS chunk
+    FROM (SELECT doc_id, text, unnest(generate_series(0, (length(text) - 1) // {WIN_N})) AS w FROM documents WHERE length(text) > 0) x""")
+def q_fixed_windows_all(spark, sf_dir):
+    """G17 without its prefix option: every window of every text."""
+    from quillspark.operators.windows import fixed_windows
+    return fixed_windows(_docs(spark, sf_dir), "text", WIN_N, None, id_col="doc_id")
+
+
 # Token windows with a stride ----------------------------------------------
 TW_LEN, TW_STRIDE = 64, 32
 

@@ -148,7 +148,7 @@ def q_rank_authors_for_text(spark, sf_dir):
     s = _vsplit(spark, sf_dir)
     c = V.author_centroids(s.filter("split = 'train'"))
     cands = c.select(F.col("author_id").alias("cand_id"), "author_id", F.col("centroid").alias("embedding"))
-    nn = V.nearest_candidates(s.filter("split = 'test'"), cands, 10 ** 6, "euclidean", "text_id", "cand_id", "author_id")
+    nn = V.nearest_candidates(s.filter("split = 'test'"), cands, None, "euclidean", "text_id", "cand_id", "author_id")
     r = rank.rank_authors_for_text(nn.select("text_id", "author_id", F.col("d").alias("loss")), "text_id", "author_id", "loss")
     return r.select("text_id", "author_id", F.round("loss", 9).alias("d"), "rank")
 
@@ -165,8 +165,8 @@ def q_loss_normalised_ranking(spark, sf_dir):
     s = _vsplit(spark, sf_dir)
     c = V.author_centroids(s.filter("split = 'train'"))
     cands = c.select(F.col("author_id").alias("cand_id"), "author_id", F.col("centroid").alias("embedding"))
-    test = V.nearest_candidates(s.filter("split = 'test'"), cands, 10 ** 6, "euclidean", "text_id", "cand_id", "author_id")
-    val = V.nearest_candidates(s.filter("split = 'validation'"), cands, 10 ** 6, "euclidean", "text_id", "cand_id", "author_id")
+    test = V.nearest_candidates(s.filter("split = 'test'"), cands, None, "euclidean", "text_id", "cand_id", "author_id")
+    val = V.nearest_candidates(s.filter("split = 'validation'"), cands, None, "euclidean", "text_id", "cand_id", "author_id")
     r = loss_normalised_ranking(test.withColumnRenamed("d", "loss"), val.withColumnRenamed("d", "loss"))
     return r.filter("rank = 1").select("text_id", F.col("author_id").alias("pred"))
 

@@ -124,7 +124,7 @@ def q_aa_topk(spark, sf_dir):
     s = _vsplit(spark, sf_dir)
     c = V.author_centroids(s.filter("split = 'train'"))
     cands = c.select(F.col("author_id").alias("cand_id"), "author_id", F.col("centroid").alias("embedding"))
-    nn = V.nearest_candidates(s.filter("split = 'test'"), cands, 10 ** 6, "euclidean", "text_id", "cand_id", "author_id")
+    nn = V.nearest_candidates(s.filter("split = 'test'"), cands, None, "euclidean", "text_id", "cand_id", "author_id")
     sc = nn.join(s.select("text_id", F.col("author_id").alias("label")), "text_id").select(
         "text_id", "label", F.col("author_id").alias("cls"), (-F.col("d")).alias("p"))
     return MA.top_k_accuracy(sc, range(2, 11), "text_id", "label", "cls", "p")

@@ -37,8 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is configured (local tests) a fresh scratch
-    folder is made.
+    as is. Only when nothing is configured, a folder is chosen: a fresh scratch
+    folder for a local master (tests), else one under the warehouse, which all
+    executors share.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -48,6 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local[") and sc.master != "local":
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        sc.setCheckpointDir(path)
+        return path
     path = tempfile.mkdtemp(prefix="quillspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
