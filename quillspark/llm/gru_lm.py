@@ -11,7 +11,8 @@ has a proper log-probability.
 
 Training is truncated backpropagation through time in numpy: windows of
 ``STEPS`` tokens, the state carried across windows of a text. A start model is
-fitted on at most ``SEED_TEXTS`` training texts; then every partition trains on
+fitted on at most ``SEED_TEXTS`` whole training texts of at most ``SEED_CHARS``
+characters; then every partition trains on
 all its training texts from there, and the weights are averaged by tokens.
 Scoring carries the state over all windows of a text, whatever its length.
 
@@ -44,7 +45,7 @@ HEAD = CLASS * CLASSES
 HOT = 1 << 16
 STEPS = 32
 TRAIN_LANES, SCORE_LANES = 384, 1024
-SEED_TEXTS, SEED_EPOCHS = 400, 3
+SEED_TEXTS, SEED_CHARS, SEED_EPOCHS = 400, 20_000, 3
 SEED_RATE, RATE = 8e-3, 2e-3
 SCORE_BYTES = 8 << 20
 TAIL, START = HEAD, HEAD + 1
@@ -286,7 +287,8 @@ def fit_model(rows: DataFrame, text: str, lex: Lexicon) -> Gru:
     """Start model from SEED_TEXTS rows, then one pass over all rows in partitions, weights averaged by tokens."""
     model = Gru()
     model.set_counts(lex)
-    seed = (rows.select(text, F.xxhash64(text).alias("k")).orderBy("k", text).limit(SEED_TEXTS).select(F.substring(text, 1, 20000).alias("w"))).toPandas()["w"]
+    short = rows.where(F.length(text) <= SEED_CHARS).select(F.col(text).alias("w"), F.xxhash64(text).alias("k"))
+    seed = short.orderBy("k", "w").limit(SEED_TEXTS).toPandas()["w"]
     if not len(seed):
         return model
     ids, sizes = [], []
