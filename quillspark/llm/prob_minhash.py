@@ -281,8 +281,11 @@ def apart_links(placed: DataFrame, marks: DataFrame, df: DataFrame, id_col: str,
                 key, one = batch.column(0)[row].as_py(), batch.column(11)[row].as_py()
                 b0, b1 = (c.flatten().to_numpy().reshape(-1, BANDS) for c in (cols[3], cols[8]))
                 x, y = np.nonzero(np.triu(mask) if one else mask)
-                common = b0[x] == b1[y]
-                here = common.argmax(axis=1) == (b0[x] == key).argmax(axis=1)
+                at_key = (b0 == key).argmax(axis=1)
+                here = np.empty(len(x), bool)
+                for lo in range(0, len(x), 1 << 14):  # rows of all bands of many pairs are large
+                    i, j = x[lo: lo + (1 << 14)], y[lo: lo + (1 << 14)]
+                    here[lo: lo + (1 << 14)] = (b0[i] == b1[j]).argmax(axis=1) == at_key[i]
                 x, y = x[here], y[here]
                 t0 = Texts(cols[4])
                 t1 = t0 if one else Texts(cols[9])
