@@ -87,7 +87,7 @@ class Lexicon:
         self.total, self.distinct = total, distinct
         self.complete = distinct <= len(h)
         head = int(c[:HEAD].sum())
-        self.tail_log = float(np.log10(total - head + max(distinct - HEAD, 0) + 1))
+        self.tail_log = float(np.log10(total - head + distinct - min(HEAD, len(h)) + 1))
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(head id, count or -1 where the word is not among the hot ones)."""
@@ -98,6 +98,23 @@ class Lexicon:
         return np.where(hit, self.id[k], TAIL), np.where(hit, self.c[k], -1)
 
 
+def hot_words(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, count) of the most frequent words, by falling count: all above the least count that at most ``limit`` reach.
+
+    A histogram of counts finds that count first, so that few more rows than wanted are fetched from all partitions together."""
+    band = F.floor(F.log2("c") * 8).cast("int")
+    sizes = sorted(((r.b, r.n) for r in counts.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    least, held = None, 0
+    for b, n in sizes:
+        if held + n > limit:
+            break
+        least, held = b, held + n
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    rows = counts.where(band >= least).toPandas().sort_values(["c", "h"], ascending=[False, True])
+    return rows["h"].to_numpy(np.int64).view(np.uint64), rows["c"].to_numpy(np.int64)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -288,7 +305,9 @@ def fit_model(rows: DataFrame, text: str, lex: Lexicon) -> Gru:
     model = Gru()
     model.set_counts(lex)
     short = rows.where(F.length(text) <= SEED_CHARS).select(F.col(text).alias("w"), F.xxhash64(text).alias("k"))
-    seed = short.orderBy("k", "w").limit(SEED_TEXTS).toPandas()["w"]
+    # keys first, so that no task sends texts that are not used
+    keys = [r.k for r in short.select("k").distinct().orderBy("k").limit(SEED_TEXTS).collect()]
+    seed = short.where(F.col("k").isin(keys)).dropDuplicates(["k"]).orderBy("k").toPandas()["w"]
     if not len(seed):
         return model
     ids, sizes = [], []
@@ -333,8 +352,7 @@ def score_texts(df: DataFrame, trains: Column, id_col: str = "doc_id", text: str
     rows = df.where(trains)
     counts = cut_lineage(train_counts(rows, text))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    hot = counts.orderBy(F.desc("c"), "h").limit(HOT).toPandas()
-    lex = Lexicon(hot["h"].to_numpy(np.int64).view(np.uint64), hot["c"].to_numpy(np.int64), int(total), int(distinct))
+    lex = Lexicon(*hot_words(counts, HOT), int(total), int(distinct))
     model = fit_model(rows, text, lex)
     shared = df.sparkSession.sparkContext.broadcast((model, lex))
     rare = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("n", T.LongType())]))
