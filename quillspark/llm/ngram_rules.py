@@ -7,10 +7,10 @@ log ratios over its n-grams divided by their number; it is kept when the score
 reaches a fixed threshold. Tokens of the n-grams are runs of letters and digits
 (any non-ASCII byte counts as a letter) and runs of other signs.
 
-The trusted side is a bounded set of ids (at most ``trusted_limit``, the first
-by key; sent to all tasks as a filter of that size); their texts are counted
-whole. The raw side counts every text. The two count vectors have ``buckets``
-entries whatever the corpus size.
+The trusted side counts the whole texts of all trusted ids (up to BROADCAST_IDS
+ids are sent to all tasks, more are joined by shuffle), the raw side those of
+every row. The two count vectors have ``buckets`` entries whatever the corpus
+size.
 
 Cases: null text is empty, has no words and fails the base rule; equal texts
 get equal rows; repeated rows are kept; empty tables give no rows and an empty
@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm import textvec as V
+from quillspark.session import cut_lineage
 
 BUCKETS = 1 << 16
 ALPHA = 1.0
 THRESHOLD = -0.25
-TRUSTED_LIMIT = 20_000
+BROADCAST_IDS = 500_000  # 4 MB of ids; more are joined by shuffle
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 KIND = np.full(256, 2, np.uint8)  # 0 white space, 1 letters and digits, 2 other signs
@@ -131,10 +132,11 @@ def score_rules(df: DataFrame, ratios: np.ndarray, text: str = "text", keep: tup
 
 
 def apply_rules(df: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
-                trusted_limit: int = TRUSTED_LIMIT, threshold: float = THRESHOLD) -> DataFrame:
-    """Counts both corpora, then scores every row. ``trusted_ids``: ids of target texts, the first ``trusted_limit`` by key are used."""
-    chosen = (trusted_ids.select(F.col(id_col).alias("__t")).where(F.col("__t").isNotNull()).distinct()
-              .orderBy(F.xxhash64("__t"), "__t").limit(trusted_limit).withColumn("__target", F.lit(True)))
-    marked = df.select(id_col, text).join(F.broadcast(chosen), F.col(id_col) == F.col("__t"), "left")
+                threshold: float = THRESHOLD) -> DataFrame:
+    """Counts both corpora, then scores every row. ``trusted_ids``: ids of target texts, all are used."""
+    chosen = cut_lineage(trusted_ids.select(F.col(id_col).alias("__t")).where(F.col("__t").isNotNull()).distinct().withColumn("__target", F.lit(True)))
+    if chosen.count() <= BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
+    marked = df.select(id_col, text).join(chosen, F.col(id_col) == F.col("__t"), "left")
     ratios = log_ratios(corpus_counts(marked, text, F.col("__target")))
     return score_rules(df, ratios, text, (id_col,), threshold)

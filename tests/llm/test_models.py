@@ -211,3 +211,11 @@ def test_quality_rules_odd_rows(spark, odd, none):
     lines = spark.createDataFrame([(1, "a b\n\n \na b\nc\r\na b\nc\nc"), (2, "x y z w v " * 3 + "é ** |")], "doc_id long, text string")
     for r in ngram_rules.apply_rules(lines, ids).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules({1: "a b\n\n \na b\nc\r\na b\nc\nc", 2: "x y z w v " * 3 + "é ** |"}[r.doc_id])
+
+
+def test_quality_rules_count_all_trusted_texts(spark, monkeypatch):
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words of text number t"), "id").alias("text"))
+    for most in (ngram_rules.BROADCAST_IDS, 10):  # ids broadcast, ids joined by shuffle
+        monkeypatch.setattr(ngram_rules, "BROADCAST_IDS", most)
+        # all texts are trusted: both sides have the same counts
+        assert {r.score for r in ngram_rules.apply_rules(docs, docs.select("doc_id")).select("score").distinct().collect()} == {0.0}
