@@ -192,7 +192,8 @@ def verified(pairs: DataFrame, df: DataFrame, id_col: str, text: str, threshold:
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
     texts = df.select(F.col(id_col).alias("node"), F.col(text).alias("text")).join(ends, F.col("node") == F.col("__n")).drop("__n")
-    size = texts.groupBy("family").agg(F.greatest(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int").alias("blocks"))
+    lengths = texts.select("family", "node", F.octet_length("text").alias("bytes")).distinct()  # copies of a text count once
+    size = lengths.groupBy("family").agg(F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int").alias("blocks"))
     size = cut_lineage(size)
     block = F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int")
     blocks = (texts.join(size, "family").withColumn("block", block).groupBy("family", "block")

@@ -99,7 +99,7 @@ def _maybe_broadcast(df: DataFrame, limit: int) -> DataFrame:
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
             threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
-    """(id, item, start, similarity) of document windows similar to an item; start is in shingles."""
+    """(id, stamp, item, start, similarity) of document windows similar to an item; stamp is the text's xxhash64, start is in shingles."""
     # written before use: a filter or a second reference on top would evaluate the words once for each shingle
     item = cut_lineage(with_shingles(items.select(F.col(item_id).alias("item"), item_text), item_text)).where(F.size("h") > 0)
     item = cut_lineage(item.withColumn("n", F.size("h")).withColumn("fp", fingerprint("h")))
@@ -121,8 +121,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     start = F.greatest(F.lit(0), F.least(F.col("s"), F.size("h") - F.col("n")))
     cut = cut_lineage(
         a.join(b, F.col("a.id").eqNullSafe(F.col("b.id")) & F.col("a.stamp").eqNullSafe(F.col("b.stamp")))
-        .select("a.id", "n", start.alias("start"), "h").select("id", "n", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("w"))
-        .select("id", "n", "start", "w", F.xxhash64("w").alias("w1"), F.xxhash64(F.lit(1), F.reverse("w")).alias("w2")).distinct())
+        .select("a.id", "a.stamp", "n", start.alias("start"), "h").select("id", "stamp", "n", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("w"))
+        .select("id", "stamp", "n", "start", "w", F.xxhash64("w").alias("w1"), F.xxhash64(F.lit(1), F.reverse("w")).alias("w2")).distinct())
     distinct = cut_lineage(cut.groupBy("n", "w1", "w2").agg(F.first("w").alias("w")).withColumn("fp", fingerprint("w")))
     probe = distinct.select("n", "w1", "w2", "fp", F.explode(block_keys("fp", radius)).alias("key")).select("n", "w1", "w2", "fp", "key.*")
     index = item.select("item", "n", F.col("fp").alias("ifp"), F.explode(block_keys("fp", radius)).alias("key")).select("item", "n", "ifp", "key.*")
@@ -130,7 +130,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
             .select("n", "w1", "w2", "item").distinct())
     checked = (near.join(distinct.drop("fp"), ["n", "w1", "w2"]).join(item.select("item", "n", F.col("h").alias("ih")), ["item", "n"])
                .select("n", "w1", "w2", "item", weighted_jaccard("w", "ih").alias("similarity")).where(F.col("similarity") >= threshold)).distinct()
-    return cut.drop("w").join(checked, ["n", "w1", "w2"]).select("id", "item", "start", "similarity")
+    return cut.drop("w").join(checked, ["n", "w1", "w2"]).select("id", "stamp", "item", "start", "similarity")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",

@@ -173,6 +173,22 @@ def test_pipeline_odd_rows(spark, odd, none, sf):
         assert sorted(r.doc_id or 0 for r in docs.collect()) == ([0, 4, 5, 6, 7, 8, 10] if start is rows else [])
 
 
+def test_pipeline_decides_by_row(spark, sf, make_passage):
+    """Rows without an id, and rows that share an id but not the text, stay or go by their own text."""
+    a, b, c, d = (make_passage(k, 160) for k in range(70, 74))
+    near = c.replace(c.split()[80], "edited")
+    item = max((r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()), key=len)
+
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        return sorted(((r.doc_id or 0, r.text) for r in stage(spark, docs, sf).collect()))
+
+    kept = left(corpus_pipeline.near_dedup, [(1, b), (5, a), (5, b), (6, a), (6, a), (None, c), (None, c), (None, near), (None, d), (None, b)])
+    assert [r for r in kept if r[1] not in (c, near)] == sorted([(0, d), (1, b), (5, a)]) and len(kept) == 4
+    clean = left(corpus_pipeline.decontaminate, [(None, item), (None, d), (5, a), (5, f"{item} {b}")])
+    assert clean == sorted([(0, d), (5, a)])
+
+
 def test_entry_lists_the_queries():
     import __spark_entry__ as entry
     found = entry.queries()
