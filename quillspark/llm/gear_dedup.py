@@ -1,13 +1,17 @@
 """Operator 3: substring deduplication with content-defined chunks.
 
-A gear rolling hash over the last ``WINDOW`` bytes ends a chunk where its top
-bits are zero, so cuts depend on content alone and an insertion moves only the
-chunks it touches. Chunks are ``least`` bytes or longer and at most ``most``
-(there a cut is forced); cuts fall between characters. A chunk's digest is 128
-bits. A digest found at two or more places (document, offset) is a repeat; the
+A chunk ends where a gear rolling hash over the last ``WINDOW`` bytes is largest
+among the ``LEAST`` - 1 bytes on either side (of equal ones the first), so cuts
+depend on content alone and an insertion moves only the chunks it touches. Cuts
+lie ``least`` bytes or more apart; where none comes within ``most`` bytes
+(repetitive text), the largest hash in reach is the cut, so that such text is
+cut by content too. Cuts fall between characters. A chunk's digest is 128 bits.
+A digest found at two or more places (document, offset) is a repeat; the
 place that sorts first keeps the chunk. Runs of consecutive repeated chunks
 with at least ``min_words`` words form a repeated passage; in these passages
-every chunk but its first place is removed. Shorter runs are left alone.
+every chunk but its first place is removed. Shorter runs are left alone. Words
+of a passage's first and last chunk that it shares only in part do not count and
+stay in the text.
 
 Chunk rows are grouped by digest with map-side combine (smallest and largest
 place), so a line that a third of all documents share is one row per task there;
@@ -18,7 +22,7 @@ Cases: null and empty texts have no chunks; rows that share an id are one
 document (one result row, its chunks taken together), and rows equal in id and
 text are no repeats of each other; null ids are one document; an empty table
 gives no rows; other columns are ignored. Texts of any length are chunked whole,
-and a text without cut places is cut every ``most`` bytes.
+and a text without cut places has chunks of at most ``most`` bytes.
 """
 
 from __future__ import annotations
@@ -34,8 +38,7 @@ from pyspark.sql import types as T
 from quillspark.llm import textvec as V
 
 WINDOW = 16
-CUT_BITS = 4
-LEAST, MOST = 24, 512
+LEAST, MOST = 21, 64
 MIN_WORDS = 16
 GEAR = (V.mix(np.arange(256, dtype=np.uint64) + np.uint64(7919)) >> np.uint64(32)).astype(np.uint32)
 
@@ -51,12 +54,29 @@ def gear_hash(raw: np.ndarray) -> np.ndarray:
     return h
 
 
+def _largest(x: np.ndarray, n: int) -> np.ndarray:
+    """Maximum of ``n`` consecutive values, by the place of the first."""
+    k = 1
+    while k < n:
+        step = min(k, n - k)
+        x, k = np.maximum(x[:-step], x[step:]), k + step
+    return x
+
+
 def cut_places(raw: np.ndarray, offs: np.ndarray, least: int = LEAST, most: int = MOST) -> list[tuple[int, int, int]]:
     """(text index, start, end) of every chunk, in order."""
-    inner = (raw & 0xC0) == 0x80  # not the first byte of a character
-    ends = np.flatnonzero(gear_hash(raw) >> np.uint32(32 - CUT_BITS) == 0) + 1
-    ends = ends[ends < len(raw)]
-    ends = ends[~inner[ends]].tolist()
+    h = gear_hash(raw)
+    of = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    at = np.arange(len(raw))
+    h[at - offs[of] < WINDOW - 1] = 0  # has bytes of the text before
+    h[:-1][(raw[1:] & 0xC0) == 0x80] = 0  # no cut within a character
+    # texts are laid apart, so that cuts do not depend on the neighbours in a slice
+    reach = least - 1
+    wide = np.zeros(len(raw) + reach * len(offs), h.dtype)
+    at += reach * (of + 1)
+    wide[at] = h
+    around = _largest(wide, reach)
+    ends = (np.flatnonzero((h > around[at - reach]) & (h >= around[at + 1])) + 1).tolist()
     out, k = [], 0
     for t, (last, stop) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist())):
         while last < stop:
@@ -64,9 +84,8 @@ def cut_places(raw: np.ndarray, offs: np.ndarray, least: int = LEAST, most: int
                 k += 1
             end = min(ends[k] if k < len(ends) else stop, stop)
             if end - last > most:
-                end = last + most
-                while inner[end]:
-                    end -= 1
+                # least bytes stay before the next cut, which no forced one may move
+                end = last + least + int(h[last + least - 1: min(last + most, end - least)].argmax())
             out.append((t, last, end))
             last = end
     return out
@@ -108,9 +127,15 @@ def repeated_chunks(chunked: DataFrame, id_col: str = "doc_id") -> DataFrame:
     place = F.struct("__id", "start")
     found = (rows.groupBy("d1", "d2").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
              .where(~F.col("lo").eqNullSafe(F.col("hi"))))
-    return (rows.join(found, ["d1", "d2"])
-            .select(F.col("__id").alias(id_col), "ord", "start", "stop", "words", place.eqNullSafe(F.col("lo")).alias("first"),
-                    (~F.col("lo.__id").eqNullSafe(F.col("hi.__id"))).alias("across")).distinct())
+    # two numbers in a long (all are under 2^31): fewer bytes are shuffled
+    packed = rows.select("d1", "d2", "__id", (F.shiftleft("start", 32) + F.col("ord")).alias("at"),
+                         (F.shiftleft(F.col("stop") - F.col("start"), 32) + F.col("words")).alias("size"))
+    low = F.lit((1 << 32) - 1)
+    met = packed.join(found, ["d1", "d2"]).select(
+        "__id", "lo", "hi", F.col("at").bitwiseAND(low).alias("ord"), F.shiftright("at", 32).alias("start"),
+        (F.shiftright("at", 32) + F.shiftright("size", 32)).alias("stop"), F.col("size").bitwiseAND(low).alias("words"))
+    return (met.select(F.col("__id").alias(id_col), "ord", "start", "stop", "words", place.eqNullSafe(F.col("lo")).alias("first"),
+                       (~F.col("lo.__id").eqNullSafe(F.col("hi.__id"))).alias("across")).distinct())
 
 
 def passages(repeats: DataFrame, id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:

@@ -137,6 +137,25 @@ def test_substring_dedup_finds_shared_passages(spark, make_passage):
     assert text[2] == kept + rows[1][1][at:] and len(text[2]) < len(rows[1][1]) - 150
 
 
+def test_substring_dedup_finds_passages_of_few_words(spark, make_passage):
+    rng = random.Random(8)
+    rows = []
+    for k in range(40):
+        few = [f"{rng.choice('abcdefgh') * rng.randint(1, 4)}{rng.randrange(900)}" for _ in range(rng.randint(1, 6))]
+        shared = " ".join((few * 51)[:51])
+        rows += [(2 * k + j, f"{make_passage(600 + 2 * k + j, 20 + j)} {shared} {make_passage(800 + 2 * k + j, 20)}") for j in (0, 1)]
+    got = gear_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 80 and not [r.doc_id for r in got if not r.repeats_across]
+
+
+def test_cuts_do_not_depend_on_the_slice(make_passage):
+    texts = [make_passage(k, n) for k, n in ((31, 60), (32, 3), (33, 200))] + ["", "ab " * 90, "日本" * 70]
+    def cuts(part):
+        raw, offs = V.buffer_of(pa.array(part))
+        return [(t, s - offs[t], e - offs[t]) for t, s, e in gear_dedup.cut_places(raw, offs)]
+    assert cuts(texts) == [(k, s, e) for k, t in enumerate(texts) for _, s, e in cuts([t])]
+
+
 def test_substring_dedup_odd_rows(odd, none):
     got = {r.doc_id: r for r in gear_dedup.dedup_report(odd).collect()}
     assert len(got) == 12 and got[1].n_chunks == got[2].n_chunks == 0
