@@ -152,3 +152,32 @@ def op8(spark, sf_dir):
 def op2(spark, sf_dir):
     from quillspark.llm import gru_lm
     return gru_lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), remainder(7) != 2)
+
+
+OP11_SQL = """
+WITH piece AS (SELECT lang, rid, row_number() OVER () AS pid, unnest(p) AS t FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS rid,
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS p FROM documents)),
+numbered AS (SELECT lang, row_number() OVER () AS pid, list_filter(regexp_split_to_array(t, '[ \\t]+'), lambda x: x <> '') AS w FROM piece),
+place AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM numbered WHERE len(w) > 0),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM numbered GROUP BY lang),
+gram AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM place, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)),
+known AS (SELECT lang, phrase, k, count(*)::BIGINT AS f FROM gram GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM known WHERE k > 1),
+inner_part AS (SELECT lang, a AS longer, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, a, w, k, unnest(generate_series(2, k - 1)) AS m FROM cand WHERE k > 2), (SELECT unnest([1, 2, 3, 4]) AS i) WHERE i + m - 1 <= k),
+kept AS (SELECT c.* FROM cand c LEFT JOIN (SELECT lang, phrase, max(longer) AS longer FROM inner_part GROUP BY ALL) USING (lang, phrase)
+        WHERE coalesce(100 * longer, 0) < 100 * a),
+cuts AS (SELECT lang, phrase, a, w, k AS size, unnest(generate_series(1, k - 1)) AS k FROM kept),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n, (1000 * c.a::HUGEINT * t.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+        FROM cuts c JOIN known x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+        JOIN known y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.size], ' ') JOIN total t ON t.lang = c.lang),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM least QUALIFY rank <= 2000
+"""
+
+
+@register("op11_phrase_mining", OP11_SQL)
+def op11(spark, sf_dir):
+    from quillspark.llm import phrase_mining
+    return phrase_mining.mine_phrases(table(spark, sf_dir, "documents"))
