@@ -181,3 +181,10 @@ FROM least QUALIFY rank <= 2000
 def op11(spark, sf_dir):
     from quillspark.llm import phrase_mining
     return phrase_mining.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+@register("op12_licence_index")
+def op12(spark, sf_dir):
+    from quillspark.llm import licence_index
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licence_index.scan_licences(docs, keep=["doc_id"], matches=False)
