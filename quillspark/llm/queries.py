@@ -188,3 +188,10 @@ def op12(spark, sf_dir):
     from quillspark.llm import licence_index
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licence_index.scan_licences(docs, keep=["doc_id"], matches=False)
+
+
+@register("op13_merge_align")
+def op13(spark, sf_dir):
+    from quillspark.llm import merge_align
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return merge_align.align_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
