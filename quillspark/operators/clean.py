@@ -129,6 +129,17 @@ def short_text_losses(df: DataFrame, author_col: str = "author_id", text_col: st
         F.count(F.lit(1)).cast("bigint").alias("n_texts"))
 
 
+def refuse_short_text_losses(df: DataFrame, max_lost: int = 9, author_col: str = "author_id", text_col: str = "text", min_chars: int = 50) -> DataFrame:
+    """B11 (AA form): the texts of ``min_chars`` or more; reading or writing them fails, naming the author, if any author loses
+    more than ``max_lost`` texts. The check is part of the plan: no count runs on the driver, and a failed task commits no file."""
+    lost = short_text_losses(df, author_col, text_col, min_chars)
+    bad = F.concat(F.lit("author "), F.coalesce(F.col(author_col).cast("string"), F.lit("null")), F.lit(" loses "), F.col("n_lost").cast("string"), F.lit(" texts"))
+    checked = lost.select(F.col(author_col).alias("__author"), F.when(F.col("n_lost") > max_lost, F.raise_error(bad).cast("bigint")).otherwise(F.col("n_lost")).alias("__lost"))
+    # every author's verdict is in the one row that all texts need, so no text comes out before all authors are seen
+    seen = checked.agg(F.coalesce(F.sum("__lost"), F.lit(0)).alias("__lost"))
+    return drop_short_pairs(df, (text_col,), min_chars).crossJoin(F.broadcast(seen)).filter(F.col("__lost") >= 0).drop("__lost")
+
+
 def limit_authors(df: DataFrame, n: int, col: str = "author_id", inverse: bool = False) -> DataFrame:
     """Author label < n (or >= n)."""
     return df.filter(_c(col) >= n) if inverse else df.filter(_c(col) < n)

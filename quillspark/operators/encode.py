@@ -59,3 +59,40 @@ def encode_ids(df: DataFrame, vocab: DataFrame, id_col: str, pieces_col: str, ma
     return docs.select(id_col, F.concat(F.transform("__ss", lambda x: x["ids"]),
                                         F.array_repeat(F.array_repeat(F.col("__pad"), max_tokens), F.lit(max_sents) - F.size("__ss"))).alias("ids"),
                        F.size("__ss").alias("n_sents"))
+
+
+def char_grid(pieces, ids: Column, unk: Column, pad: Column, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> Column:
+    """Character ids of the tokens of sentence pieces as a fixed (max_sents, max_tokens, max_chars) grid.
+
+    ``ids``: map from character to id. Sentences, tokens and characters beyond the grid are cut, what is missing is ``pad``,
+    unknown characters are ``unk``. One expression over the row's arrays; nothing is exploded."""
+    def fill(a, n, empty):
+        return F.concat(a, F.array_repeat(empty, F.lit(n) - F.size(a)))
+
+    def token(t):
+        chars = F.slice(F.regexp_extract_all(t, F.lit("(?s)."), 0), 1, max_chars)
+        return fill(F.transform(chars, lambda c: F.coalesce(F.try_element_at(ids, c), unk)), max_chars, pad)
+
+    def sentence(s):
+        return fill(F.transform(F.slice(F.split(s, " "), 1, max_tokens), token), max_tokens, F.array_repeat(pad, max_chars))
+
+    p = F.slice(F.col(pieces) if isinstance(pieces, str) else pieces, 1, max_sents)
+    return fill(F.transform(p, sentence), max_sents, F.array_repeat(F.array_repeat(pad, max_chars), max_tokens))
+
+
+def grid_lengths(pieces, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> Column:
+    """True lengths inside the grid: struct(n_sents, n_tokens array a sentence, n_chars array of arrays)."""
+    p = F.slice(F.col(pieces) if isinstance(pieces, str) else pieces, 1, max_sents)
+    toks = F.transform(p, lambda s: F.slice(F.split(s, " "), 1, max_tokens))
+    return F.struct(F.size(p).alias("n_sents"), F.transform(toks, F.size).alias("n_tokens"),
+                    F.transform(toks, lambda ts: F.transform(ts, lambda t: F.least(F.length(t), F.lit(max_chars)))).alias("n_chars"))
+
+
+def encode_chars(df: DataFrame, char_vocab: DataFrame, id_col: str, pieces_col: str, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> DataFrame:
+    """(id, chars, n_sents, n_tokens, n_chars). ``char_vocab``: (term, id) of single characters with <UNK> and <PAD>
+    (``rank.build_vocab`` over character counts, at most its top_k rows), sent to the rows as one map."""
+    one = char_vocab.agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("id").cast("int")))).alias("__ids"))
+    d = df.select(id_col, F.col(pieces_col).alias("__p")).crossJoin(F.broadcast(one))
+    ids = F.col("__ids")
+    grid = char_grid("__p", ids, F.element_at(ids, F.lit(UNK)), F.element_at(ids, F.lit(PAD)), max_sents, max_tokens, max_chars)
+    return d.select(id_col, grid.alias("chars"), grid_lengths("__p", max_sents, max_tokens, max_chars).alias("__n")).select(id_col, "chars", "__n.*")

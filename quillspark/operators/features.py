@@ -241,7 +241,7 @@ def function_word_freq(tokens_df: DataFrame, vocabulary: DataFrame, id_col: str
                        tokens_col: str = "tokens") -> DataFrame:
     """H3: unnormalised tf-idf over a fixed vocabulary, divided by (1 + tokens)."""
     n = tokens_df.select(id_col, F.size(tokens_col).alias("__n"))
-    c = term_counts(tokens_df, id_col, F.col(tokens_col)).join(F.broadcast(vocabulary.select("term")), "term")
+    c = term_counts(tokens_df, id_col, F.col(tokens_col)).join(vocabulary.select("term"), "term")
     n_docs = tokens_df.agg(F.count(F.lit(1)).cast("bigint").alias("__N"))
     w = tfidf(c, id_col, norm=None, vocabulary=vocabulary, n_docs=n_docs)
     return w.join(n, id_col).select(id_col, "term", (F.col("weight") / (F.lit(1.0) + F.col("__n"))).alias("weight"))

@@ -30,21 +30,28 @@ def read_domain_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def assign_domain(df: DataFrame, domain_map: DataFrame, col: str = "subreddit", out: str = "domain") -> DataFrame:
-    """Name -> cluster, lower-cased, missing = 'unknown'. The map is a
-    bounded dimension (a fixed cluster file), so it is broadcast."""
-    m = F.broadcast(domain_map.select(F.col("key").alias("__key"), F.col("cluster").alias("__cluster")))
+    """Name -> cluster, lower-cased, missing = 'unknown'. Adaptive execution
+    broadcasts the map if its bytes allow that, and splits hot names if not."""
+    m = domain_map.select(F.col("key").alias("__key"), F.col("cluster").alias("__cluster"))
     j = df.join(m, F.lower(F.col(col)) == F.col("__key"), "left")
     return j.withColumn(out, F.coalesce(F.col("__cluster"), F.lit("unknown"))).drop("__key", "__cluster")
 
 
-def align_answers(truth: DataFrame, answers: DataFrame, id_col: str = "id", value_col: str = "value") -> DataFrame:
-    """Gold left join answers; missing answer = 0.5. Extra answers are
-    reported by ``extra_answers`` (must be empty)."""
+def align_answers(truth: DataFrame, answers: DataFrame, id_col: str = "id", value_col: str = "value", refuse_extra: bool = True) -> DataFrame:
+    """Gold left join answers; a missing answer is 0.5. With ``refuse_extra`` an answer to no gold row fails the job that
+    reads the result, naming the id: a full join carries such answers into the plan, no count runs on the driver."""
     a = answers.select(id_col, F.col(value_col).cast("double").alias("__v"))
-    return truth.join(a, id_col, "left").withColumn(value_col, F.coalesce(F.col("__v"), F.lit(0.5))).drop("__v")
+    if not refuse_extra:
+        return truth.join(a, id_col, "left").withColumn(value_col, F.coalesce(F.col("__v"), F.lit(0.5))).drop("__v")
+    j = truth.withColumn("__gold", F.lit(True)).join(a, id_col, "full")
+    error = F.raise_error(F.concat(F.lit("answer to an unknown id: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).cast("double")
+    value = F.when(F.col("__gold").isNull(), error).otherwise(F.coalesce(F.col("__v"), F.lit(0.5)))
+    # the filter reads the value, so a plan that leaves the column out still refuses
+    return j.withColumn(value_col, value).filter(F.col(value_col).isNotNull()).drop("__v", "__gold")
 
 
 def extra_answers(truth: DataFrame, answers: DataFrame, id_col: str = "id") -> DataFrame:
+    """Answers to no gold row (the check table)."""
     return answers.join(truth.select(id_col), id_col, "left_anti")
 
 

@@ -56,6 +56,38 @@ def ovr_auc(scores: DataFrame, id_col: str = "text_id", label_col: str = "label"
     return j.agg(F.avg("auc").alias("ovr_macro_auc"), (F.sum(F.col("auc") * F.col("__s")) / F.sum("__s")).alias("ovr_weighted_auc"))
 
 
+def class_pair_wins(scores: DataFrame, label_col: str = "label", cls_col: str = "cls", score_col: str = "p") -> DataFrame:
+    """Rank statistic of every ordered pair of classes: (cls, label, wins2).
+
+    In the column of scores for ``cls``, wins2 counts the (text of cls, text of ``label``) pairs
+    that the text of cls wins, twice, ties once. One sorted pass with a running count of the
+    column's own texts gives it: a text of any other class is beaten by those above it, so no
+    row is copied per class pair. Equal scores are counted together first."""
+    from quillspark.operators.ranking import prefix_sums
+    counts = scores.groupBy(F.col(cls_col).alias("cls"), F.col(label_col).alias("label"), F.col(score_col).alias("p")).agg(
+        F.count(F.lit(1)).alias("n"))
+    own = F.sum(F.when(F.col("cls") == F.col("label"), F.col("n")).otherwise(0))
+    above = prefix_sums(counts.groupBy("cls", "p").agg(own.alias("own")), ["cls"], [F.col("p").desc()], ["own"], inclusive=False)
+    rivals = counts.filter(F.col("cls") != F.col("label"))
+    return (rivals.join(above, ["cls", "p"]).groupBy("cls", "label")
+            .agg(F.sum(F.col("n") * (2 * F.col("cum_own") + F.col("own"))).cast("bigint").alias("wins2")))
+
+
+def ovo_auc(scores: DataFrame, label_col: str = "label", cls_col: str = "cls", score_col: str = "p") -> DataFrame:
+    """One-vs-one AUC. For each pair of classes the mean of both directions, then the
+    mean over pairs (macro) or weighted by the pair's texts. Classes are those of the truth;
+    with fewer than two of them both averages are null. ``scores`` has a row per (text, class)."""
+    support = scores.filter(F.col(label_col) == F.col(cls_col)).groupBy(F.col(cls_col).alias("cls")).agg(F.count(F.lit(1)).alias("s"))
+    j = (class_pair_wins(scores, label_col, cls_col, score_col).join(support.withColumnRenamed("s", "a"), "cls")
+         .join(support.select(F.col("cls").alias("label"), F.col("s").alias("b")), "label"))
+    auc = F.col("wins2") / (2.0 * F.col("a") * F.col("b"))
+    total = support.agg(F.count(F.lit(1)).alias("k"), F.sum("s").alias("n"))
+    pairs = j.agg(F.sum(auc).alias("plain"), F.sum(auc * (F.col("a") + F.col("b"))).alias("weighted"))
+    many = F.col("k") > 1
+    return pairs.crossJoin(total).select(F.when(many, F.col("plain") / (F.col("k") * (F.col("k") - 1))).alias("ovo_macro_auc"),
+                                         F.when(many, F.col("weighted") / (2 * (F.col("k") - 1) * F.col("n"))).alias("ovo_weighted_auc"))
+
+
 def loss_normalised_ranking(test_loss: DataFrame, norm_loss: DataFrame | None, id_col: str = "text_id",
                             author_col: str = "author_id", loss_col: str = "loss") -> DataFrame:
     """Subtract each author's mean loss on a normalisation split (None = no

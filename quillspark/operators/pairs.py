@@ -30,9 +30,32 @@ from quillspark.session import cut_lineage
 PAIR_COLS = ["split", "label", "author_a", "post_id_a", "author_b", "post_id_b"]
 
 
+def _pairs_below(j: Column) -> Column:
+    """j(j-1)/2 in integers."""
+    return F.shiftright(j * (j - 1), 1)
+
+
 def _unrank_j(r: Column) -> Column:
-    """Largest j with j(j-1)/2 <= r (colex order of 2-subsets)."""
-    return F.floor((F.lit(1.0) + F.sqrt(F.lit(1.0) + F.lit(8.0) * r.cast("double"))) / F.lit(2.0)).cast("bigint")
+    """Largest j with j(j-1)/2 <= r (colex order of 2-subsets), exact for all r under 2^62.
+
+    The closed form in doubles is less than one off there; integers decide."""
+    from quillspark.operators.features import let
+
+    def exact(j):
+        return j - (_pairs_below(j) > r).cast("bigint") + (_pairs_below(j + 1) <= r).cast("bigint")
+    return let(F.floor((F.lit(1.0) + F.sqrt(F.lit(1.0) + F.lit(8.0) * r.cast("double"))) / F.lit(2.0)).cast("bigint"), exact)
+
+
+def distinct_draws(n_pool: Column, m: int, key_fn) -> Column:
+    """m different ordinals of [0, n_pool), n_pool >= m, in draw order (array).
+
+    Draws without replacement by the shift rule: the i-th draw is uniform in [0, n_pool - i) and is moved past every
+    earlier pick <= it, in ascending order, so nothing is enumerated."""
+    def step(acc, i):
+        raw = key_fn(i) % (n_pool - i)
+        shifted = F.aggregate(F.array_sort(acc), raw, lambda x, c: x + (x >= c).cast("bigint"))
+        return F.concat(acc, F.array(shifted))
+    return F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.lit(m - 1).cast("bigint")), F.array().cast("array<bigint>"), step)
 
 
 def index_posts(posts: DataFrame, author_col: str = "author", id_col: str = "post_id",
@@ -54,7 +77,7 @@ def _domain_cells(counts: DataFrame, mode: str) -> DataFrame:
     pair counts, ordered (d, e), with running sums. Bounded by domains^2 per user."""
     if mode == "in_domain":
         cells = counts.select("split", "author", F.col("domain").alias("d"), F.col("domain").alias("e"),
-                              (F.col("n") * (F.col("n") - 1) / 2).cast("bigint").alias("w"),
+                              _pairs_below(F.col("n")).alias("w"),
                               F.col("n").alias("n_d"), F.col("n").alias("n_e"))
     elif mode == "cross_domain":
         a = counts.select("split", "author", F.col("domain").alias("d"), F.col("n").alias("n_d"))
@@ -71,8 +94,8 @@ def _domain_cells(counts: DataFrame, mode: str) -> DataFrame:
 
 def positive_pairs_by_domain(indexed: DataFrame, mode: str = "in_domain", max_per_user: int = 2,
                              seed: int = 42) -> DataFrame:
-    """F6 positives: up to ``max_per_user`` distinct pairs per user whose domains are
-    equal (in_domain) or differ (cross_domain); all of them when there are fewer.
+    """F6 positives: up to ``max_per_user`` (any number) distinct pairs per user whose domains
+    are equal (in_domain) or differ (cross_domain); all of them when there are fewer.
 
     ``indexed`` has split, author, post_id, domain, dord (see ``index_posts``).
     """
@@ -80,28 +103,18 @@ def positive_pairs_by_domain(indexed: DataFrame, mode: str = "in_domain", max_pe
     cells = _domain_cells(counts, mode)
     totals = cells.select("split", "author", "total").distinct()
     m = max_per_user
-    # Distinct ordinals in [0, T): all of them if T <= m, else m keyed draws
-    # without replacement (shift past the earlier draws, in sorted order).
-    draws = totals.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    # Distinct ordinals in [0, T): all of them if T <= m, else m keyed draws without replacement.
     T = F.col("total")
-    raw = key(seed, "pos", mode, F.col("author"), F.col("slot")) % (T - F.col("slot"))
-    draws = draws.filter((T > m) | (F.col("slot") < T)).withColumn("__raw", F.when(T <= m, F.col("slot")).otherwise(raw))
-    if m > 2:
-        raise ValueError("max_per_user > 2 is not supported")
-    # second draw skips the first: o1 = raw0, o2 = raw1 + (raw1 >= o1)
-    first = draws.filter(F.col("slot") == 0).select("author", F.col("__raw").alias("__o1"))
-    draws = (draws.join(first, "author", "left")
-             .withColumn("o", F.when((T > m) & (F.col("slot") == 1) & (F.col("__raw") >= F.col("__o1")),
-                                     F.col("__raw") + 1).otherwise(F.col("__raw")))
-             .select("split", "author", "slot", "o"))
+    drawn = distinct_draws(T, m, lambda i: key(seed, "pos", mode, F.col("author"), i))
+    draws = totals.select("split", "author", F.posexplode(F.when(T <= m, F.sequence(F.lit(0).cast("bigint"), T - 1)).otherwise(drawn)).alias("slot", "o"))
     picked = (draws.join(cells.drop("split"), "author")
               .filter((F.col("o") >= F.col("cum")) & (F.col("o") < F.col("cum") + F.col("w")))
               .withColumn("r", F.col("o") - F.col("cum")))
     if mode == "in_domain":
         j = _unrank_j(F.col("r"))
-        picked = picked.withColumn("i_ord", F.col("r") - j * (j - 1) / 2).withColumn("j_ord", j)
+        picked = picked.withColumn("j_ord", j).withColumn("i_ord", F.col("r") - _pairs_below(F.col("j_ord")))
     else:
-        picked = picked.withColumn("i_ord", F.floor(F.col("r") / F.col("n_e"))).withColumn("j_ord", F.col("r") % F.col("n_e"))
+        picked = picked.withColumn("i_ord", F.expr("r div n_e")).withColumn("j_ord", F.col("r") % F.col("n_e"))
     picked = picked.select("split", "author", "slot", "d", "e",
                            F.col("i_ord").cast("bigint").alias("i_ord"), F.col("j_ord").cast("bigint").alias("j_ord"))
     pa = indexed.select("author", F.col("domain").alias("d"), F.col("dord").alias("i_ord"), F.col("post_id").alias("pa"))
@@ -155,7 +168,7 @@ def negative_pairs_by_domain(indexed: DataFrame, users: DataFrame, positives: Da
               .filter((F.col("o") >= F.col("cum")) & (F.col("o") < F.col("cum") + F.col("w")))
               .withColumn("r", F.col("o") - F.col("cum"))
               .select("split", "anchor", "slot", "ua", "ub", "d", "e",
-                      F.floor(F.col("r") / F.col("n_e")).cast("bigint").alias("i_ord"),
+                      F.expr("r div n_e").alias("i_ord"),
                       (F.col("r") % F.col("n_e")).cast("bigint").alias("j_ord")))
     pa = indexed.select(F.col("author").alias("ua"), F.col("domain").alias("d"), F.col("dord").alias("i_ord"),
                         F.col("post_id").alias("post_id_a"))
@@ -167,6 +180,15 @@ def negative_pairs_by_domain(indexed: DataFrame, users: DataFrame, positives: Da
                       F.col("anchor"))
 
 
+def indexed_posts(posts: DataFrame, users: DataFrame | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(posts with split, domain and ordinals; users with split), ids only, both written once: many branches read them."""
+    posts = cut_lineage(posts.select("author", "post_id", "domain"))
+    users = cut_lineage(split_authors(posts, "author", seed=seed) if users is None else users)
+    # the domain rule needs no ordinal inside the author alone
+    indexed = ordinal_in_group(posts, ["author", "domain"], ["post_id"], col="dord")
+    return cut_lineage(indexed.join(users.select("author", "split"), "author")), users
+
+
 def pairs_by_domain(posts: DataFrame, users: DataFrame | None = None, mode: str = "in_domain", max_per_user: int = 2,
                     attempts: int = 8, seed: int = 42) -> DataFrame:
     """``pairs_in_domain`` / ``pairs_cross_domain`` for all splits.
@@ -174,21 +196,13 @@ def pairs_by_domain(posts: DataFrame, users: DataFrame | None = None, mode: str
     ``posts``: author, post_id, domain. ``users``: output of ``split_authors``
     (computed here when missing). Returns id-only pair rows.
     """
-    # The id columns are all the pair logic needs: write them once, so the
-    # scan and the upstream filters are not re-run by every branch below.
-    posts = cut_lineage(posts.select("author", "post_id", "domain"))
-    if users is None:
-        users = split_authors(posts, "author", seed=seed)
-    # Both id tables are read by several branches below: write them once
-    # (reliable checkpoint) instead of re-running scan, filters and ranks.
-    users = cut_lineage(users)
-    indexed = cut_lineage(index_posts(posts.select("author", "post_id", "domain"), domain_col="domain").join(
-        users.select("author", "split"), "author"))
+    indexed, users = indexed_posts(posts, users, seed)
     pos = cut_lineage(positive_pairs_by_domain(indexed, mode, max_per_user, seed))
     neg = cut_lineage(negative_pairs_by_domain(indexed, users, pos, mode, attempts, seed))
     # positives whose attempts all failed: one direct draw among the pairs their split allows
     missing = cut_lineage(pos.join(neg.select("split", F.col("anchor").alias("author_a"), "slot"), ["split", "author_a", "slot"], "left_anti"))
-    neg = neg.unionByName(direct_negatives(indexed, missing, mode, seed))
+    if not missing.isEmpty():
+        neg = neg.unionByName(direct_negatives(indexed, missing, mode, seed))
     return pos.withColumn("anchor", F.col("author_a")).unionByName(neg)
 
 
@@ -197,8 +211,7 @@ def direct_negatives(indexed: DataFrame, missing: DataFrame, mode: str, seed: in
     split by its number of ordered user pairs, the users are unranked inside the cell (the second one skips the
     first), and each user's post is drawn by key. A split that allows no pair gives no rows."""
     held = indexed.groupBy("split", "domain", "author").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    by_user = Window.partitionBy("split", "domain").orderBy("author")
-    held = cut_lineage(held.withColumn("at", (F.row_number().over(by_user) - 1).cast("bigint")))
+    held = cut_lineage(ordinal_in_group(held, ["split", "domain"], ["author"], col="at"))
     size = held.groupBy("split", "domain").agg(F.count(F.lit(1)).cast("bigint").alias("u"))
     if mode == "in_domain":
         cells = size.select("split", F.col("domain").alias("d"), F.col("domain").alias("e"), F.col("u").alias("ud"), F.col("u").alias("ue"),
@@ -425,18 +438,9 @@ def sample_episodes(df: DataFrame, n_way: int, k_shot: int, episodes: int, autho
     authors (among authors with >= 2k texts) and 2k distinct texts of each:
     the first k adapt, the next k evaluate; labels 0..n-1 in draw order.
 
-    Draws without replacement use the shift rule: the m-th draw is uniform in
-    [0, N - m) and is moved past every earlier pick <= it (in ascending
-    order), so no group is enumerated."""
+    Draws are those of ``distinct_draws``, so no group is enumerated."""
     from quillspark.operators.ranking import dense_ids
 
-    def distinct_draws(n_pool, m, key_fn):
-        def step(acc, i):
-            raw = key_fn(i) % (n_pool - i)
-            shifted = F.aggregate(F.array_sort(acc), raw, lambda x, c: x + (x >= c).cast("bigint"))
-            return F.concat(acc, F.array(shifted))
-        return F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.lit(m - 1).cast("bigint")), F.array().cast("array<bigint>"), step)
-
     base = df.select(F.col(author_col).alias("author"), F.col(id_col).alias("text_id"))
     n = base.groupBy("author").agg(F.count(F.lit(1)).cast("bigint").alias("n_texts")).filter(F.col("n_texts") >= 2 * k_shot)
     ids = dense_ids(base.join(n, "author", "left_semi"), ["author"], ["text_id"], id_col="aidx")

@@ -90,6 +90,43 @@ def split_stratified(df: DataFrame, author_col: str = "author", id_col: str = "p
     return j.withColumn("split", expr).drop("__k", "__o", "__n")
 
 
+def split_whole(df: DataFrame, unit_col: str, shares: Sequence[float] = (0.6, 0.2, 0.2), names: Sequence[str] = SPLIT_NAMES,
+                seed: int = 42) -> DataFrame:
+    """Whole units (authors, topics, genres) go to one part, parts as near their shares of rows as whole units allow.
+
+    Units are put in keyed order and laid end to end by their numbers of rows; a unit belongs to the part that holds its middle
+    row. Sizes are one row a unit, their running sum is skew-safe, and the rows get their part by an equi join on the unit.
+    Rows without a unit (null) are a unit of their own."""
+    from quillspark.operators.ranking import prefix_sums
+    if len(shares) != len(names) or not math.isclose(sum(shares), 1.0):
+        raise ValueError("shares must sum to 1 and match names")
+    u = F.col(unit_col)
+    size = df.groupBy(u.alias("__u")).agg(F.count(F.lit(1)).cast("bigint").alias("n")).withColumn("__k", key(seed, "whole", F.col("__u"))).withColumn("__all", F.lit(0))
+    laid = prefix_sums(size, ["__all"], ["__k", F.col("__u")], ["n"], inclusive=False)
+    total = size.agg(F.sum("n").alias("__n"))
+    middle = (2 * F.col("cum_n") + F.col("n")).cast("double") / (2 * F.col("__n")).cast("double")
+    part, cum = F, 0.0
+    for share, name in zip(shares[:-1], names[:-1]):
+        cum += share
+        part = part.when(middle < F.lit(cum), F.lit(name))
+    units = laid.crossJoin(F.broadcast(total)).select("__u", part.otherwise(F.lit(names[-1])).alias("split"))
+    return df.join(units, u.eqNullSafe(F.col("__u"))).drop("__u")
+
+
+def split_whole_sql(source: str, unit_col: str, shares: Sequence[float] = (0.6, 0.2, 0.2), names: Sequence[str] = SPLIT_NAMES, seed: int = 42) -> str:
+    """DuckDB twin of ``split_whole``: the relation with a split column."""
+    from quillspark.functions import key_sql
+    cum, cases = 0.0, []
+    for share, name in zip(shares[:-1], names[:-1]):
+        cum += share
+        cases.append(f"WHEN middle < CAST({cum!r} AS DOUBLE) THEN '{name}'")
+    return f"""SELECT s.*, u.split FROM ({source}) s JOIN (
+      SELECT {unit_col}, CASE {' '.join(cases)} ELSE '{names[-1]}' END AS split FROM (
+        SELECT {unit_col}, CAST(2 * sum(n) OVER (ORDER BY k, {unit_col}) - n AS DOUBLE) / CAST(2 * sum(n) OVER () AS DOUBLE) AS middle
+        FROM (SELECT {unit_col}, count(*) AS n, {key_sql(seed, 'whole', '@' + unit_col)} AS k FROM ({source}) s0 GROUP BY {unit_col}) s1) s2) u
+      ON s.{unit_col} IS NOT DISTINCT FROM u.{unit_col}"""
+
+
 def split_bernoulli(df: DataFrame, id_col: str, share: float = 0.2, seed: int = 42,
                     names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """independent draw per row: ``share`` of rows go to the second part."""

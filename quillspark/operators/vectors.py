@@ -99,6 +99,61 @@ def author_centroids(vectors: DataFrame, author_col: str = "author_id", vec_col:
         author_col, F.transform("__s", lambda s: s["x"]).alias("centroid"))
 
 
+def mean_vectors(vectors: DataFrame, keys: Sequence[str], vec_col: str = "embedding", out: str = "centroid") -> DataFrame:
+    """Element-wise mean per key, summed as whole vectors per partition: a group of any size sends one vector a task."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = array_to_vector(F.col(vec_col).cast("array<double>"))
+    return vectors.groupBy(*keys).agg(vector_to_array(Summarizer.mean(v)).alias(out))
+
+
+def author_vectors(chunks: DataFrame, form: str = "mean", max_texts: int | None = None, author_col: str = "author_id", id_col: str = "text_id",
+                   pos_col: str = "pos", vec_col: str = "embedding") -> DataFrame:
+    """D10 over chunk vectors (author, text, pos, vector); (author, pos, embedding), ``pos`` null where it means nothing.
+
+    * ``mean``: mean over texts of each text's mean over its chunks, so long texts weigh as much as short ones;
+    * ``chunk``: mean per chunk position over the texts that have that chunk;
+    * ``first``: the chunk vectors of the author's first text (smallest id);
+    * ``all``: every chunk vector.
+
+    ``max_texts`` keeps an author's first texts only (the reference's n documents per author)."""
+    cols = [F.col(author_col).alias("author"), F.col(id_col).alias("text"), F.col(pos_col).cast("bigint").alias("pos"), F.col(vec_col).alias("v")]
+    c = chunks.select(*cols)
+    if max_texts is not None:
+        from quillspark.operators.ranking import ordinal_in_group
+        few = ordinal_in_group(c.select("author", "text").distinct(), ["author"], ["text"], col="at").filter(F.col("at") < max_texts)
+        c = c.join(few.select("author", "text"), ["author", "text"], "left_semi")
+    if form == "mean":
+        out = mean_vectors(mean_vectors(c, ["author", "text"], "v", "v"), ["author"], "v", "v").withColumn("pos", F.lit(None).cast("bigint"))
+    elif form == "chunk":
+        out = mean_vectors(c, ["author", "pos"], "v", "v")
+    elif form == "first":
+        first = c.groupBy("author").agg(F.min("text").alias("text"))
+        out = c.join(first, ["author", "text"], "left_semi")
+    elif form == "all":
+        out = c
+    else:
+        raise ValueError(f"unknown form {form}")
+    return out.select(F.col("author").alias(author_col), *(["text"] if form == "all" else []), "pos", F.col("v").alias(vec_col))
+
+
+def chunked_pair_scores(pairs: DataFrame, chunks: DataFrame, metric: str = "euclidean", reduce: str = "mean", similarity=inverse_similarity,
+                        pair_col: str = "pair_id", id_a: str = "text_id_a", id_b: str = "text_id_b", id_col: str = "text_id",
+                        pos_col: str = "pos", vec_col: str = "embedding", seed: int = 42) -> DataFrame:
+    """K6: chunk i of one text against chunk i of the other up to the shorter text, distances reduced per pair
+    (``reduce``: mean, median, first, random), then a similarity. (pair, n_chunks, distance, similarity).
+
+    Vectors are met by two equi joins on (text, position), never text by text; a pair without a common chunk has n_chunks 0 and nulls."""
+    from quillspark.operators.stats import pair_reduce
+    v = chunks.select(F.col(id_col).alias("__t"), F.col(pos_col).cast("bigint").alias("pos"), F.col(vec_col).alias("__v"))
+    left = pairs.select(pair_col, id_a, id_b).join(v.withColumnsRenamed({"__t": id_a, "__v": "__va"}), id_a)
+    both = left.join(v.withColumnsRenamed({"__t": id_b, "__v": "__vb"}), [id_b, "pos"]).select(pair_col, "pos", distance("__va", "__vb", metric).alias("d"))
+    reduced = pair_reduce(both, pair_col, "pos", "d", seed).join(both.groupBy(pair_col).agg(F.count(F.lit(1)).alias("n_chunks")), pair_col)
+    out = pairs.select(pair_col).join(reduced, pair_col, "left")
+    return out.select(pair_col, F.coalesce("n_chunks", F.lit(0)).cast("bigint").alias("n_chunks"), F.col(f"d_{reduce}").alias("distance"),
+                      similarity(F.col(f"d_{reduce}")).alias("similarity"))
+
+
 def _blocks(cands: DataFrame, cand_id: str, label_col: str, vec_col: str, block_size: int) -> DataFrame:
     from quillspark.operators.ranking import global_rank
     r = global_rank(cands.select(cand_id, label_col, vec_col), [cand_id], rank_col="__r")

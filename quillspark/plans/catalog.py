@@ -43,6 +43,23 @@ def q_pairs_cross_domain(spark, sf_dir):
     return pairs.pairs_cross_domain(forum_posts(spark, sf_dir))
 
 
+def _five_positives(spark, sf_dir, mode):
+    indexed, _ = pairs.indexed_posts(forum_posts(spark, sf_dir))
+    return pairs.positive_pairs_by_domain(indexed, mode, 5)
+
+
+@register("positive_pairs_in_domain", Q.positives_by_domain_sql(Q.forum_posts_sql(True), "in_domain", 5))
+def q_positive_pairs_in_domain(spark, sf_dir):
+    """F6 with up to five positives per user."""
+    return _five_positives(spark, sf_dir, "in_domain")
+
+
+@register("positive_pairs_cross_domain", Q.positives_by_domain_sql(Q.forum_posts_sql(True), "cross_domain", 5))
+def q_positive_pairs_cross_domain(spark, sf_dir):
+    """F6 across domains with up to five positives per user."""
+    return _five_positives(spark, sf_dir, "cross_domain")
+
+
 @register("pair_counts_in_domain", f"""
     SELECT split, label, CAST(count(*) AS BIGINT) AS n_pairs
     FROM ({Q.pairs_by_domain_sql(Q.forum_posts_sql(True), 'in_domain')}) x GROUP BY split, label""")

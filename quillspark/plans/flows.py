@@ -8,12 +8,17 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
-from quillspark.operators import clean, joins, metrics, pairs, splits
+from quillspark.functions.normalize import fold_accents
+from quillspark.operators import checks, clean, features, joins, metrics, models, pairs, ppm, splits
 from quillspark.operators import significance as sig
+from quillspark.operators.ranking import dense_ids
+from quillspark.session import cut_lineage
+from quillspark.sources import io
 
 
 def build_forum_pairs(posts: DataFrame, out: str | None = None, domain_map: DataFrame | None = None,
@@ -71,14 +76,87 @@ def build_mix(sets: dict, n_per_label: int | dict = 10_000, seed: int = 42) -> D
     return pairs.mix_pair_sets(sets, n_per_label, seed)
 
 
+# What each corpus of Z4 takes: its reader, duplicates per author or over all, authors' sizes, the form of its split.
+CORPORA = {
+    "reviews": {"read": io.read_reviews, "distinct": "global", "min_texts": 5},
+    "imdb62": {"read": io.read_imdb62, "distinct": "author", "min_texts": 2},
+    "blogs": {"read": lambda spark, path: io.read_blog_posts(spark, path).withColumnRenamed("blog_id", "author"), "distinct": "author", "min_texts": 5},
+    "tree": {"read": io.read_text_tree, "distinct": "author", "min_texts": 2},
+    "topics": {"read": lambda spark, path: io.read_text_tree(spark, path, category_level=-3), "distinct": "author", "min_texts": 2, "form": "cross", "unit": "category"},
+    "unseen": {"read": io.read_text_tree, "distinct": "global", "min_texts": 2, "form": "unseen"},
+}
+
+
+def build_corpus(spark: SparkSession, kind: str, source: str, out: str, seed: int = 42, **changes) -> DataFrame:
+    """Reader -> P2 / P3 -> B10 -> E5 -> A19; corpus, pairs and stats under ``out``. Returns the invariants (O1) of what was
+    written. ``kind`` names an entry of ``CORPORA``, ``changes`` override its parts (for a table: read=lambda spark, path: df).
+
+    Text ids are digests of (author, text): equal texts of an author are one text, so ids need no order over the corpus."""
+    want = {**CORPORA[kind], **changes}
+    d = want["read"](spark, source)
+    unit = want.get("unit")
+    d = d.select("author", "text", *([unit] if unit else [])).filter(F.length("text") > 0)
+    same = ["text"] if want["distinct"] == "global" else ["author", "text"]
+    least = [F.min(c).alias(c) for c in d.columns if c not in same]
+    d = d.groupBy(F.xxhash64(*same).alias("__h"), *same).agg(*least).drop("__h") if least else d.dropDuplicates(same)
+    d = clean.filter_author_size(d, "author", want["min_texts"], want.get("max_texts"))
+    d = d.withColumn("text_id", F.md5(F.to_json(F.struct("author", "text"))))
+    d = cut_lineage(d)
+    labels = dense_ids(d.select("author", "text_id"), ["author"], ["text_id"], id_col="author_id")
+    aa = d.join(labels, "author").drop("author")
+    io.write_id_map(labels, f"{out}/authors", mode="errorifexists")
+    io.materialize_corpus(aa, out, seed, form=want.get("form", "stratified"), unit_col=unit)
+    return checks.check_corpus(spark.read.parquet(f"{out}/aa"))
+
+
+def train_and_score(method: str, train: DataFrame, test: DataFrame, dataset: str = "corpus", threshold: float = 0.5, seed: int = 42) -> DataFrame:
+    """One method trained on one table and scored on the other, as score rows (dataset, model, id, label, prob, pred).
+
+    * ``features``: pairs with the texts' vectors (pair_id, label, features_a, features_b), H13 + H14;
+    * ``entropy``: pairs with texts (pair_id, label, text0, text1), I5 + I6;
+    * ``entropy_authors``: texts (text_id, author_id, text), I1 + I3 + I4; prob is the margin, label and pred are authors;
+    * ``ngrams``: texts likewise, J1 + J3 on character 1- to 3-grams; prob is that of the predicted author."""
+    def rows(df, id_col):
+        return df.select(F.lit(dataset).alias("dataset"), F.lit(method).alias("model"), F.col(id_col).cast("string").alias("id"),
+                         F.col("label").cast("bigint").alias("label"), F.col("prob"), F.col("pred").cast("bigint").alias("pred"))
+
+    if method == "features":
+        both = train.withColumn("__train", F.lit(True)).unionByName(test.withColumn("__train", F.lit(False)))
+        both = cut_lineage(both.select("pair_id", "label", "__train", F.monotonically_increasing_id().alias("__row"), "features_a", "features_b"))
+        side = [both.select(F.concat_ws(":", "__row", F.lit(x)).alias("text_id"), F.col(f"features_{x}").alias("features"), "__train") for x in "ab"]
+        texts = cut_lineage(side[0].unionByName(side[1]))
+        pair_rows = both.select("pair_id", "label", "__train", F.concat_ws(":", "__row", F.lit("a")).alias("text_id_a"), F.concat_ws(":", "__row", F.lit("b")).alias("text_id_b"))
+        d = cut_lineage(models.pair_difference(pair_rows, texts.select("text_id", "features"), texts.filter("__train").select("text_id")))
+        model = models.fit_pair_classifier(d.filter("__train"), seed=seed)
+        return rows(models.score_pairs(model, d.filter("not __train"), threshold), "pair_id")
+    if method == "entropy":
+        rates = [cut_lineage(ppm.pair_entropy_features(x).join(x.select("pair_id", "label"), "pair_id")) for x in (train, test)]
+        return rows(models.score_entropy(models.fit_entropy_classifier(rates[0], seed=seed), rates[1], threshold), "pair_id")
+    if method == "entropy_authors":
+        test = test.filter(F.length("text") > 0)
+        h = ppm.cross_entropy_authors(test, ppm.context_counts(train, "author_id"))
+        got = ppm.attribute_by_entropy(h, texts=test, authors=train.filter(F.length("text") > 0))
+        return rows(got.join(test.select("text_id", F.col("author_id").alias("label")), "text_id").withColumnRenamed("margin", "prob"), "text_id")
+    if method == "ngrams":
+        grams = [cut_lineage(x.select("text_id", "author_id", features.char_ngrams(fold_accents(F.col("text")), 1, 3, lowercase=False).alias("grams"))) for x in (train, test)]
+        vec = models.ngram_vectors(grams[0], "grams", min_df=2.0, sublinear=True)
+        model = models.fit_author_classifier(cut_lineage(vec.transform(grams[0])), "author_id", reg=0.01)
+        got = model.transform(vec.transform(grams[1])).withColumn("prob", F.array_max(vector_to_array("probability")))
+        return rows(got.withColumn("label", F.col("author_id")).withColumn("pred", F.col("prediction")), "text_id")
+    raise ValueError(f"unknown method {method}")
+
+
 def evaluate_scores(validation: DataFrame, test: DataFrame, keys: Sequence[str] = ("dataset", "model")) -> DataFrame:
     """Youden threshold tuned on validation (L4) -> applied to test
-    -> basic metrics (L2) joined with PAN scores (L9)."""
-    thr = metrics.youden_threshold(validation, keys)
-    applied = metrics.apply_threshold(test, thr, keys, default=0.0)
+    -> basic metrics (L2), PAN scores (L9) and verification metrics (L10, prefix ``av_``)."""
+    keys = list(keys)
+    thr = cut_lineage(metrics.youden_threshold(validation, keys))
+    applied = cut_lineage(metrics.apply_threshold(test, thr, keys, default=0.0))
     basic = metrics.basic_metrics(applied, keys)
     pan = metrics.pan_scores(test, keys).drop("auc")
-    return basic.join(pan, list(keys)).join(thr, list(keys))
+    av = metrics.av_metrics(applied, keys)
+    av = av.select(*keys, *[F.col(c).alias(f"av_{c}") for c in av.columns if c not in (*keys, "threshold", "auc")])
+    return basic.join(pan, keys).join(av, keys).join(thr, keys)
 
 
 def significance_flow(test: DataFrame, thresholds: DataFrame | None = None, replicates: int = sig.N_BOOTSTRAPS,

@@ -41,6 +41,22 @@ def q_split_authors(spark, sf_dir):
 _C1, _C2 = 0.6, 0.6 + 0.2
 
 
+@register("split_whole_authors", splits.split_whole_sql("SELECT post_id, author FROM (" + views.posts_sql(True) + ") p", "author"))
+def q_split_whole_authors(spark, sf_dir):
+    """A19, unseen authors: every author's posts in one part."""
+    return splits.split_whole(views.posts(spark, sf_dir, fine=True).select("post_id", "author"), "author").select("post_id", "author", "split")
+
+
+@register("cross_topic_corpus", f"""
+    WITH s AS ({splits.split_whole_sql(f"SELECT author_id, text_id, lang FROM ({AA_SQL}) a", "lang")}),
+    ids AS (SELECT author_id, row_number() OVER (ORDER BY min(text_id), author_id) - 1 AS nid FROM s WHERE split = 'train' GROUP BY author_id)
+    SELECT CAST(ids.nid AS BIGINT) AS author_id, s.text_id, s.lang, s.split FROM s JOIN ids ON ids.author_id = s.author_id""")
+def q_cross_topic_corpus(spark, sf_dir):
+    """A19, cross-topic (languages play topics): topics whole in one part, only authors of the training part, dense labels."""
+    from quillspark.sources.io import cross_corpus
+    return cross_corpus(aa(spark, sf_dir).select("author_id", "text_id", "lang"), "lang")
+
+
 @register("split_stratified", f"""
     SELECT post_id, author, CASE WHEN o < floor(CAST(n AS DOUBLE) * {_C1!r}) THEN 'train'
                                  WHEN o < floor(CAST(n AS DOUBLE) * {_C2!r}) THEN 'validation' ELSE 'test' END AS split

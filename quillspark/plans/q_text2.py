@@ -108,6 +108,41 @@ def q_encode_ids(spark, sf_dir):
     return e.select("doc_id", "n_sents", F.size("ids").alias("rows"), F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + F.size(x)).alias("cells"))
 
 
+# the vocabularies as the library's vocabulary query numbers them; grids as text, all cells
+_CHAR_COUNTS_SQL = "SELECT ch AS term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents) c GROUP BY ch"
+_GRID = (50, 12, 15)
+
+
+def _char_vocab(spark, sf_dir):
+    counts = _docs(spark, sf_dir).select(F.explode(F.regexp_extract_all("text", F.lit("(?s)."), 0)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    v = counts.filter("n >= 50").select("term", (F.unicode("term") + 2).cast("int").alias("id"))
+    return v.unionByName(spark.createDataFrame([(encode.PAD, 0), (encode.UNK, 1)], "term string, id int"))
+
+
+def _cells(x):
+    return F.md5(F.array_join(F.flatten(F.flatten(x)).cast("array<string>"), ","))
+
+
+@register("encode_chars", f"""
+    WITH v AS (SELECT term, unicode(term) + 2 AS id FROM ({_CHAR_COUNTS_SQL}) c WHERE n >= 50),
+    m AS (SELECT map_from_entries(list((term, id))) AS ids FROM v),
+    s AS (SELECT doc_id, CASE WHEN pieces = '' THEN [] ELSE string_split(pieces, ' | ')[1:{_GRID[0]}] END AS p FROM ({_markers_sql(T_W)}) x),
+    t AS (SELECT doc_id, list_transform(p, lambda x: string_split(x, ' ')[1:{_GRID[1]}]) AS t FROM s),
+    c AS (SELECT doc_id, t, list_transform(range(1, {_GRID[0] + 1}), lambda i: list_transform(range(1, {_GRID[1] + 1}), lambda j: list_transform(range(1, {_GRID[2] + 1}),
+            lambda k: CASE WHEN coalesce(substr(t[i][j], k, 1), '') = '' THEN 0 ELSE coalesce(m.ids[substr(t[i][j], k, 1)], 1) END))) AS g FROM t, m)
+    SELECT doc_id, CAST(len(t) AS INTEGER) AS n_sents, CAST(coalesce(list_sum(list_transform(t, lambda x: len(x))), 0) AS BIGINT) AS n_tokens,
+      CAST(coalesce(list_sum(list_transform(flatten(t), lambda x: least(length(x), {_GRID[2]}))), 0) AS BIGINT) AS n_chars,
+      md5(array_to_string(flatten(flatten(g)), ',')) AS cells FROM c""")
+def q_encode_chars(spark, sf_dir):
+    """The character grid of every text, all cells, and the true lengths."""
+    d = _docs(spark, sf_dir).select("doc_id", encode.add_markers(T.tokenized_sentences("text"), T_W).alias("pieces"))
+    e = encode.encode_chars(d, _char_vocab(spark, sf_dir), "doc_id", "pieces", *_GRID)
+
+    def total(a):
+        return F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)
+    return e.select("doc_id", "n_sents", total("n_tokens").alias("n_tokens"), total(F.flatten("n_chars")).alias("n_chars"), _cells("chars").alias("cells"))
+
+
 @register("pairs_from_blocks", f"""
     SELECT p.pair_id, CAST(w AS BIGINT) AS pos, substr(p.text0, CAST(w * 1280 + 1 AS BIGINT), 1280) AS chunk0, substr(p.text1, CAST(w * 1280 + 1 AS BIGINT), 1280) AS chunk1
     FROM (SELECT concat(CAST(a.conv_id AS VARCHAR), ':', CAST(a.turn AS VARCHAR)) AS pair_id, a.text AS text0, b.text AS text1

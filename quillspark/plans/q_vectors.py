@@ -87,6 +87,57 @@ def q_contrastive_loss(spark, sf_dir):
 _CHUNKS = 4
 
 
+# chunk vectors of 16 dimensions; texts have one to four of them
+def _chunk_vectors(spark, sf_dir):
+    v = _vec(spark, sf_dir).select("author_id", "text_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(_CHUNKS - 1))).alias("pos"))
+    return v.filter(F.col("pos") <= F.col("text_id") % _CHUNKS).select(
+        "author_id", "text_id", F.col("pos").cast("bigint").alias("pos"), F.slice("embedding", F.col("pos") * 16 + 1, 16).alias("embedding"))
+
+
+_CHUNK_SQL = f"""SELECT author_id, text_id, CAST(k AS BIGINT) AS pos, list_transform(generate_series(k * 16 + 1, k * 16 + 16), lambda i: CAST(embedding[i] AS DOUBLE)) AS v
+    FROM ({views.vec_sql()}) v CROSS JOIN range(0, {_CHUNKS}) r(k) WHERE k <= text_id % {_CHUNKS}"""
+_CELL_SQL = f"SELECT author_id, text_id, pos, unnest(v) AS x, unnest(generate_series(0, 15)) AS dim FROM ({_CHUNK_SQL}) c"
+
+
+def _cells(df):
+    return df.select("author_id", "pos", F.posexplode("embedding").alias("dim", "x")).select(
+        "author_id", "pos", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("x").cast("double"), 9).alias("x"))
+
+
+@register("author_vectors_mean", f"""SELECT author_id, CAST(NULL AS BIGINT) AS pos, dim, round(avg(x), 9) AS x FROM (
+    SELECT author_id, text_id, dim, avg(x) AS x FROM ({_CELL_SQL}) c GROUP BY ALL) t GROUP BY author_id, dim""")
+def q_author_vectors_mean(spark, sf_dir):
+    return _cells(V.author_vectors(_chunk_vectors(spark, sf_dir), "mean"))
+
+
+@register("author_vectors_chunk", f"SELECT author_id, pos, dim, round(avg(x), 9) AS x FROM ({_CELL_SQL}) c GROUP BY author_id, pos, dim")
+def q_author_vectors_chunk(spark, sf_dir):
+    return _cells(V.author_vectors(_chunk_vectors(spark, sf_dir), "chunk"))
+
+
+@register("author_vectors_first", f"""SELECT author_id, pos, dim, round(x, 9) AS x FROM ({_CELL_SQL}) c
+    WHERE text_id = (SELECT min(text_id) FROM ({views.vec_sql()}) v WHERE v.author_id = c.author_id)""")
+def q_author_vectors_first(spark, sf_dir):
+    return _cells(V.author_vectors(_chunk_vectors(spark, sf_dir), "first"))
+
+
+@register("chunked_pair_scores", f"""
+    WITH c AS ({_CHUNK_SQL}),
+    p AS (SELECT DISTINCT text_id_a, text_id_b, label, concat(CAST(text_id_a AS VARCHAR), '-', CAST(text_id_b AS VARCHAR), '-', CAST(label AS VARCHAR)) AS pair_id FROM ({_VP_SQL}) x),
+    d AS (SELECT p.pair_id, sqrt(list_reduce(list_transform(generate_series(1, 16), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])), lambda x, y: x + y, {D(0)})) AS d
+          FROM p JOIN c a ON a.text_id = p.text_id_a JOIN c b ON b.text_id = p.text_id_b AND b.pos = a.pos),
+    m AS (SELECT pair_id, count(*) AS n, CAST(median(d) AS DOUBLE) AS d FROM d GROUP BY pair_id)
+    SELECT p.pair_id, CAST(coalesce(n, 0) AS BIGINT) AS n_chunks, round(d, 9) AS distance, round({D(1)} / ({D(1)} + d), 9) AS similarity
+    FROM p LEFT JOIN m ON m.pair_id = p.pair_id""")
+def q_chunked_pair_scores(spark, sf_dir):
+    v = _vec(spark, sf_dir)
+    p = pairs.pairs_per_text(v.select("author_id", "text_id"), "author_id", "text_id")
+    pid = F.concat_ws("-", F.col("text_id_a").cast("string"), F.col("text_id_b").cast("string"), F.col("label").cast("string"))
+    p = p.select(pid.alias("pair_id"), "text_id_a", "text_id_b").distinct()
+    r = V.chunked_pair_scores(p, _chunk_vectors(spark, sf_dir), reduce="median")
+    return r.select("pair_id", "n_chunks", F.round("distance", 9).alias("distance"), F.round("similarity", 9).alias("similarity"))
+
+
 @register("pair_reduce", f"""
     WITH c AS (SELECT text_id_a, text_id_b, label, CAST(k AS BIGINT) AS pos,
                       sqrt(list_reduce(list_transform(generate_series(k * 16 + 1, k * 16 + 16), lambda i: (CAST(va[i] AS DOUBLE) - CAST(vb[i] AS DOUBLE)) * (CAST(va[i] AS DOUBLE) - CAST(vb[i] AS DOUBLE))), lambda x, y: x + y, {D(0)})) AS d

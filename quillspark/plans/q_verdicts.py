@@ -130,6 +130,45 @@ def q_aa_topk(spark, sf_dir):
     return MA.top_k_accuracy(sc, range(2, 11), "text_id", "label", "cls", "p")
 
 
+def _class_scores(spark, sf_dir):
+    """(text_id, label, cls, p): every test text scored for every author, p = -distance to the centroid."""
+    from quillspark.operators import vectors as V
+    s = _vsplit(spark, sf_dir)
+    c = V.author_centroids(s.filter("split = 'train'"))
+    cands = c.select(F.col("author_id").alias("cand_id"), "author_id", F.col("centroid").alias("embedding"))
+    nn = V.nearest_candidates(s.filter("split = 'test'"), cands, None, "euclidean", "text_id", "cand_id", "author_id")
+    return nn.join(s.select("text_id", F.col("author_id").alias("label")), "text_id").select(
+        "text_id", "label", F.col("author_id").alias("cls"), F.round(-F.col("d"), 9).alias("p"))
+
+
+# every (text of the class, other text) pair is compared, on purpose another way than the running counts
+_PAIRWISE_SQL = f"""t AS (SELECT t.text_id, t.author_id AS cls, s.author_id AS label, round(-t.d, 9) AS p
+        FROM ({_TC_SQL}) t JOIN ({views.vec_sql()}) s ON s.text_id = t.text_id),
+    n AS (SELECT label AS cls, CAST(count(*) AS DOUBLE) AS s FROM t WHERE cls = label GROUP BY label),
+    u AS (SELECT a.cls, b.label, sum(CASE WHEN a.p > b.p THEN {D(1)} WHEN a.p = b.p THEN {D(0.5)} ELSE {D(0)} END) AS w
+          FROM t a JOIN t b ON a.cls = b.cls AND a.label = a.cls AND b.label <> b.cls GROUP BY a.cls, b.label)"""
+
+
+@register("ovo_auc", f"""
+    WITH {_PAIRWISE_SQL},
+    d AS (SELECT least(u.cls, u.label) AS j, greatest(u.cls, u.label) AS k, avg(u.w / (x.s * y.s)) AS auc, max(x.s + y.s) AS weight
+          FROM u JOIN n x ON x.cls = u.cls JOIN n y ON y.cls = u.label GROUP BY 1, 2)
+    SELECT round(avg(auc), 9) AS ovo_macro_auc, round(sum(auc * weight) / sum(weight), 9) AS ovo_weighted_auc FROM d""")
+def q_ovo_auc(spark, sf_dir):
+    m = MA.ovo_auc(_class_scores(spark, sf_dir))
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
+@register("ovr_auc", f"""
+    WITH {_PAIRWISE_SQL},
+    d AS (SELECT u.cls, sum(u.w) / (max(x.s) * sum(y.s)) AS auc, max(x.s) AS weight
+          FROM u JOIN n x ON x.cls = u.cls JOIN n y ON y.cls = u.label GROUP BY u.cls)
+    SELECT round(avg(auc), 9) AS ovr_macro_auc, round(sum(auc * weight) / sum(weight), 9) AS ovr_weighted_auc FROM d""")
+def q_ovr_auc(spark, sf_dir):
+    m = MA.ovr_auc(_class_scores(spark, sf_dir))
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
 # L15 ----------------------------------------------------------------------------------------
 _GRID = [0.3, 0.4, 0.5, 0.6, 0.7]
 

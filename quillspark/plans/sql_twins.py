@@ -21,6 +21,28 @@ def forum_posts_sql(fine: bool = True, lo: int = 25, hi: int = 1000, min_n: int
                      GROUP BY author HAVING count(*) >= {min_n} AND count(*) <= {max_n})"""
 
 
+def positives_by_domain_sql(posts_rel: str, mode: str = "in_domain", m: int = 5, seed: int = 42) -> str:
+    """Twin of ``pairs.positive_pairs_by_domain``: all pairs of a user are listed and numbered; draws are applied one after the
+    other, each as a position in the list of numbers that are still free."""
+    cond, order = ("a.domain = b.domain AND a.dord < b.dord", "d, e, j, i") if mode == "in_domain" else ("a.domain < b.domain", "d, e, i, j")
+    return f"""
+    WITH RECURSIVE p AS ({posts_rel}),
+    users AS ({split_authors_sql('SELECT author FROM p', 'author', seed)}),
+    ix AS (SELECT p.author, p.post_id, p.domain, u.split, row_number() OVER (PARTITION BY p.author, p.domain ORDER BY p.post_id) - 1 AS dord
+           FROM p JOIN users u ON p.author = u.author),
+    combos AS (SELECT a.split, a.author, a.domain AS d, b.domain AS e, a.dord AS i, b.dord AS j, a.post_id AS pa, b.post_id AS pb
+               FROM ix a JOIN ix b ON a.author = b.author AND {cond}),
+    co AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY {order}) - 1 AS o, count(*) OVER (PARTITION BY author) AS T FROM combos),
+    tot AS (SELECT DISTINCT author, T FROM co),
+    dr AS (SELECT author, T, 0 AS slot, generate_series(0, T - 1) AS free, CAST(NULL AS BIGINT) AS o FROM tot
+           UNION ALL
+           SELECT author, T, slot + 1, list_filter(free, lambda x: x <> pick), pick FROM (
+             SELECT *, CASE WHEN T <= {m} THEN slot ELSE free[{key_sql(seed, 'pos', mode, '@author', '@slot')} % len(free) + 1] END AS pick
+             FROM dr WHERE slot < least(T, {m})) q)
+    SELECT co.split, true AS label, co.author AS author_a, least(pa, pb) AS post_id_a, co.author AS author_b, greatest(pa, pb) AS post_id_b,
+           CAST(dr.slot - 1 AS BIGINT) AS slot FROM dr JOIN co ON co.author = dr.author AND co.o = dr.o WHERE dr.slot > 0"""
+
+
 def pairs_by_domain_sql(posts_rel: str, mode: str = "in_domain", attempts: int = 8, seed: int = 42) -> str:
     """Twin of ``pairs.pairs_by_domain`` (max 2 positives per user)."""
     if mode == "in_domain":

@@ -8,9 +8,10 @@ formats are needed) and never collect to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # CSV headers of the reference's AA / AV files.
@@ -131,26 +132,54 @@ def read_reviews(spark: SparkSession, path: str, min_chars: int = 50, max_chars:
                     F.regexp_extract("__file", r"^(.*?)(\.[^.]*)?$", 1).alias("topic"))
 
 
+def decode_text(content: Column, encoding: str = "UTF-8") -> Column:
+    """Bytes to text. Spark decodes ISO-8859-1 and the UTF encodings; cp1252 differs from ISO-8859-1 in 27 signs, which are translated."""
+    if encoding.lower().replace("windows-", "cp") != "cp1252":
+        return F.decode(content, encoding)
+    signs = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+    return F.translate(F.decode(content, "ISO-8859-1"), "".join(signs), "".join(signs.values()))
+
+
 def read_text_tree(spark: SparkSession, path_glob: str, encoding: str = "UTF-8", author_level: int = -2,
-                   per_line: bool = False) -> DataFrame:
-    """A10: one text per file (or per line); the author is the directory name at
-    ``author_level`` of the path (-2 = parent directory)."""
+                   per_line: bool = False, category_level: int | None = None) -> DataFrame:
+    """A10: one text per file (or per line); author, and category if a level is given, are directory names of the path
+    (-2 = parent directory). Lines come as bytes from Spark's splittable reader and are decoded one by one in ``encoding``
+    (of one byte a character, or UTF-8): (author[, category], text, path)."""
     if per_line:
-        d = spark.read.text(path_glob).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"))
+        d = spark.read.text(path_glob).select(F.col("value").cast("binary").alias("content"), F.col("_metadata.file_path").alias("path"))
     else:
-        d = spark.read.format("binaryFile").load(path_glob).select(
-            F.decode(F.col("content"), encoding).alias("text"), F.col("path"))
+        d = spark.read.format("binaryFile").load(path_glob)
     parts = F.split(F.col("path"), "/")
-    return d.select(F.element_at(parts, author_level).alias("author"), "text", "path")
+    names = [F.element_at(parts, author_level).alias("author")]
+    if category_level is not None:
+        names.append(F.element_at(parts, category_level).alias("category"))
+    return d.select(*names, decode_text(F.col("content"), encoding).alias("text"), "path")
+
 
+def parse_coded_filenames(df: DataFrame, pattern: str, names: Sequence[str], path_col: str = "path",
+                          codes: Mapping[str, Sequence[str]] | None = None, max_edits: int = 1) -> DataFrame:
+    """Fields out of a file name by regex; a name that does not match fails the job.
 
-def parse_coded_filenames(df: DataFrame, pattern: str, names: Sequence[str], path_col: str = "path") -> DataFrame:
-    """Fields out of a file name by regex; a name that does not match fails the job."""
+    ``codes`` names the valid values of a field. A value that is none of them is repaired to the nearest one by edit distance;
+    more than ``max_edits`` edits, or two codes equally near, fail the job with the name."""
     base = F.element_at(F.split(F.col(path_col), "/"), -1)
-    ok = base.rlike(pattern)
-    out = df.withColumn("__base", F.when(ok, base).otherwise(F.raise_error(F.concat(F.lit("bad file name: "), base))))
+
+    def refuse(why):
+        return F.raise_error(F.concat(F.lit(f"{why}: "), F.col("__base")))
+
+    out = df.withColumn("__base", base).withColumn("__base", F.when(F.col("__base").rlike(pattern), F.col("__base")).otherwise(refuse("bad file name")))
     for i, n in enumerate(names, start=1):
-        out = out.withColumn(n, F.regexp_extract("__base", pattern, i))
+        value = F.regexp_extract("__base", pattern, i)
+        valid = list((codes or {}).get(n, ()))
+        if valid:
+            out = out.withColumn("__v", value).withColumn("__near", F.array_sort(F.array(*[
+                F.struct(F.levenshtein(F.col("__v"), F.lit(c)).alias("edits"), F.lit(c).alias("code")) for c in valid])))
+            first = F.col("__near")[0]
+            tie = (F.col("__near")[1]["edits"] == first["edits"]) if len(valid) > 1 else F.lit(False)
+            out = out.withColumn(n, F.when(first["edits"] == 0, first["code"]).when(first["edits"] > max_edits, refuse(f"unknown {n}"))
+                                 .when(tie, refuse(f"ambiguous {n}")).otherwise(first["code"])).drop("__v", "__near")
+        else:
+            out = out.withColumn(n, value)
     return out.drop("__base")
 
 
@@ -210,9 +239,21 @@ def parse_score_lists(df: DataFrame, col: str, out: str, element: str = "double"
     return df.withColumn(out, F.coalesce(js, rx))
 
 
-def write_report(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Metrics as (scope, metric, value) JSON lines."""
-    metrics.write.mode(mode).json(path)
+def write_report(metrics: DataFrame, path: str, mode: str = "overwrite", form: str = "json", digits: int | None = None) -> None:
+    """Metrics as JSON lines, or as text lines ``scope metric: value`` (``form='text'``); with ``digits`` numbers are
+    written with so many decimals."""
+    doubles = [f.name for f in metrics.schema if f.dataType.typeName() in ("double", "float")]
+    if digits is not None and form == "json":
+        metrics = metrics.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in metrics.columns])
+    if form == "json":
+        metrics.write.mode(mode).json(path)
+        return
+    if form != "text":
+        raise ValueError(f"unknown form {form}")
+    names = [c for c in metrics.columns if c not in doubles]
+    number = [F.format_string(f"%.{4 if digits is None else digits}f", F.col(c)) for c in doubles]
+    line = F.concat(F.concat_ws(" ", *[F.col(c).cast("string") for c in names]), F.lit(": "), F.concat_ws(" ", *number))
+    metrics.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def to_label_tsv(df: DataFrame, text_col: str = "text", label_col: str = "label", window: int | None = None) -> DataFrame:
@@ -227,6 +268,12 @@ def to_label_tsv(df: DataFrame, text_col: str = "text", label_col: str = "label"
     return ex.select(F.col("text").substr(F.col("w") * window + 1, F.lit(window)).alias("text"), "label")
 
 
+def write_label_tsv(df: DataFrame, path: str, text_col: str = "text", label_col: str = "label", window: int | None = None, mode: str = "errorifexists") -> None:
+    """``text TAB label`` lines without header or quotes (tabs and line ends inside texts are spaces by then)."""
+    rows = to_label_tsv(df, text_col, label_col, window)
+    rows.select(F.concat_ws("\t", F.coalesce("text", F.lit("")), F.col("label").cast("string")).alias("value")).write.mode(mode).text(path)
+
+
 def write_counts(counts: DataFrame, path: str, mode: str = "overwrite") -> None:
     """(kind, term, n) parquet."""
     counts.write.mode(mode).partitionBy("kind").parquet(path)
@@ -253,23 +300,46 @@ def write_id_map(ids: DataFrame, path: str, mode: str = "overwrite") -> None:
     ids.write.mode(mode).json(path)
 
 
-def materialize_corpus(aa: DataFrame, path: str, seed: int = 42, shares=(0.6, 0.2, 0.2)) -> DataFrame:
-    """Stratified AA split + per-text AV pairs for every split, written as
-    parquet under ``path`` (refuses a non-empty target) with corpus stats.
-    Returns the stats table."""
+def cross_corpus(aa: DataFrame, unit_col: str, shares=(0.6, 0.2, 0.2), seed: int = 42) -> DataFrame:
+    """A19, cross-topic or cross-genre: whole topics (genres) in one part; texts of authors without a training text go, as nobody
+    could attribute them, and authors get dense labels in first-seen order of the training part."""
+    from quillspark.operators import sets, splits
+    s = splits.split_whole(aa, unit_col, shares, seed=seed)
+    labels = sets.label_map(s.filter(F.col("split") == "train"), "author_id", "text_id")
+    j = s.join(labels, s["author_id"] == labels["old"])
+    return j.select(*[F.col("new").cast("bigint").alias("author_id") if c == "author_id" else s[c] for c in s.columns])
+
+
+def materialize_corpus(aa: DataFrame, path: str, seed: int = 42, shares=(0.6, 0.2, 0.2), form: str = "stratified", unit_col: str | None = None) -> DataFrame:
+    """An AA split and per-text AV pairs for every part, written as parquet under ``path`` with corpus stats (refuses a
+    target that exists). Returns the stats table. ``aa``: (author_id, text_id, text, ...).
+
+    * ``stratified``: every author has the same shares in every part;
+    * ``cross``: topics or genres (``unit_col``) whole in one part (see ``cross_corpus``);
+    * ``unseen``: authors whole in one part, labels as they are (verification of authors never seen in training)."""
     from quillspark.operators import pairs, splits, stats
-    s = splits.split_stratified(aa, "author_id", "text_id", shares, seed=seed)
-    s.write.mode("errorifexists").partitionBy("split").parquet(f"{path}/aa")
-    texts = s.select("text_id", "text")
-    for name in ("train", "validation", "test"):
-        part = s.filter(F.col("split") == name)
-        av = pairs.pairs_per_text(part, "author_id", "text_id", seed=seed)
+    from quillspark.session import cut_lineage
+    ids = aa.drop("text")
+    if form == "stratified":
+        s = splits.split_stratified(ids, "author_id", "text_id", shares, seed=seed)
+    elif form == "cross":
+        s = cross_corpus(ids, unit_col, shares, seed)
+    elif form == "unseen":
+        s = splits.split_whole(ids, "author_id", shares, seed=seed)
+    else:
+        raise ValueError(f"unknown form {form}")
+    s = cut_lineage(s)  # ids only; texts are joined once a table is written
+    texts = aa.select("text_id", "text")
+    full = s.join(texts, "text_id")
+    full.write.mode("errorifexists").partitionBy("split").parquet(f"{path}/aa")
+    for name in splits.SPLIT_NAMES:
+        av = pairs.pairs_per_text(s.filter(F.col("split") == name), "author_id", "text_id", seed=seed)
         av = (av.join(texts.select(F.col("text_id").alias("text_id_a"), F.col("text").alias("text0")), "text_id_a")
               .join(texts.select(F.col("text_id").alias("text_id_b"), F.col("text").alias("text1")), "text_id_b"))
         av.write.mode("errorifexists").parquet(f"{path}/av/{name}")
-    st = stats.summarize_corpus(s.withColumnRenamed("author_id", "author"), "split", "author", "text")
+    st = stats.summarize_corpus(full.withColumnRenamed("author_id", "author"), "split", "author", "text")
     st.write.mode("errorifexists").json(f"{path}/stats")
-    return st
+    return aa.sparkSession.read.json(f"{path}/stats")
 
 
 def _joined_records(lines: DataFrame) -> DataFrame:
