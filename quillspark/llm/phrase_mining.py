@@ -4,25 +4,27 @@ Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and
 those into words ``[^\\x20\\x09]+``. Everything is counted per language.
 
 Which phrases of 1 to 5 words occur ``least`` times or more is found level by
-level: words, then pairs of surviving words, then longer phrases of surviving
-pairs (a phrase is never more frequent than its parts). A level hashes each
-offered phrase with its language to 64 bits; the leading bits name one of P
-hash partitions, P being a power of two that grows with the number of words.
-Tasks send, per partition, the mass they offer and packed (hash, count) blocks.
+level: words, then pairs of surviving words, triples of surviving pairs, and
+longer phrases of surviving triples (a phrase is never more frequent than its
+parts). A level hashes each offered phrase with its language; the leading bits
+name one of P hash partitions, P being a power of two that grows with the number
+of words, and 32 more bits tell phrases apart (two that meet add up, so both are
+kept at worst). Tasks send, per partition, the mass they offer and packed
+(hash, count) blocks.
 Rows of one partition arrive with all masses first, so its capacity, a count
 above mass / least, is known before blocks are merged: equal hashes add up, and
 when more than ``capacity`` counters are held, the (capacity+1)-th largest is
 subtracted from all and what is not positive goes. That takes less than
 ``least`` from any counter, in whatever order summaries meet, so every phrase
 of ``least`` occurrences survives. Survivors become bits of a filter of fixed
-size (``FILTER_BITS``, 16 MB, whatever the corpus), each partition filling its
+size (``FILTER_BITS``, 8 MB a level, whatever the corpus), each partition filling its
 own stretch; it may let other phrases pass, never stop a survivor.
 
-A last pass counts exactly: phrases that pass the filters leave each task as
-(language, phrase, occurrences), summed by phrase, and those under ``least``
-go. Only then are l, r and scores looked up by joins on phrases.
+A last pass counts exactly: phrases that pass the filters leave each task in
+blocks of a hash partition, are summed there by language and phrase, and those
+under ``least`` go. Only then are l, r and scores looked up by joins on phrases.
 
-Phrases are grouped by 64-bit hashes inside a task; two that collide there
+This pass groups phrases by 64-bit hashes inside a slice; two that collide there
 would be counted as one (for 10^10 distinct and 10^6 frequent phrases a chance
 of 5 in 10,000 that any count is off).
 
@@ -48,8 +50,8 @@ from quillspark.session import cut_lineage
 LEAST = 100
 MOST_WORDS = 5
 FIRST = 2000
-HELD = 1 << 18      # counters a hash partition should need
-FILTER_LOG = 27
+HELD = 1 << 16      # counters a hash partition should need
+FILTER_LOG = 26
 FILTER_BITS = 1 << FILTER_LOG
 BUFFER = 1 << 20    # phrases of a task that are held before they are sent, and entries before they are merged
 SALTS = 32
@@ -81,16 +83,17 @@ class Slice:
         g, at = V.grams(self.hash, self.piece, n)
         return V.mix(g ^ (self.key[at] + SIZE_KEY[n])), at
 
-    def offered(self, n: int, filters: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases of n words whose words (n = 2) or pairs (n > 2) pass the filter of their level."""
+    def offered(self, n: int, filters: list) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of n words whose parts pass the filter of the longest level below them."""
         g, at = self.phrases(n)
         if n == 1 or not len(g):
             return g, at
-        part, part_at = self.phrases(min(n - 1, 2))
+        size = min(n - 1, len(filters))
+        part, part_at = self.phrases(size)
         good = np.zeros(len(self.hash) + n, bool)
-        good[part_at] = passes(filters[min(n - 1, 2) - 1], part)
+        good[part_at] = passes(filters[size - 1].value, part)
         ok = good[at]
-        for k in range(1, n if n == 2 else n - 1):
+        for k in range(1, n - size + 1):
             ok &= good[at + k]
         return g[ok], at[ok]
 
@@ -112,7 +115,7 @@ class Summary:
 
     def __init__(self, capacity: int):
         self.capacity, self.taken = capacity, 0
-        self.g, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.g, self.n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def merge(self, g: np.ndarray, n: np.ndarray, taken: int = 0) -> None:
         self.g, self.n = sum_sorted(np.concatenate([self.g, g]), np.concatenate([self.n, n]))
@@ -146,8 +149,8 @@ BLOCK = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("kin
 def offers(docs: DataFrame, sizes: list[int], filters, parts: int) -> DataFrame:
     """Blocks of all phrases of the given sizes that their level offers: per task and hash partition one row of mass (kind 0) and
     rows of packed (hash, count) (kind 1)."""
-    shift = np.uint64(64 - parts.bit_length() + 1)
-    edges = (np.arange(parts, dtype=np.uint64) << shift) if parts > 1 else np.zeros(1, np.uint64)
+    drop = np.uint64(33 - parts.bit_length())  # leading bits name the partition, 32 more are kept
+    edges = np.arange(parts, dtype=np.uint64) << np.uint64(32)
 
     def run(batches):
         mass = np.zeros(parts, np.int64)
@@ -159,7 +162,7 @@ def offers(docs: DataFrame, sizes: list[int], filters, parts: int) -> DataFrame:
             for p, (a, b) in enumerate(zip(cut, cut[1:])):
                 if b > a:
                     mass[p] += n[a:b].sum()
-                    yield p, 1, 0, g[a:b].tobytes(), n[a:b].astype(np.uint32).tobytes()
+                    yield p, 1, 0, g[a:b].astype(np.uint32).tobytes(), n[a:b].astype(np.uint32).tobytes()
 
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
@@ -167,9 +170,9 @@ def offers(docs: DataFrame, sizes: list[int], filters, parts: int) -> DataFrame:
 
         for _, part in _slices(batches, 0, 1):
             for n in sizes:
-                g, _at = part.offered(n, filters.value if filters else [])
+                g, _at = part.offered(n, filters)
                 if len(g):
-                    held.append(np.unique(g, return_counts=True))
+                    held.append(np.unique(g >> drop, return_counts=True))
                     size += len(held[-1][0])
             if size > 2 * BUFFER:
                 g, n = sum_sorted(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
@@ -201,9 +204,8 @@ def survivors(blocks: DataFrame, parts: int, least: int) -> np.ndarray:
 
         def done():
             settle()
-            place = (summary.frequent(least) >> np.uint64(64 - FILTER_LOG)).astype(np.int64) - now * stretch * 8
             bits = np.zeros(stretch * 8, np.uint8)
-            bits[place] = 1
+            bits[summary.frequent(least) // ((1 << 32) // len(bits))] = 1
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
                                               names=["part", "bits"])
 
@@ -218,7 +220,7 @@ def survivors(blocks: DataFrame, parts: int, least: int) -> np.ndarray:
                     continue
                 if summary is None:
                     summary = Summary(mass // least + 1)
-                held.append((np.frombuffer(hashes, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64)))
+                held.append((np.frombuffer(hashes, np.uint32), np.frombuffer(counts, np.uint32).astype(np.int64)))
                 size += len(held[-1][0])
                 if size > BUFFER:
                     settle()
@@ -232,42 +234,67 @@ def survivors(blocks: DataFrame, parts: int, least: int) -> np.ndarray:
     return out
 
 
-def exact_counts(docs: DataFrame, filters, most_words: int = MOST_WORDS) -> DataFrame:
-    """(lang, phrase, size, f) of all phrases that pass the filters; f counts occurrences of the whole corpus."""
-    def run(batches):
-        held: dict[tuple[str, int], dict[str, int]] = {}
+def exact_counts(docs: DataFrame, filters: list, levels: list[list[int]], parts: int, least: int) -> DataFrame:
+    """(lang, phrase, size, f) of all phrases that pass the filters and occur ``least`` times or more in the corpus."""
+    drop = np.uint64(65 - parts.bit_length())
+
+    def count(batches):
+        held: dict[tuple[int, str], dict[str, int]] = {}
 
-        def rows():
-            for (lang, n), counts in held.items():
-                k = len(counts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array([*counts], pa.string()), pa.array([n] * k, pa.int32()),
-                                                  pa.array([*counts.values()], pa.int64())], names=["lang", "phrase", "size", "f"])
+        def blocks():
+            keys, n = [*held], [len(x) for x in held.values()]
+            at = pa.array(np.append(0, np.cumsum(n)), pa.int32())
+            phrases = pa.array([x for c in held.values() for x in c], pa.string())
+            counts = pa.array([x for c in held.values() for x in c.values()], pa.int64())
             held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string()),
+                                               pa.ListArray.from_arrays(at, phrases), pa.ListArray.from_arrays(at, counts)], names=["part", "lang", "phrases", "counts"])
 
         for names, part in _slices(batches, 0, 1):
-            for n in range(1, most_words + 1):
-                g, at = part.offered(n, filters.value)
-                ok = passes(filters.value[min(n, 3) - 1], g)
-                g, at = g[ok], at[ok]
-                _, first, count = np.unique(g, return_index=True, return_counts=True)
-                w = at[first]
-                size = part.ends - part.starts
-                data = part.raw.tobytes()
-                lo, hi, of = part.starts[w].tolist(), part.ends[w + n - 1].tolist(), part.of[w].tolist()
-                # words of a phrase that are parted by one blank are already the phrase
-                tight = (part.ends[w + n - 1] - part.starts[w] == sum(size[w + k] for k in range(n)) + n - 1).tolist()
-                for a, b, t, c, one in zip(lo, hi, of, count.tolist(), tight):
-                    phrase = data[a:b].replace(b"\t", b" ").decode()
-                    if not one:
-                        phrase = " ".join(x for x in phrase.split(" ") if x)
-                    counts = held.setdefault((names[t], n), {})
-                    counts[phrase] = counts.get(phrase, 0) + c
+            data, size = part.raw.tobytes(), part.ends - part.starts
+            for level, sizes in enumerate(levels):
+                for n in sizes:
+                    g, at = part.offered(n, filters)
+                    ok = passes(filters[level].value, g)
+                    g, first, times = np.unique(g[ok], return_index=True, return_counts=True)
+                    w = at[ok][first]
+                    lo, hi = part.starts[w], part.ends[w + n - 1]
+                    # words of a phrase that are parted by one blank are already the phrase
+                    tight = hi - lo == sum(size[w + k] for k in range(n)) + n - 1
+                    for p, a, b, t, c, one in zip((g >> drop).tolist(), lo.tolist(), hi.tolist(), part.of[w].tolist(), times.tolist(), tight.tolist()):
+                        phrase = data[a:b].replace(b"\t", b" ").decode()
+                        if not one:
+                            phrase = " ".join(x for x in phrase.split(" ") if x)
+                        counts = held.setdefault((p, names[t]), {})
+                        counts[phrase] = counts.get(phrase, 0) + c
             if sum(map(len, held.values())) > BUFFER // 2:
-                yield from rows()
-        yield from rows()
+                yield blocks()
+        if held:
+            yield blocks()
+
+    def add(batches):
+        now, held = None, {}
+
+        def done():
+            rows = [(lang, x, x.count(" ") + 1, n) for lang, counts in held.items() for x, n in counts.items() if n >= least]
+            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))],
+                                              names=["lang", "phrase", "size", "f"])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                part = batch.column(0)[k].as_py()
+                if part != now:
+                    if held:
+                        yield done()
+                    now, held = part, {}
+                counts = held.setdefault(batch.column(1)[k].as_py(), {})
+                for x, n in zip(batch.column(2)[k].as_py(), batch.column(3)[k].as_py()):
+                    counts[x] = counts.get(x, 0) + n
+        if held:
+            yield done()
 
-    counted = docs.mapInArrow(run, "lang string, phrase string, size int, f long")
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    blocks = docs.mapInArrow(count, "part int, lang string, phrases array<string>, counts array<long>")
+    return blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, "lang string, phrase string, size int, f long")
 
 
 def word_totals(docs: DataFrame) -> DataFrame:
@@ -285,13 +312,12 @@ def word_totals(docs: DataFrame) -> DataFrame:
 def frequent_phrases(docs: DataFrame, total: int, least: int = LEAST, most_words: int = MOST_WORDS) -> DataFrame:
     """(lang, phrase, size, f) of all phrases of 1 to ``most_words`` words with f >= ``least``; docs: (lang, text); total: its words."""
     context = docs.sparkSession.sparkContext
-    filters: list[np.ndarray] = []
-    sent = None
-    for sizes in ([1], [2], [*range(3, most_words + 1)]):
-        parts = 1 << min(20, max(5, (total * len(sizes) // (least * HELD)).bit_length()))
-        filters.append(survivors(offers(docs, sizes, sent, parts), parts, least))
-        sent = context.broadcast(filters)
-    return exact_counts(docs, sent, most_words).where(F.col("f") >= least)
+    levels = [[n] for n in range(1, min(most_words, 3) + 1)] + ([[*range(4, most_words + 1)]] if most_words > 3 else [])
+    parts = 1 << min(20, max(5, (total // (least * HELD)).bit_length()))
+    filters: list = []
+    for sizes in levels:
+        filters.append(context.broadcast(survivors(offers(docs, sizes, filters[:3], parts), parts, least)))
+    return exact_counts(docs, filters, levels, parts, least)
 
 
 def mine_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, most_words: int = MOST_WORDS,
@@ -318,14 +344,16 @@ def mine_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     cuts = cuts.select("lang", "phrase", "a", "k", joined(F.lit(1), F.col("k")).alias("left"), joined(F.col("k") + 1, F.col("size") - F.col("k")).alias("right"))
     f = known.select("lang", F.col("phrase").alias("part"), F.col("f"))
     cuts = (cuts.join(f.select("lang", F.col("part").alias("left"), F.col("f").alias("l")), ["lang", "left"])
-            .join(f.select("lang", F.col("part").alias("right"), F.col("f").alias("r")), ["lang", "right"])
-            .join(totals, "lang"))
+            .join(f.select("lang", F.col("part").alias("right"), F.col("f").alias("r")), ["lang", "right"]))
+    # a language may hold most rows: its total is met in salts
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    cuts = cuts.withColumn("salt", salt).join(totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))), ["lang", "salt"])
     # 38 digits hold 1000 * a * n and l * r beyond 64 bits; div on decimals is exact
     score = F.expr("cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0)) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
     best = cuts.withColumn("score", score).groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("b"))
     rows = cut_lineage(best.select("lang", "phrase", "a", "b.l", "b.r", "n", "b.score"))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    salted = rows.withColumn("salt", salt)
     near = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= first).drop("salt", "rank")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
     return near.withColumn("rank", rank).where(F.col("rank") <= first).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
