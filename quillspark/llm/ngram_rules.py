@@ -10,7 +10,8 @@ reaches a fixed threshold. Tokens of the n-grams are runs of letters and digits
 The trusted side counts the whole texts of all trusted ids (up to BROADCAST_IDS
 ids are sent to all tasks, more are joined by shuffle), the raw side those of
 every row. The two count vectors have ``buckets`` entries whatever the corpus
-size.
+size. Tasks send them in packed stretches of ``STRETCH`` buckets, which are
+summed stretch by stretch; only the finished ratios (16 MB) reach the driver.
 
 Cases: null text is empty, has no words and fails the base rule; equal texts
 get equal rows; repeated rows are kept; empty tables give no rows and an empty
@@ -30,7 +31,9 @@ from pyspark.sql import types as T
 from quillspark.llm import textvec as V
 from quillspark.session import cut_lineage
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 22
+STRETCH = 1 << 14
+BUFFER = 1 << 22  # n-grams held before they are counted
 ALPHA = 1.0
 THRESHOLD = -0.25
 BROADCAST_IDS = 500_000  # 4 MB of ids; more are joined by shuffle
@@ -81,30 +84,76 @@ def ngram_buckets(raw: np.ndarray, offs: np.ndarray, buckets: int = BUCKETS) ->
 
 
 def corpus_counts(df: DataFrame, text: str, trusted: Column, buckets: int = BUCKETS) -> DataFrame:
-    """bucket, raw count over all rows, target count over the rows where ``trusted``."""
+    """Per stretch of buckets: stretch, packed raw counts over all rows, packed target counts over the rows where ``trusted``, and both sums."""
+    stretch = min(STRETCH, buckets)
 
-    def run(batches):
+    def count(batches):
         total = np.zeros((2, buckets), np.int64)
+        held, size = [], 0
+
+        def settle():
+            if held:
+                b, t = (np.concatenate(x) for x in zip(*held))
+                total[0] += np.bincount(b, minlength=buckets)
+                total[1] += np.bincount(b[t], minlength=buckets)
+                held.clear()
+
         for batch in batches:
             flag = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)
             for lo, hi, raw, offs in V.slices(batch.column(0)):
                 b, of = ngram_buckets(raw, offs, buckets)
-                total[0] += np.bincount(b, minlength=buckets)
-                total[1] += np.bincount(b[flag[lo:hi][of]], minlength=buckets)
-        used = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[0][used]), pa.array(total[1][used])], names=["bucket", "raw", "target"])
+                held.append((b, flag[lo:hi][of]))
+                size += len(b)
+                if size > BUFFER:
+                    settle()
+                    size = 0
+        settle()
+        for k in np.flatnonzero(total[0].reshape(-1, stretch).any(axis=1)).tolist():
+            part = total[:, k * stretch: (k + 1) * stretch]
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in part)], names=["stretch", "raw", "target"])
+
+    def add(batches):
+        now, total = None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in total),
+                                               *(pa.array([int(x.sum())], pa.int64()) for x in total)], names=["stretch", "raw", "target", "n_raw", "n_target"])
+
+        for batch in batches:
+            for k, raw, target in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != now:
+                    if now is not None:
+                        yield done()
+                    now, total = k, np.zeros((2, stretch), np.int64)
+                total += np.stack([np.frombuffer(raw, np.int64), np.frombuffer(target, np.int64)])
+        if now is not None:
+            yield done()
 
-    return (df.select(F.col(text), trusted).mapInArrow(run, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
+    blocks = df.select(F.col(text), trusted).mapInArrow(count, "stretch int, raw binary, target binary")
+    return blocks.repartition("stretch").sortWithinPartitions("stretch").mapInArrow(add, "stretch int, raw binary, target binary, n_raw long, n_target long")
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> np.ndarray:
-    """ln of the smoothed target share over the smoothed raw share, by bucket (``buckets`` rows at most are fetched)."""
-    rows = counts.toPandas()
-    both = np.zeros((2, buckets))
-    both[0, rows["bucket"]], both[1, rows["bucket"]] = rows["raw"], rows["target"]
-    share = (both + alpha) / (both.sum(axis=1, keepdims=True) + alpha * buckets)
-    return np.log(share[1] / share[0]) if both[1].sum() else np.zeros(buckets)
+    """ln of the smoothed target share over the smoothed raw share, by bucket."""
+    counts = cut_lineage(counts)
+    n_raw, n_target = (x or 0 for x in counts.agg(F.sum("n_raw"), F.sum("n_target")).first())
+    stretch = min(STRETCH, buckets)
+    if not n_target:
+        return np.zeros(buckets, np.float32)
+
+    def ratio(raw, target):
+        return np.log((target + alpha) / (n_target + alpha * buckets)) - np.log((raw + alpha) / (n_raw + alpha * buckets))
+
+    def run(batches):
+        for batch in batches:
+            for k, raw, target in zip(*(c.to_pylist() for c in batch.columns)):
+                part = ratio(np.frombuffer(raw, np.int64), np.frombuffer(target, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.astype(np.float32).tobytes()], pa.binary())], names=["stretch", "ratio"])
+
+    out = np.full(buckets, ratio(0, 0), np.float32)
+    for row in counts.select("stretch", "raw", "target").mapInArrow(run, "stretch int, ratio binary").collect():
+        out[row.stretch * stretch: (row.stretch + 1) * stretch] = np.frombuffer(row.ratio, np.float32)
+    return out
 
 
 def score_rules(df: DataFrame, ratios: np.ndarray, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
