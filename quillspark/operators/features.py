@@ -267,8 +267,9 @@ def misspelling_rates(tokens_df: DataFrame, word_lists: DataFrame, list_names: S
     """H9: share of each text's tokens found in each word list (list, word); a
     text without tokens has rate 0 (q22). Long output (id, list, rate)."""
     n = tokens_df.select(id_col, F.size(tokens_col).alias("__n"))
-    toks = tokens_df.select(id_col, F.explode(tokens_col).alias("word"))
-    hits = toks.join(word_lists.select("list", "word"), "word").groupBy(id_col, "list").agg(F.count(F.lit(1)).alias("__h"))
+    # a word's occurrences in a text are one row before they meet the lists: a frequent word is a row a text, not one a place
+    toks = tokens_df.select(id_col, F.explode(tokens_col).alias("word")).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("__c"))
+    hits = toks.join(word_lists.select("list", "word"), "word").groupBy(id_col, "list").agg(F.sum("__c").alias("__h"))
     grid = n.withColumn("list", F.explode(F.array(*[F.lit(x) for x in list_names])))
     g = grid.join(hits, [id_col, "list"], "left").fillna(0, ["__h"])
     return g.select(id_col, "list", F.when(F.col("__n") == 0, F.lit(0.0)).otherwise(F.col("__h") / F.col("__n")).alias("rate"))
@@ -293,13 +294,12 @@ def dependency_ngrams(deps: DataFrame, max_len: int = 4, id_col: str = "text_id"
     base = deps.select(id_col, "tok", "head", F.col("dep").alias("path"), F.lit(1).alias("len"))
     level = base.filter(F.col("head") == 0)
     out = level
-    edges = deps.select(id_col, F.col("head").alias("parent"), F.col("tok").alias("child"), "dep")
+    edges = deps.select(F.col(id_col).alias("__id"), F.col("head").alias("__parent"), F.col("tok").alias("__child"), F.col("dep").alias("__dep"))
     for _ in range(max_len - 1):
-        nxt = level.join(edges, (level[id_col] == edges[id_col]) & (level["tok"] == edges["parent"])).select(
-            level[id_col], edges["child"].alias("tok"), level["tok"].alias("head"),
-            F.concat_ws("_", level["path"], edges["dep"]).alias("path"), (level["len"] + 1).alias("len"))
-        out = out.unionByName(nxt)
-        level = nxt
+        below = level.join(edges, (F.col(id_col) == F.col("__id")) & (F.col("tok") == F.col("__parent")))
+        level = below.select(id_col, F.col("__child").alias("tok"), F.col("tok").alias("head"),
+                             F.concat_ws("_", "path", "__dep").alias("path"), (F.col("len") + 1).alias("len"))
+        out = out.unionByName(level)
     return out.groupBy(id_col, "path").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 

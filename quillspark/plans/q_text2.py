@@ -75,7 +75,7 @@ def q_normalize_tweet(spark, sf_dir):
 T_W = 12
 
 
-def _markers_sql(t_w: int) -> str:
+def _markers_sql(t_w: int, joined: bool = True) -> str:
     cap = t_w - 1
     rest = f"toks[{cap + 1}:]"
     m = f"CAST(ceil(len({rest}) / {cap - 1}) AS BIGINT)"
@@ -87,7 +87,7 @@ def _markers_sql(t_w: int) -> str:
                FROM (SELECT doc_id, {T.tokenized_sentences_sql('text')} AS sents FROM documents) x),
     t AS (SELECT doc_id, si, list_concat(['<SOS>'], list_filter(string_split(sent, ' '), lambda x: x <> '')) AS toks FROM s),
     p AS (SELECT doc_id, si, CASE WHEN len(toks) <= {cap} THEN [array_to_string(list_concat(toks, ['<EOS>']), ' ')] ELSE {long} END AS pieces FROM t)
-    SELECT d.doc_id, coalesce(array_to_string(flatten(list(p.pieces ORDER BY p.si)), ' | '), '') AS pieces
+    SELECT d.doc_id, {"coalesce(array_to_string(flatten(list(p.pieces ORDER BY p.si)), ' | '), '')" if joined else "flatten(list(p.pieces ORDER BY p.si))"} AS pieces
     FROM documents d LEFT JOIN p ON d.doc_id = p.doc_id GROUP BY d.doc_id"""
 
 
@@ -115,7 +115,7 @@ _GRID = (50, 12, 15)
 
 def _char_vocab(spark, sf_dir):
     counts = _docs(spark, sf_dir).select(F.explode(F.regexp_extract_all("text", F.lit("(?s)."), 0)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    v = counts.filter("n >= 50").select("term", (F.unicode("term") + 2).cast("int").alias("id"))
+    v = counts.filter("n >= 50").select("term", (F.ascii("term") + 2).cast("int").alias("id"))
     return v.unionByName(spark.createDataFrame([(encode.PAD, 0), (encode.UNK, 1)], "term string, id int"))
 
 
@@ -126,7 +126,7 @@ def _cells(x):
 @register("encode_chars", f"""
     WITH v AS (SELECT term, unicode(term) + 2 AS id FROM ({_CHAR_COUNTS_SQL}) c WHERE n >= 50),
     m AS (SELECT map_from_entries(list((term, id))) AS ids FROM v),
-    s AS (SELECT doc_id, CASE WHEN pieces = '' THEN [] ELSE string_split(pieces, ' | ')[1:{_GRID[0]}] END AS p FROM ({_markers_sql(T_W)}) x),
+    s AS (SELECT doc_id, coalesce(list_filter(pieces, lambda x: x IS NOT NULL), [])[1:{_GRID[0]}] AS p FROM ({_markers_sql(T_W, False)}) x),
     t AS (SELECT doc_id, list_transform(p, lambda x: string_split(x, ' ')[1:{_GRID[1]}]) AS t FROM s),
     c AS (SELECT doc_id, t, list_transform(range(1, {_GRID[0] + 1}), lambda i: list_transform(range(1, {_GRID[1] + 1}), lambda j: list_transform(range(1, {_GRID[2] + 1}),
             lambda k: CASE WHEN coalesce(substr(t[i][j], k, 1), '') = '' THEN 0 ELSE coalesce(m.ids[substr(t[i][j], k, 1)], 1) END))) AS g FROM t, m)

@@ -129,3 +129,30 @@ def test_chunked_pair_scores_stop_at_the_shorter_text(spark):
     assert (got["p"].n_chunks, got["q"].n_chunks, got["r"].n_chunks) == (1, 2, 0)
     assert got["p"].distance == pytest.approx(math.sqrt(17)) and got["p"].similarity == pytest.approx(1 / (1 + math.sqrt(17)))
     assert got["q"].similarity == 1.0 and got["r"].distance is None and got["r"].similarity is None
+
+
+# D1 -------------------------------------------------------------------------
+
+def test_grouped_texts_in_parts(spark):
+    from quillspark.operators import stats
+    rows = [("a", i, f"t{i}") for i in range(7)] + [("b", 1, "x"), ("b", 1, "x")]
+    df = spark.createDataFrame(rows, "author string, post_id long, text string").repartition(4)
+    got = stats.group_texts(df, part_size=3).collect()
+    assert sorted((r.author, r.part, len(r.posts)) for r in got) == [("a", 0, 3), ("a", 1, 3), ("a", 2, 1), ("b", 0, 2)]
+    assert [p.post_id for r in sorted(got, key=lambda r: r.part) if r.author == "a" for p in r.posts] == list(range(7))
+    assert {r.author: len(r.posts) for r in stats.group_texts(df).collect()} == {"a": 7, "b": 2}
+
+
+# H4, H8, H11 ----------------------------------------------------------------
+
+def test_tag_and_parse_features(spark):
+    from quillspark.operators import features
+    df = spark.createDataFrame([(1, ["The", "cat", "saw", "the", "cat"], ["DT", "NN", "VB", "DT", "NN"]), (2, [], [])], "text_id long, tokens array<string>, tags array<string>")
+    masked = {r.text_id: r.m for r in df.select("text_id", features.masked_stopwords("tokens", "tags", ["the"]).alias("m")).collect()}
+    assert masked == {1: ["The", "NN", "VB", "the", "NN"], 2: []}
+    r = features.pos_tag_stats(df, ["DT", "NN", "VB", "JJ"]).first()
+    assert (r.DT_share, r.NN_share, r.NN_len, r.JJ_share) == (1 / 3, 1 / 3, 3.0, 0.0)
+    deps = spark.createDataFrame([(1, 1, 2, "det"), (1, 2, 3, "nsubj"), (1, 3, 0, "ROOT"), (1, 4, 5, "det"), (1, 5, 3, "dobj"), (2, 1, 0, "ROOT")],
+                                 "text_id long, tok int, head int, dep string")
+    got = {(r.text_id, r.path): r.n for r in features.dependency_ngrams(deps, 3).collect()}
+    assert got == {(1, "ROOT"): 1, (1, "ROOT_nsubj"): 1, (1, "ROOT_dobj"): 1, (1, "ROOT_nsubj_det"): 1, (1, "ROOT_dobj_det"): 1, (2, "ROOT"): 1}
