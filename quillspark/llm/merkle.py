@@ -101,7 +101,8 @@ def audit(tree_a: list[DataFrame], tree_b: list[DataFrame], fanout: int = FANOUT
             both = a.join(b, ["parent", "node", "root_a", "root_b"], "full")
         else:
             both = a.join(b, "node", "full").withColumns({"root_a": F.coalesce("hash_a", F.lit("")), "root_b": F.coalesce("hash_b", F.lit(""))})
-        wrong = both.where(~F.col("hash_a").eqNullSafe(F.col("hash_b")))
+        # written: both sides of the next level read it, and a plan that repeats it would double with every level
+        wrong = cut_lineage(both.where(~F.col("hash_a").eqNullSafe(F.col("hash_b"))))
     return wrong.drop("parent").withColumnRenamed("node", "ordinal")
 
 
