@@ -27,13 +27,12 @@ SEPARATOR = " <POST> "
 MIN_TOKENS, MIN_RATIO, MAX_RATIO, TRIES, BUCKETS = 25, 0.3, 0.7, 10, 10
 
 
-def profile_split(posts: DataFrame, seed: int = 42, min_tokens: int = MIN_TOKENS, min_ratio: float = MIN_RATIO,
-                  max_ratio: float = MAX_RATIO, tries: int = TRIES) -> DataFrame:
-    """(split, author, side 'a'/'b', text, len) for authors with >= 2 posts.
-
-    ``posts``: (split, author, post_id, text). len = whitespace words of the
-    joined half (separators included, as the reference counts them)."""
-    p = posts.select("split", "author", "post_id", "text", T.word_count("text").alias("tok"),
+def profile_members(posts: DataFrame, seed: int = 42, min_tokens: int = MIN_TOKENS, min_ratio: float = MIN_RATIO,
+                    max_ratio: float = MAX_RATIO, tries: int = TRIES) -> DataFrame:
+    """F7 without texts: (split, author, side 'a'/'b', o, post_id, tok) for authors with >= 2 posts, o the post's place in its
+    author's shuffled order. ``posts``: (split, author, post_id, text), post ids unique in their author. Only ids and word
+    counts are ranked, summed and written; texts are read once, for the counts."""
+    p = posts.select("split", "author", "post_id", T.word_count("text").alias("tok"),
                      key(seed, "prof", F.col("author"), F.col("post_id")).alias("__k"))
     p = ordinal_in_group(p, ["author"], ["__k", "post_id"], col="o")
     p = prefix_sums(p, ["author"], [F.col("o")], ["tok"], prefix="acc_", inclusive=True)
@@ -52,13 +51,37 @@ def profile_split(posts: DataFrame, seed: int = 42, min_tokens: int = MIN_TOKENS
     sp = per.join(first_cut, "author", "left").select(
         "split", "author", "n",
         F.when(F.col("n") == 2, F.lit(1)).otherwise(F.coalesce(F.col("sp_try"), (F.col("n") / 2).cast("bigint"))).cast("bigint").alias("sp"))
-    halves = p.join(sp, ["split", "author"]).withColumn("side", F.when(F.col("o") < F.col("sp"), "a").otherwise("b"))
-    agg = halves.groupBy("split", "author", "side").agg(
-        F.sort_array(F.collect_list(F.struct("o", "text"))).alias("__s"),
-        (F.sum("tok") + F.count(F.lit(1)) - 1).cast("bigint").alias("len"))
+    side = F.when(F.col("o") < F.col("sp"), "a").otherwise("b").alias("side")
+    return cut_lineage(p.join(sp, ["split", "author"]).select("split", "author", side, "o", "post_id", "tok"))
+
+
+def profile_lengths(members: DataFrame) -> DataFrame:
+    """(split, author, side, len): whitespace words of the joined half (separators included, as the reference counts them)."""
+    return members.groupBy("split", "author", "side").agg((F.sum("tok") + F.count(F.lit(1)) - 1).cast("bigint").alias("len"))
+
+
+def profile_texts(members: DataFrame, posts: DataFrame) -> DataFrame:
+    """(split, author, side, text, len): the halves as texts, for those that are written."""
+    j = members.join(posts.select("author", "post_id", "text"), ["author", "post_id"])
+    agg = j.groupBy("split", "author", "side").agg(F.sort_array(F.collect_list(F.struct("o", "text"))).alias("__s"),
+                                                   (F.sum("tok") + F.count(F.lit(1)) - 1).cast("bigint").alias("len"))
     return agg.select("split", "author", "side", F.array_join(F.transform("__s", lambda x: x["text"]), SEPARATOR).alias("text"), "len")
 
 
+def profile_split(posts: DataFrame, seed: int = 42, **rules) -> DataFrame:
+    """(split, author, side 'a'/'b', text, len) for authors with >= 2 posts."""
+    return profile_texts(profile_members(posts, seed, **rules), posts)
+
+
+def attach_profiles(pairs: DataFrame, members: DataFrame, posts: DataFrame) -> DataFrame:
+    """F8 pairs with the texts of both halves (text0, text1); only halves that a pair names are put together."""
+    named = pairs.select(F.explode(F.array(*[F.struct(F.col(f"author_{x}").alias("author"), F.col(f"side_{x}").alias("side")) for x in "ab"])).alias("h")).select("h.*").distinct()
+    texts = cut_lineage(profile_texts(members.join(named, ["author", "side"], "left_semi"), posts).select("author", "side", "text"))
+    for x, out in (("a", "text0"), ("b", "text1")):
+        pairs = pairs.join(texts.select(F.col("author").alias(f"author_{x}"), F.col("side").alias(f"side_{x}"), F.col("text").alias(out)), [f"author_{x}", f"side_{x}"])
+    return pairs
+
+
 def _diff(a: Column, h: Column) -> Column:
     """|a - h| / (a + h) as the reference computes it; NULL when a + h = 0."""
     return F.when((a + h) > 0, F.abs(a.cast("double") - h.cast("double")) / (a + h).cast("double"))

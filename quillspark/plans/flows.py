@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
 from quillspark.functions.normalize import fold_accents
-from quillspark.operators import checks, clean, features, joins, metrics, models, pairs, ppm, splits
+from quillspark.operators import checks, clean, features, joins, metrics, models, pairs, ppm, profiles, splits
 from quillspark.operators import significance as sig
 from quillspark.operators.ranking import dense_ids
 from quillspark.session import cut_lineage
@@ -22,12 +22,12 @@ from quillspark.sources import io
 
 
 def build_forum_pairs(posts: DataFrame, out: str | None = None, domain_map: DataFrame | None = None,
-                      languages: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
-    """Posts -> C1/B7 -> B4 -> B3 + B5 -> B10 -> B6 -> F1 -> {F6 in, F6 cross} -> A16.
+                      languages: Sequence[str] | None = None, seed: int = 42, with_texts: bool = False) -> DataFrame:
+    """Posts -> C1/B7 -> B4 -> B3 + B5 -> B10 -> B6 -> F1 -> {F8, F6 in, F6 cross} -> A16.
 
-    ``posts``: (post_id, author, text, subreddit or domain, ...). Returns the
-    id-level pair table with a ``kind`` column (written partitioned by kind
-    and split when ``out`` is given)."""
+    ``posts``: (post_id, author, text, subreddit or domain, ...). Returns the pair table with a ``kind`` column (profile,
+    in_domain, cross_domain), written partitioned by kind and split when ``out`` is given: ids (posts, or authors and their
+    halves), and with ``with_texts`` both texts, joined last."""
     p = posts
     if domain_map is not None:
         p = clean.drop_unknown_domain(joins.assign_domain(p, domain_map, "subreddit", "domain"))
@@ -44,15 +44,27 @@ def build_forum_pairs(posts: DataFrame, out: str | None = None, domain_map: Data
     users = splits.split_authors(p, "author", seed=seed)
     a = pairs.pairs_in_domain(p, users, seed=seed).withColumn("kind", F.lit("in_domain"))
     b = pairs.pairs_cross_domain(p, users, seed=seed).withColumn("kind", F.lit("cross_domain"))
-    out_df = a.unionByName(b)
+    members = profiles.profile_members(p.join(users.select("author", "split"), "author"), seed)
+    c = profiles.pairs_profile(profiles.profile_lengths(members), seed)
+    both = a.unionByName(b)
+    if with_texts:
+        texts = p.select("post_id", "text")
+        both = (both.join(texts.select(F.col("post_id").alias("post_id_a"), F.col("text").alias("text0")), "post_id_a")
+                .join(texts.select(F.col("post_id").alias("post_id_b"), F.col("text").alias("text1")), "post_id_b"))
+        c = profiles.attach_profiles(c, members, p)
+    out_df = both.unionByName(c.withColumn("kind", F.lit("profile")), allowMissingColumns=True)
     if out is not None:
         from quillspark.sources.io import write_pair_sets
         write_pair_sets(out_df, out)
     return out_df
 
 
-def build_short_post_pairs(tweets: DataFrame, seed: int = 42, languages: Sequence[str] | None = None) -> DataFrame:
-    """A6 -> B1 -> G1, G2 -> B4, B5, B6 -> B2 -> B10 (>= 2 texts) -> F1 -> F5.
+def build_short_post_pairs(tweets: DataFrame, seed: int = 42, languages: Sequence[str] | None = None, language_model=None,
+                           out: str | None = None, with_texts: bool = False) -> DataFrame:
+    """A6 -> B1 -> G1, G22, G2 -> B4, B5, B6 -> B2 -> B10 (>= 2 texts) -> F1 -> F5 -> A16.
+
+    ``language_model`` (from ``models.fit_language_id``) gives tweets without a ``lang`` column their language; with ``out``
+    pairs are written by kind and split, with ``with_texts`` both texts are joined last.
 
     ``tweets``: (type, text, user[, lang][, post_id]). Without ``post_id`` the id is the 128-bit digest of
     (author, text), and equal texts of an author are one post (P2), so no pair holds a post twice and ids
@@ -60,15 +72,27 @@ def build_short_post_pairs(tweets: DataFrame, seed: int = 42, languages: Sequenc
     t = clean.drop_types(tweets, "type")
     t = t.withColumn("url_count", T.url_count("text"))
     t = clean.drop_url_posts(t)
-    if languages and "lang" in t.columns:
+    if languages:
+        if "lang" not in t.columns:
+            if language_model is None:
+                raise ValueError("languages need a lang column or a language model")
+            t = models.language_id(t, language_model, "text", "lang")
         t = clean.keep_languages(t, languages, "lang")
     t = clean.drop_bot_users(t.withColumnRenamed("user", "author"), "author")
     t = clean.filter_words_chars(t, "text", 25, 300)
     if "post_id" not in t.columns:
         t = t.withColumn("post_id", F.md5(F.to_json(F.struct("author", "text"))))
+    texts = t.select("post_id", "text")
     t = t.select("author", "post_id", F.md5("text").alias("__same")).groupBy("author", "__same").agg(F.min("post_id").alias("post_id"))
     t = clean.filter_author_size(t, "author", 2, None)
-    return pairs.pairs_random(t.select("author", "post_id"), seed=seed)
+    p = pairs.pairs_random(t.select("author", "post_id"), seed=seed)
+    if with_texts:
+        texts = texts.groupBy("post_id").agg(F.min("text").alias("text"))  # equal posts share an id
+        p = (p.join(texts.select(F.col("post_id").alias("post_id_a"), F.col("text").alias("text0")), "post_id_a")
+             .join(texts.select(F.col("post_id").alias("post_id_b"), F.col("text").alias("text1")), "post_id_b"))
+    if out is not None:
+        io.write_pair_sets(p.withColumn("kind", F.lit("short_posts")), out)
+    return p
 
 
 def build_mix(sets: dict, n_per_label: int | dict = 10_000, seed: int = 42) -> DataFrame:

@@ -351,11 +351,10 @@ def q_pairs_profile(spark, sf_dir):
     users = splits.split_authors(fp, "author")
     d = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("post_id"), "text")
     posts = fp.select("author", "post_id").join(users.select("author", "split"), "author").join(d, "post_id")
-    halves = profiles.profile_split(posts)
-    return profiles.pairs_profile(halves)
+    return profiles.pairs_profile(profiles.profile_lengths(profiles.profile_members(posts)))
 
 
-@register("sample_episodes")
+@register("sample_episodes", Q.sample_episodes_sql(AA_SQL, 5, 2, 100))
 def q_sample_episodes(spark, sf_dir):
-    """100 episodes of 5-way 2-shot over the AA view (rows-only check)."""
+    """100 episodes of 5-way 2-shot over the AA view."""
     return pairs.sample_episodes(aa(spark, sf_dir), 5, 2, 100, "author_id", "text_id")

@@ -225,3 +225,24 @@ def profile_pairs_sql(posts_rel: str, seed: int = 42, min_tokens: int = 25, min_
     SELECT split, true AS label, author AS author_a, 'a' AS side_a, author AS author_b, 'b' AS side_b, len_a, len_b FROM pos
     UNION ALL
     SELECT split, false AS label, author AS author_a, 'a' AS side_a, author_b, side_b, len_a, len_b2 AS len_b FROM neg"""
+
+
+def sample_episodes_sql(aa_rel: str, n_way: int, k_shot: int, episodes: int, seed: int = 42) -> str:
+    """Twin of ``pairs.sample_episodes``: every draw takes a position in the list of authors, or of an author's texts, still free."""
+    return f"""
+    WITH RECURSIVE a AS (SELECT author_id, text_id, row_number() OVER (PARTITION BY author_id ORDER BY text_id) - 1 AS tord,
+                                count(*) OVER (PARTITION BY author_id) AS n FROM ({aa_rel}) r),
+    ids AS (SELECT author_id, max(n) AS n, row_number() OVER (ORDER BY min(text_id), author_id) - 1 AS aidx FROM a WHERE n >= {2 * k_shot} GROUP BY author_id),
+    ep AS (SELECT episode, 0 AS slot, generate_series(0, (SELECT count(*) FROM ids) - 1) AS free, CAST(NULL AS BIGINT) AS pick
+           FROM range(0, {episodes}) e(episode) WHERE (SELECT count(*) FROM ids) >= {n_way}
+           UNION ALL
+           SELECT episode, slot + 1, list_filter(free, lambda x: x <> p), p FROM (
+             SELECT *, free[{key_sql(seed, 'ep', '@episode', '@slot')} % len(free) + 1] AS p FROM ep WHERE slot < {n_way}) q),
+    au AS (SELECT episode, slot - 1 AS label, author_id, n FROM ep JOIN ids ON ids.aidx = ep.pick WHERE slot > 0),
+    tx AS (SELECT episode, label, author_id, 0 AS slot, generate_series(0, n - 1) AS free, CAST(NULL AS BIGINT) AS pick FROM au
+           UNION ALL
+           SELECT episode, label, author_id, slot + 1, list_filter(free, lambda x: x <> p), p FROM (
+             SELECT *, free[{key_sql(seed, 'shot', '@episode', '@author_id', '@slot')} % len(free) + 1] AS p FROM tx WHERE slot < {2 * k_shot}) q)
+    SELECT CAST(episode AS BIGINT) AS episode, CAST(label AS INTEGER) AS label, tx.author_id, a.text_id,
+      CASE WHEN slot <= {k_shot} THEN 'adapt' ELSE 'evaluate' END AS role
+    FROM tx JOIN a ON a.author_id = tx.author_id AND a.tord = tx.pick WHERE slot > 0"""

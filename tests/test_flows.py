@@ -101,3 +101,39 @@ def test_train_and_score_pairs(spark):
         flows.train_and_score("magic", df, df)
     out = flows.evaluate_scores(got, got).first()
     assert out.accuracy == 1.0 and out.av_macro_accuracy == 1.0
+
+
+# Z1, Z2 ---------------------------------------------------------------------
+
+def test_forum_pairs_of_three_kinds_with_texts(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(100 * a + i, f"user{a}", " ".join(rng.choice(["red", "green", "blue", f"w{a}"]) for _ in range(26 + rng.randrange(40))), f"d{i % 2}")
+            for a in range(12) for i in range(6)] + [(9000, "AutoModerator", "word " * 30, "d0"), (9001, "user0", "see http://x.y " + "word " * 30, "d0")]
+    posts = spark.createDataFrame(rows, "post_id long, author string, text string, domain string")
+    ids = flows.build_forum_pairs(posts)
+    got = flows.build_forum_pairs(posts, str(tmp_path / "p"), with_texts=True)
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert {r.kind for r in back.select("kind").distinct().collect()} == {"profile", "in_domain", "cross_domain"}
+    assert back.count() == ids.count() == got.count()
+    text = {r[0]: r[2] for r in rows}
+    for r in back.collect():
+        assert (r.author_a == r.author_b) == r.label and r.text0 and r.text1 and "AutoModerator" not in (r.author_a, r.author_b)
+        if r.kind == "profile":
+            assert len(r.text0.split()) == r.len_a and len(r.text1.split()) == r.len_b
+        else:
+            assert (text[r.post_id_a], text[r.post_id_b]) == (r.text0, r.text1) and 9001 not in (r.post_id_a, r.post_id_b)
+
+
+def test_short_post_pairs_with_a_language_step(spark, tmp_path):
+    from quillspark.operators import models
+    rng = random.Random(4)
+    voc = {"en": ["the", "house", "and", "with", "water"], "fr": ["le", "château", "et", "avec", "où"]}
+    rows = [("tweet", " ".join(rng.choice(voc["fr" if u == 5 else "en"]) for _ in range(30 + k)), f"u{u}") for u in range(6) for k in range(4)]
+    tweets = spark.createDataFrame(rows, "type string, text string, user string")
+    labelled = spark.createDataFrame([(" ".join(rng.choice(w) for _ in range(20)), lang) for lang, w in voc.items() for _ in range(10)], "text string, lang string")
+    fitted = models.fit_language_id(labelled, "text", "lang", 1 << 12)
+    got = flows.build_short_post_pairs(tweets, languages=["en"], language_model=fitted, out=str(tmp_path / "t"), with_texts=True).collect()
+    assert got and all("u5" not in (r.author_a, r.author_b) and r.text0 and r.text1 for r in got)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == len(got)
+    with pytest.raises(ValueError):
+        flows.build_short_post_pairs(tweets, languages=["en"])
