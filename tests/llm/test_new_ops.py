@@ -7,9 +7,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from quillspark.llm import licence_index, merge_align, phrase_mining
+from quillspark.llm import licence_index, merge_align, ngram_rules, phrase_mining
+from quillspark.llm import textvec as V
 from quillspark.llm.queries import QUERIES
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -280,3 +282,21 @@ def test_pieces_are_equal_work_and_stitch():
             ends = sorted({*a.tolist(), *b.tolist()})
             assert x.tolist() == [int((a < e).sum()) for e in ends] and y.tolist() == [int((b < e).sum()) for e in ends]
             assert both.tolist() == [e in a and e in b for e in ends]
+
+
+# --- 9: packed count vectors ----------------------------------------------
+
+def test_packed_counts_match_counts_by_the_same_buckets(spark, sf, monkeypatch):
+    monkeypatch.setattr(ngram_rules, "BUFFER", 1000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and toxic = 0").select("doc_id")
+    got = {r.doc_id: r.score for r in ngram_rules.apply_rules(docs.repartition(5), good).collect()}
+    rows, ids = docs.collect(), {r.doc_id for r in good.collect()}
+    raw, offs = V.buffer_of(pa.array([r.text for r in rows], pa.string()))
+    bucket, of = ngram_rules.ngram_buckets(raw, offs)
+    trusted = np.array([r.doc_id in ids for r in rows])
+    both = np.stack([np.bincount(bucket, minlength=ngram_rules.BUCKETS), np.bincount(bucket[trusted[of]], minlength=ngram_rules.BUCKETS)]) + 1.0
+    ratio = np.log(both[1] / both[1].sum()) - np.log(both[0] / both[0].sum())
+    for k, r in enumerate(rows):
+        mine = ratio[bucket[of == k]]
+        assert got[r.doc_id] == pytest.approx(mine.mean() if len(mine) else 0.0, abs=1e-6)
