@@ -195,6 +195,7 @@ def predict(df: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(lo, n) for k in range(len(keep))), pa.array(names[best], pa.string()),
                      pa.array(np.where(known, q.max(axis=1), 0.0))], names=schema.names)
+        V.give_back()
 
     place = list(keep).index(text) if with_text else len(keep)
     return df.select(*keep, *([] if with_text else [text])).mapInArrow(run, schema)

@@ -5,11 +5,14 @@ the smallest node it knows) until the edges no longer change; then every node
 hangs on the smallest node of its component. Node minima are aggregated with
 map-side combine, joins are equi-joins that adaptive execution can split, and
 lineage is cut with a checkpoint every round. The number of rounds grows with
-the logarithm of the longest chain.
+the logarithm of the longest chain. The last round is known by its edges: no
+node has two roots and no root has one.
 """
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +32,24 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def release(df: DataFrame) -> None:
+    """Lets Spark's cleaner drop checkpoints and shuffles that nothing refers to any more (where the session allows that)."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Every node hangs on one root, and no root hangs on another."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    seen = ends.groupBy("e.node").agg(F.sum("e.up").alias("roots"), F.min("e.up").alias("least"))
+    return seen.where("roots > 1 or (roots = 1 and least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the (a, b) edges; component is its smallest node. Loops and nulls are ignored."""
     now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
-        if state == seen:
-            break
-        seen = state
+    while not _settled(now):
         now = cut_lineage(_star(cut_lineage(_star(now, True)), False))
+        release(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -21,8 +21,8 @@ blocks of a bucket and on sketches (a byte of each register): pairs that agree
 in fewer registers than a pair at 0.8 does with probability 1 - 1e-6 are not
 read again, all others are verified. So a bucket of thousands of near copies
 costs about one check a member, pairs are never listed, only the links that join
-components, and no such link is lost. Groups are the connected components, computed
-without collecting links.
+components; such a link is lost only with the two probabilities above. Groups are
+the connected components, computed without collecting links.
 
 Rows that share an id are one document. Null ids never link: such rows return
 null class and group. Null and empty texts (and texts without words) have no
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm import textvec as V
-from quillspark.llm.components import components
+from quillspark.llm.components import components, release
 from quillspark.session import cut_lineage
 
 WORDS = 5
@@ -121,7 +121,7 @@ def with_bands(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for lo, hi, raw, offs in V.slices(batch.column(1), 2 * V.SLICE_BYTES):
+            for lo, hi, raw, offs in V.slices(batch.column(1)):
                 n = hi - lo
                 data = raw.tobytes()
                 d = np.frombuffer(b"".join(hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())),
@@ -135,6 +135,7 @@ def with_bands(df: DataFrame, id_col: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1])),
                                                   pa.ListArray.from_arrays(pa.array(at), pa.array(bands.ravel())),
                                                   pa.array([sketch[k: k + REGISTERS] for k in range(0, n * REGISTERS, REGISTERS)], pa.binary())], names=schema.names)
+        V.give_back()
 
     return df.select(id_col, text).mapInArrow(run, schema)
 
@@ -181,46 +182,35 @@ class Texts:
 
 
 def verified(pairs: DataFrame, df: DataFrame, id_col: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
-    """The (a, b) pairs whose texts have J_P >= threshold.
+    """The (lead, member) pairs whose texts have J_P >= threshold.
 
-    Texts move in blocks: those of one family (component of the pairs) are dealt to blocks of about BLOCK_BYTES and
-    BLOCK_TEXTS, and the pairs between two blocks are checked together, so a text moves once for a pair of blocks.
+    The members of a lead are dealt to blocks of about BLOCK_BYTES and BLOCK_TEXTS, and the lead's text meets each block once,
+    so a large bucket is many tasks' work and a member's text moves once for each of its leads.
     """
     pairs = cut_lineage(pairs)
-    family = cut_lineage(components(pairs))
-    ends = family.select(F.col("node").alias("__n"), F.col("component").alias("family"))
-    if ends.count() <= BROADCAST_IDS:
-        ends = F.broadcast(ends)
-    texts = df.select(F.col(id_col).alias("node"), F.col(text).alias("text")).join(ends, F.col("node") == F.col("__n")).drop("__n")
-    lengths = texts.select("family", "node", F.octet_length("text").alias("bytes")).distinct()  # copies of a text count once
-    size = lengths.groupBy("family").agg(F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int").alias("blocks"))
-    size = cut_lineage(size)
-    block = F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int")
-    blocks = (texts.join(size, "family").withColumn("block", block).groupBy("family", "block")
-              .agg(F.collect_set(F.struct("node", "text")).alias("texts")))
-    blocks = cut_lineage(blocks)
-    where = family.join(size, F.col("component") == F.col("family")).select("node", "family", block.alias("block"))
-    listed = (pairs.join(where.select(F.col("node").alias("a"), "family", F.col("block").alias("ba")), "a")
-              .join(where.select(F.col("node").alias("b"), F.col("block").alias("bb")), "b")
-              .groupBy("family", F.least("ba", "bb").alias("i"), F.greatest("ba", "bb").alias("j")).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b")))
-    both = (listed.join(blocks.select("family", F.col("block").alias("i"), F.col("texts").alias("ti")), ["family", "i"])
-            .join(blocks.select("family", F.col("block").alias("j"), F.col("texts").alias("tj")), ["family", "j"]))
+    nodes = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("__n")).distinct())
+    if nodes.count() <= BROADCAST_IDS:
+        nodes = F.broadcast(nodes)
+    texts = cut_lineage(df.select(F.col(id_col).alias("node"), F.col(text).alias("text")).join(nodes, F.col("node") == F.col("__n"))
+                        .select("node", "text").distinct())  # copies of a text count once
+    members = pairs.join(texts.select(F.col("node").alias("b"), F.octet_length("text").alias("bytes")), "b")
+    size = members.groupBy("a").agg(F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.lit(1)).cast("int").alias("blocks"))
+    dealt = pairs.join(size, "a").select("a", "b", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("block"))
+    blocks = (dealt.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").groupBy("a", "block")
+              .agg(F.collect_list("b").alias("b"), F.collect_list(F.coalesce("tb", F.lit(""))).alias("tb")))
+    both = blocks.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "ta", "b", "tb")
+    kind = df.schema[id_col].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                a, b, *sides = (batch.column(k)[row].values for k in range(4))
-                place: dict = {}
-                for side in sides[:1] if batch.column(4)[row].as_py() else sides:
-                    held = Texts(side.field(1))
-                    for k, node in enumerate(side.field(0).to_pylist()):
-                        place.setdefault(node, []).append((held, k))
-                sim = [max(p.similarity(i, q, j) for p, i in place[x] for q, j in place[y]) for x, y in zip(a.to_pylist(), b.to_pylist())]
-                yield pa.RecordBatch.from_arrays([a, b, pa.array(sim, pa.float64())], names=["a", "b", "similarity"])
+                lead, members = Texts(batch.column(1).slice(row, 1)), batch.column(2)[row].values
+                held = Texts(batch.column(3)[row].values)
+                near = members.filter(pa.array([lead.similarity(0, held, k) >= threshold for k in range(len(members))], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[row].as_py()] * len(near), batch.schema.field(0).type), near], names=schema.names)
 
-    kind = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
-    return both.select("a", "b", "ti", "tj", (F.col("i") == F.col("j")).alias("one")).mapInArrow(run, schema).where(F.col("similarity") >= threshold).select("a", "b").distinct()
+    return both.mapInArrow(run, schema).distinct()
 
 
 def _block_pairs(rows: DataFrame, payload: list[str], size: str) -> DataFrame:
@@ -322,15 +312,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", t
     bucketed = cut_lineage(rows.join(shared.select("key", "lead"), "key"))
     tried = bucketed.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     edges = cut_lineage(verified(tried, df, id_col, text, threshold))
-    comps = components(edges)
+    comps = cut_lineage(components(edges))
+    release(df)
     # members of a bucket that are still apart
     placed = bucketed.join(comps, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
     marks = classes.select(F.col("rep").alias("id"), "bands", "sketch")
     more = cut_lineage(apart_links(placed, marks, df, id_col, text, threshold))
+    grouped = classes.select("d1", "d2", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("d1", "d2", "rep", F.coalesce("component", "rep").alias("group"))
     if not more.isEmpty():
-        comps = components(edges.union(more))
-    grouped = (classes.select("d1", "d2", "rep").join(comps, F.col("rep") == F.col("node"), "left")
-               .select("d1", "d2", "rep", F.coalesce("component", "rep").alias("group")))
+        # links between components: components of components
+        top = comps.select(F.col("node"), F.col("component").alias("top"))
+        between = more.join(top.withColumnRenamed("node", "a"), "a", "left").select(F.coalesce("top", "a").alias("a"), "b")
+        between = between.join(top.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("top", "b").alias("b"))
+        joined = components(between)
+        grouped = grouped.join(joined, F.col("group") == F.col("node"), "left").select("d1", "d2", "rep", F.coalesce("component", "group").alias("group"))
+    release(df)
     one = signed.select("id", "d1", "d2").join(grouped, ["d1", "d2"], "left")
     there = F.col("id").isNotNull()
     return one.select(F.col("id").alias(id_col), F.when(there, F.col("rep")).alias("class_id"), F.when(there, F.col("group")).alias("group_id"),

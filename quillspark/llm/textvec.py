@@ -12,11 +12,17 @@ value per byte, finished with a bit mixer: any word, line or window costs O(1).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
 U64 = np.uint64
 SLICE_BYTES = 1 << 20
 
@@ -79,6 +85,13 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def give_back() -> None:
+    """Returns the memory that a finished task has freed to the system: workers live on and serve other stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def runs(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of True that do not cross a text's end: (starts, ends, text index)."""
     n = len(inside)
