@@ -172,6 +172,22 @@ def char_wb_ngrams(text, n_min: int = 1, n_max: int = 3, lowercase: bool = True)
     return F.flatten(F.transform(words, lambda w: let(F.concat(F.lit(" "), w, F.lit(" ")), grams)))
 
 
+def char_wb_counts(df: DataFrame, id_col: str, text_col: str = "text", n_min: int = 1, n_max: int = 3, lowercase: bool = True) -> DataFrame:
+    """H1 as a long table (id, term, tf): the counts of ``char_wb_ngrams``.
+
+    Words of a text are counted first, so a word that occurs often is cut into
+    n-grams once, and n-grams are cut row by row in generated code, without
+    arrays of a whole text's n-grams. Rows of one id are counted together."""
+    s = F.lower(text_col) if lowercase else F.col(text_col)
+    words = (df.select(id_col, F.explode(F.regexp_extract_all(s, F.lit(T.WORD_RE), 0)).alias("w"))
+             .groupBy(id_col, "w").agg(F.count(F.lit(1)).alias("c")))
+    padded = words.select(id_col, "c", F.concat(F.lit(" "), "w", F.lit(" ")).alias("p")).withColumn("L", F.length("p"))
+    # a word no longer than n yields itself once, at the smallest such n
+    sized = padded.select(id_col, "c", "p", "L", F.explode(F.sequence(F.lit(n_min), F.greatest(F.lit(n_min), F.least(F.lit(n_max), F.col("L"))))).alias("n"))
+    cut = sized.select(id_col, "c", "p", "n", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("L") - F.col("n") + 1))).alias("o"))
+    return cut.groupBy(id_col, F.substring("p", F.col("o"), F.col("n")).alias("term")).agg(F.sum("c").cast("bigint").alias("tf"))
+
+
 def char_ngrams(text, n_min: int = 1, n_max: int = 3, lowercase: bool = True) -> Column:
     """Plain character n-grams over the whole text.
 

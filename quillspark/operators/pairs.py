@@ -226,14 +226,16 @@ def direct_negatives(indexed: DataFrame, missing: DataFrame, mode: str, seed: in
         cells = cells.withColumn("skip", F.when((F.col("ue") == 1) & (F.col("c") == 1), F.col("at"))).withColumn("w", F.col("ud") * F.col("ue") - F.col("c"))
     cells = cells.filter("w > 0").select("split", "d", "e", "ud", "ue", "skip", "w")
     order = Window.partitionBy("split").orderBy("d", "e")  # a row per pair of domains
-    cells = (cells.withColumn("cum", F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-             .withColumn("w_all", F.sum("w").over(Window.partitionBy("split"))))
+    cells = cells.withColumn("end", F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # one row a split: its cells in order, so that a missing positive meets one row and picks its cell there
+    cells = cells.groupBy("split").agg(F.array_sort(F.collect_list(F.struct("end", "d", "e", "ud", "ue", "skip"))).alias("cells"), F.max("end").alias("w_all"))
 
     def draw(what, n):
         return key(seed, "neg", mode, what, F.col("anchor"), F.col("slot")) % n
 
     got = missing.select("split", F.col("author_a").alias("anchor"), "slot").join(cells, "split").withColumn("o", draw("cell", F.col("w_all")))
-    got = got.filter((F.col("o") >= F.col("cum")) & (F.col("o") < F.col("cum") + F.col("w")))
+    got = got.withColumn("cell", F.element_at("cells", F.size(F.filter("cells", lambda c: c["end"] <= F.col("o"))) + 1))
+    got = got.select("split", "anchor", "slot", *[F.col(f"cell.{c}").alias(c) for c in ("d", "e", "ud", "ue", "skip")])
     ia = draw("first", F.col("ud") - F.when(F.col("skip").isNull(), 0).otherwise(1))
     got = got.withColumn("ia", ia).withColumn("ia", F.col("ia") + F.when(F.col("ia") >= F.col("skip"), 1).otherwise(0))
     first = held.select("split", F.col("domain").alias("d"), F.col("at").alias("ia"), F.col("author").alias("ua"), F.col("n").alias("na"))
@@ -409,17 +411,15 @@ def mix_pair_sets(sets: dict[str, DataFrame], n_per_label: int | dict[str, int],
     """per source set and split, n positives and n negatives (keyed choice),
     concatenated; user ids stay top-level columns, the ``source`` is kept.
 
-    ``row_number() <= n`` per (source, split, label) lets Spark cut each map
-    task to n rows per group before the shuffle (WindowGroupLimit).
+    Counts of key buckets say which rows can be among the n of a (split, label);
+    only those are ranked, in range partitions, so a label is not one task.
     """
+    from quillspark.operators.ranking import first_by_key
     parts = []
     for name, df in sets.items():
         n = n_per_label[name] if isinstance(n_per_label, dict) else n_per_label
         k = key(seed, "mix", name, F.col("split"), F.col("post_id_a"), F.col("post_id_b"), F.col("label"))
-        w = Window.partitionBy("split", "label").orderBy(k, "post_id_a", "post_id_b")
-        part = (df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
-                .withColumn("source", F.lit(name)))
-        parts.append(part)
+        parts.append(first_by_key(cut_lineage(df), ["split", "label"], k, ["post_id_a", "post_id_b"], n).withColumn("source", F.lit(name)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

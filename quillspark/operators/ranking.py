@@ -18,6 +18,8 @@ from quillspark.session import cut_lineage
 
 _PID = "__qs_pid"
 _MID = "__qs_mid"
+# groups whose one-row tables ``first_by_key`` broadcasts (a key and a number each)
+MAX_GROUPS = 100_000
 
 
 def _cols(cols) -> list[Column]:
@@ -77,6 +79,36 @@ def ordinal_in_group(df: DataFrame, group: Sequence[str], order: Sequence, col:
     )
 
 
+def first_by_key(df: DataFrame, group: Sequence[str], draw: Column, ties: Sequence[str], n: int, bits: int = 60) -> DataFrame:
+    """The first ``n`` rows of every group in the order (draw, ties), without a task per group.
+
+    ``draw`` is a uniform key of ``bits`` bits (``functions.key``). Its leading bits cut a group into 4,096
+    buckets; the counts of the buckets say up to which one rows are needed, so only about n + 1/4,096 of a
+    group is ranked, by range partitions. ``df`` is read twice. Groups of null keys are groups."""
+    group = list(group)
+    d = df.withColumn("__draw", draw).withColumn("__bucket", F.shiftright("__draw", bits - 12))
+    sums = d.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # 4,096 rows a group at most
+    edge = (sums.withColumn("__before", F.coalesce(F.sum("__c").over(before), F.lit(0))).filter(F.col("__before") < n)
+            .groupBy(*[F.col(g).alias(f"__g_{g}") for g in group]).agg(F.max("__bucket").alias("__edge")))
+    edge = cut_lineage(edge)
+    few = edge.count() <= MAX_GROUPS  # a row a group
+
+    def side(small: DataFrame) -> DataFrame:
+        return F.broadcast(small) if few else small
+
+    same = F.col("__bucket") <= F.col("__edge")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    kept = d.join(side(edge), same, "left_semi")
+    ranked = global_rank(kept.drop("__bucket"), [*_cols(group), "__draw", *_cols(ties)], rank_col="__r")
+    start = ranked.groupBy(*[F.col(g).alias(f"__g_{g}") for g in group]).agg(F.min("__r").alias("__start"))
+    inside = F.col("__r") < F.col("__start") + n
+    for g in group:
+        inside = inside & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    return ranked.join(side(start), inside, "left_semi").drop("__r", "__draw")
+
+
 def dense_ids(df: DataFrame, key_cols: Sequence[str], order: Sequence, id_col: str = "id") -> DataFrame:
     """Distinct ``key_cols`` numbered 0..K-1 by ``min(order)`` (first seen first).
 

@@ -9,8 +9,11 @@ sums rather than per-draw rows.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.functions import key
 from quillspark.operators.ranking import ordinal_in_group
@@ -63,16 +66,42 @@ def bootstrap_weights(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: i
     return hit.groupBy(draws[dataset_col], "replicate", "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("w"))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _multinomial(counts: pd.Series, seeds: pd.Series) -> pd.Series:
+    """Numbers of draws by pattern, one multinomial sample a row (a chain of conditional binomials)."""
+    return pd.Series([np.random.Generator(np.random.PCG64(int(s))).multinomial(c.sum(), c / c.sum()) for c, s in zip(counts, seeds)])
+
+
+def multinomial_weights(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED,
+                        dataset_col: str = "dataset", pair_col: str = "pair_id", model_col: str = "model",
+                        label_col: str = "label", pred_col: str = "pred") -> DataFrame:
+    """M1 with the distribution of ``bootstrap_weights``, but without its draws: (dataset, replicate, pattern, w), w > 0.
+
+    n draws with replacement fall on the patterns as a multinomial sample, so a replicate takes one keyed sample over
+    the counts of the patterns. The rows are read once, for those counts; the work of a replicate follows the number of
+    distinct patterns (at most 2 to the power of models + 1 for labels and predictions of 0 and 1), not of rows.
+    Samples depend on (seed, dataset, replicate) only, so a lost task is drawn again alike."""
+    pp = pair_patterns(scores, dataset_col, model_col, pair_col, label_col, pred_col)
+    pat = pp.groupBy(dataset_col, "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("n_p"))
+    packed = pat.groupBy(dataset_col).agg(F.array_sort(F.collect_list(F.struct("pattern", "n_p"))).alias("pats"))
+    nparts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reps = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")).repartition(nparts, dataset_col, "replicate")
+    drawn = reps.withColumn("w", _multinomial(F.col("pats.n_p"), key(seed, "multinomial", F.col(dataset_col), F.col("replicate"))))
+    rows = drawn.select(dataset_col, "replicate", F.explode(F.arrays_zip(F.col("pats.pattern").alias("pattern"), F.col("w").alias("w"))).alias("x"))
+    return rows.select(dataset_col, "replicate", "x.pattern", "x.w").filter("w > 0")
+
+
 def bootstrap_metrics(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED,
                       dataset_col: str = "dataset", model_col: str = "model", pair_col: str = "pair_id",
-                      label_col: str = "label", pred_col: str = "pred") -> DataFrame:
+                      label_col: str = "label", pred_col: str = "pred", weights=None) -> DataFrame:
     """M2: F1 and accuracy of every resample and model:
-    (dataset, model, replicate, f1, accuracy)."""
+    (dataset, model, replicate, f1, accuracy). ``weights``: ``bootstrap_weights`` (every draw is keyed) or
+    ``multinomial_weights`` (cost independent of the rows)."""
     from quillspark.operators.joins import join_small
     pp = pair_patterns(scores, dataset_col, model_col, pair_col, label_col, pred_col)
     per_model = pp.select(dataset_col, "pattern", "label", F.explode("preds").alias("x")).select(
         dataset_col, "pattern", "label", F.col("x.m").alias(model_col), F.col("x.p").alias(pred_col)).distinct()
-    w = bootstrap_weights(scores, replicates, seed, dataset_col, pair_col, model_col, label_col, pred_col)
+    w = (weights or bootstrap_weights)(scores, replicates, seed, dataset_col, pair_col, model_col, label_col, pred_col)
     j = join_small(w, per_model, [dataset_col, "pattern"])
     y, p, wt = F.col("label") == 1, F.col(pred_col) == 1, F.col("w")
     agg = j.groupBy(dataset_col, model_col, "replicate").agg(
@@ -124,9 +153,9 @@ def compare_adjacent(boot: DataFrame, full: DataFrame, metric: str = "f1", datas
                       F.lit(metric).alias("metric"))
 
 
-def significance_report(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED) -> DataFrame:
+def significance_report(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED, weights=None) -> DataFrame:
     """M4 (Z7): F1 and accuracy rankings with adjacent comparisons, one table."""
     from quillspark.session import cut_lineage
-    boot = cut_lineage(bootstrap_metrics(scores, replicates, seed))
+    boot = cut_lineage(bootstrap_metrics(scores, replicates, seed, weights=weights))
     full = full_sample_metrics(scores)
     return compare_adjacent(boot, full, "f1").unionByName(compare_adjacent(boot, full, "accuracy"))

@@ -135,5 +135,7 @@ def split_bernoulli(df: DataFrame, id_col: str, share: float = 0.2, seed: int =
 
 
 def sample_rows(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """n rows without replacement (keyed order, TakeOrderedAndProject)."""
-    return df.withColumn("__k", key(seed, "sample", F.col(id_col))).orderBy("__k", id_col).limit(n).drop("__k")
+    """n rows without replacement, the first in keyed order. Counts of key buckets give the threshold first, so
+    n rows never meet in one task."""
+    from quillspark.operators.ranking import first_by_key
+    return first_by_key(df, [], key(seed, "sample", F.col(id_col)), [id_col], n)

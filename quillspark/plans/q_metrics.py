@@ -225,6 +225,13 @@ def q_bootstrap_metrics(spark, sf_dir):
     return S.bootstrap_metrics(_pred_scores(spark, sf_dir))
 
 
+@register("significance_multinomial")
+def q_significance_multinomial(spark, sf_dir):
+    """M4 over multinomial samples of the patterns. The samples are numpy's, so SQL has no twin; pytest holds
+    their moments and the report against the keyed draws."""
+    return S.significance_report(_pred_scores(spark, sf_dir), weights=S.multinomial_weights)
+
+
 _FULL_SQL = f"""SELECT dataset, model, {_div('2 * tp', '2 * tp + fp + fn')} AS f1, CAST(ok AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy FROM (
     SELECT dataset, model, count_if(label = 1 AND pred = 1) AS tp, count_if(label <> 1 AND pred = 1) AS fp,
            count_if(label = 1 AND pred <> 1) AS fn, count_if(label = pred) AS ok, count(*) AS n FROM ({_PRED_SQL}) s GROUP BY dataset, model) x"""
