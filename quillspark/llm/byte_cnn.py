@@ -8,7 +8,8 @@ languages are the softmax of its windows' mean logits, weighted by their bytes.
 
 Training reads at most ``PER_LANGUAGE`` texts of each language (the first by key
 of the id, one window of ``WINDOW`` bytes each), which bounds what the driver
-fetches; each task sends at most that many candidates a language. Scoring needs
+fetches; key buckets counted first say which rows those are, so no language's
+windows meet in one task. Scoring needs
 no shuffle; memory follows slices of about a megabyte, and a longer text is
 taken in blocks of windows.
 
@@ -22,18 +23,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm import textvec as V
+from quillspark.operators.ranking import first_by_key
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
 PER_LANGUAGE = 1_500
-SHARES = 16
 EPOCHS = 6
 BATCH = 32
 RATE = 4e-3
@@ -152,12 +153,9 @@ def train(df: DataFrame, trains: Column, id_col: str = "doc_id", text: str = "te
     begin = F.pmod(F.xxhash64(id_col, F.lit("at")), F.greatest(F.length(text) - WINDOW, F.lit(0)) + 1).cast("int") + 1
     rows = (df.where(trains & F.col(lang).isNotNull() & (F.length(text) > 0))
             .select(F.col(lang).alias("lang"), key.alias("k"), F.col(id_col).alias("id"), F.substring(F.col(text), begin, F.lit(WINDOW)).alias("w")))
-    # first within shares of a language, so that the last step sees SHARES * per_language rows of it at most
-    share = Window.partitionBy("lang", F.pmod("k", F.lit(SHARES))).orderBy("k", "id", "w")
-    rows = rows.withColumn("r", F.row_number().over(share)).where(F.col("r") <= per_language)
-    first = Window.partitionBy("lang").orderBy("k", "id", "w")
-    got = (rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_language)
-           .orderBy("lang", "r").select("lang", "w").toPandas())
+    # counts of key buckets say which rows can be among the first of a language; only those are moved and ranked
+    got = (first_by_key(rows, ["lang"], F.shiftrightunsigned("k", 4), ["k", "id", "w"], per_language)
+           .orderBy("lang", "k", "id", "w").select("lang", "w").toPandas())
     if got.empty:
         return None
     net = ByteNet(sorted(set(got["lang"])))

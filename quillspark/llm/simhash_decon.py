@@ -10,10 +10,16 @@ of shared shingles changes linearly. Equal windows are fingerprinted once.
 
 A 64-bit SimHash of the window's weighted shingles is compared with those of
 items of that length: fingerprints are cut into RADIUS + 1 bit blocks, so two
-within RADIUS bits agree in a block and meet in an equi-join on (length, block,
-bits). At weighted similarity 0.8 the expected distance is 10 bits, the radius
-20. Pairs within the radius are verified with the exact weighted Jaccard
-similarity (sum of smaller counts over sum of larger counts) >= 0.8.
+within RADIUS bits agree in a block and meet in an equi-join on (length, prefix
+shingle, block, bits). At weighted similarity 0.8 the expected distance is 10
+bits, the radius 20. Pairs within the radius are verified with the exact weighted
+Jaccard similarity (sum of smaller counts over sum of larger counts) >= 0.8.
+
+Blocks of three bits alone would let nearly every window meet nearly every item
+of its length. The prefix shingle splits them: of the n shingles of a side in
+hash order, repeats counted, a pair at similarity t or more shares at least t * n,
+so the first n - ceil(t * n) + 1 of both sides have one in common. No pair at
+the threshold is lost by it, and unrelated texts share none.
 
 Item shingles are broadcast only up to BROADCAST_ROWS, else joined by shuffle;
 texts are read again only for documents with a shared shingle.
@@ -80,6 +86,13 @@ def block_keys(fp: str, radius: int = RADIUS) -> Column:
                      for k, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
+def prefix_shingles(h: str, threshold: float = THRESHOLD) -> Column:
+    """The first shingles in hash order, of which two arrays of similarity ``threshold`` or more share one."""
+    n = F.size(h)
+    least = F.ceil(n * F.lit(threshold) - F.lit(1e-9)).cast("int")
+    return F.array_distinct(F.slice(F.array_sort(h), F.lit(1), F.greatest(n - least + 1, F.lit(1))))
+
+
 def weighted_jaccard(a: str, b: str) -> Column:
     """Sum of smaller counts over sum of larger counts of two shingle arrays."""
     def times(arr, x):
@@ -124,9 +137,11 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
         .select("a.id", "a.stamp", "n", start.alias("start"), "h").select("id", "stamp", "n", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("w"))
         .select("id", "stamp", "n", "start", "w", F.xxhash64("w").alias("w1"), F.xxhash64(F.lit(1), F.reverse("w")).alias("w2")).distinct())
     distinct = cut_lineage(cut.groupBy("n", "w1", "w2").agg(F.first("w").alias("w")).withColumn("fp", fingerprint("w")))
-    probe = distinct.select("n", "w1", "w2", "fp", F.explode(block_keys("fp", radius)).alias("key")).select("n", "w1", "w2", "fp", "key.*")
-    index = item.select("item", "n", F.col("fp").alias("ifp"), F.explode(block_keys("fp", radius)).alias("key")).select("item", "n", "ifp", "key.*")
-    near = (probe.join(index, ["n", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
+    probe = distinct.select("n", "w1", "w2", "fp", F.explode(prefix_shingles("w", threshold)).alias("x"))
+    probe = probe.select("n", "x", "w1", "w2", "fp", F.explode(block_keys("fp", radius)).alias("key")).select("n", "x", "w1", "w2", "fp", "key.*")
+    index = item.select("item", "n", F.col("fp").alias("ifp"), F.explode(prefix_shingles("h", threshold)).alias("x"))
+    index = index.select("item", "n", "x", "ifp", F.explode(block_keys("ifp", radius)).alias("key")).select("item", "n", "x", "ifp", "key.*")
+    near = (probe.join(index, ["n", "x", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
             .select("n", "w1", "w2", "item").distinct())
     checked = (near.join(distinct.drop("fp"), ["n", "w1", "w2"]).join(item.select("item", "n", F.col("h").alias("ih")), ["item", "n"])
                .select("n", "w1", "w2", "item", weighted_jaccard("w", "ih").alias("similarity")).where(F.col("similarity") >= threshold)).distinct()
