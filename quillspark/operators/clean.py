@@ -33,17 +33,22 @@ def drop_types(df: DataFrame, col: str = "type", types: Iterable[str] = DROPPED_
     return df.filter(~F.coalesce(_c(col).isin(list(types)), F.lit(False)))
 
 
+def once(df: DataFrame, col: str, value: Column | None = None) -> DataFrame:
+    """``col`` computed once a row. A plain expression would be repeated in the filter for every comparison."""
+    return df.withColumn(col, F.explode(F.array(_c(col) if value is None else value)))
+
+
 def filter_words_chars(df: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS_SHORT,
                        max_chars: int = MAX_CHARS_SHORT) -> DataFrame:
     """B2: strip the text, keep words >= min_words and chars <= max_chars (inclusive)."""
-    s = df.withColumn(text_col, T.strip(text_col))
+    s = once(df, text_col, T.strip(text_col))
     return s.filter((T.word_count(text_col) >= min_words) & (F.length(text_col) <= max_chars))
 
 
 def filter_length_open(df: DataFrame, col: str = "text_length", lo: int = MIN_LEN_FORUM,
                        hi: int = MAX_LEN_FORUM) -> DataFrame:
     """Lo < length < hi, both exclusive."""
-    return df.filter((_c(col) > lo) & (_c(col) < hi))
+    return once(df, col).filter((_c(col) > lo) & (_c(col) < hi))
 
 
 def drop_url_posts(df: DataFrame, col: str = "url_count", enabled: bool = True) -> DataFrame:
