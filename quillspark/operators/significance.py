@@ -9,6 +9,8 @@ sums rather than per-draw rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.functions import key
-from quillspark.operators.ranking import ordinal_in_group
 
 N_BOOTSTRAPS = 10_000
 SEED = 42
@@ -33,6 +34,84 @@ def pair_patterns(scores: DataFrame, dataset_col: str = "dataset", model_col: st
     return per.withColumn("pattern", key_s)
 
 
+# a unit of draws: at most so many slots, and so many draws in all
+UNIT_SLOTS, UNIT_DRAWS = 1 << 16, 1 << 21
+HASH_LANES = 1 << 14
+MD5_SHIFTS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+MD5_SINES = [np.uint32(int(abs(math.sin(i + 1)) * 2 ** 32)) for i in range(64)]
+
+
+def _md5_keys(head: bytes, replicate: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """``keys.key`` of head + replicate + '|' + slot, for numbers that have as many digits each: md5 over whole arrays."""
+    rl, sl = len(str(replicate[0])), len(str(slot[0]))
+    at = len(head)
+    body = head + b"0" * rl + b"|" + b"0" * sl
+    padded = body + b"\x80" + b"\0" * ((55 - len(body)) % 64) + (8 * len(body)).to_bytes(8, "little")
+    words = [*np.frombuffer(padded, "<u4")]  # numbers, and arrays where digits are
+    for digits, n, first in ((replicate, rl, at), (slot, sl, at + rl + 1)):
+        for i in range(n):
+            place = first + i
+            digit = (digits // 10 ** (n - 1 - i) % 10).astype(np.uint32)
+            words[place // 4] = words[place // 4] + (digit << np.uint32(8 * (place % 4)))
+    state = [np.full(len(slot), x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+    with np.errstate(over="ignore"):
+        for lo in range(0, len(words), 16):
+            a, b, c, d = state
+            for i in range(64):
+                kind = i // 16
+                if kind == 0:
+                    f, g = d ^ (b & (c ^ d)), i
+                elif kind == 1:
+                    f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+                elif kind == 2:
+                    f, g = b ^ c ^ d, (3 * i + 5) % 16
+                else:
+                    f, g = c ^ (b | ~d), 7 * i % 16
+                f += a
+                f += MD5_SINES[i] + words[lo + g]
+                left = MD5_SHIFTS[kind][i % 4]
+                turned = f << np.uint32(left)
+                f >>= np.uint32(32 - left)
+                turned |= f
+                turned += b
+                a, d, c, b = d, c, b, turned
+            state = [x + y for x, y in zip(state, (a, b, c, d))]
+    return (state[0].byteswap().astype(np.uint64) << np.uint64(28)) | (state[1].byteswap() >> np.uint32(4))
+
+
+def _same_digits(lo: int, hi: int):
+    """[lo, hi) in parts whose numbers have as many digits."""
+    while lo < hi:
+        stop = min(hi, 10 ** len(str(lo)))
+        yield lo, stop
+        lo = stop
+
+
+def _draw_unit(head: str, counts: np.ndarray, rep_lo: int, rep_hi: int, slot_lo: int, slot_hi: int) -> np.ndarray:
+    """How often the draws of a unit fall on each pattern: replicates x patterns, flat."""
+    ends = np.cumsum(counts)
+    out = np.zeros((rep_hi - rep_lo) * len(counts), np.int64)
+    for r0, r1 in _same_digits(rep_lo, rep_hi):
+        for s0, s1 in _same_digits(slot_lo, slot_hi):
+            for lo in range(0, (r1 - r0) * (s1 - s0), HASH_LANES):
+                cell = np.arange(lo, min(lo + HASH_LANES, (r1 - r0) * (s1 - s0)))
+                rep, slot = r0 + cell // (s1 - s0), s0 + cell % (s1 - s0)
+                drawn = (_md5_keys(head.encode(), rep, slot) % np.uint64(ends[-1])).astype(np.int64)
+                into = (rep - rep_lo) * len(counts) + np.searchsorted(ends, drawn, "right")
+                first = int(into.min())
+                got = np.bincount(into - first)
+                out[first: first + len(got)] += got
+    return out
+
+
+def _keyed_draws(replicates: int, seed: int):
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def drawn(dataset: pd.Series, counts: pd.Series, rep: pd.Series, reps: pd.Series, slot: pd.Series, slots: pd.Series) -> pd.Series:
+        return pd.Series([_draw_unit(f"{seed}|boot|{d}|", np.asarray(c), r, min(r + k, replicates), s, min(s + m, int(sum(c))))
+                          for d, c, r, k, s, m in zip(dataset, counts, rep, reps, slot, slots)])
+    return drawn
+
+
 def bootstrap_weights(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: int = SEED,
                       dataset_col: str = "dataset", pair_col: str = "pair_id", model_col: str = "model",
                       label_col: str = "label", pred_col: str = "pred") -> DataFrame:
@@ -41,29 +120,30 @@ def bootstrap_weights(scores: DataFrame, replicates: int = N_BOOTSTRAPS, seed: i
 
     Rows are ordered by (pattern, pair_id); draw d of a replicate picks row
     ``key(seed, dataset, replicate, d) % n``, which falls in its pattern's
-    range -- a lookup in a table of at most (distinct patterns) rows per
-    dataset. Metrics only depend on how often each pattern is drawn, so the
-    shuffle carries (dataset, replicate, pattern) counts, not draws."""
+    range. Metrics only depend on how often each pattern is drawn, so no draw is
+    a row: a row is a unit of draws (a range of replicates and of slots of a
+    dataset, at most ``UNIT_DRAWS``) with the counts of the patterns, its draws
+    are hashed and counted as arrays, and (dataset, replicate, pattern) counts leave
+    it. Units are spread by hash, so a dataset with most rows is many tasks' work."""
     from quillspark.operators.joins import join_small
-    from pyspark.sql import Window
+    from quillspark.session import cut_lineage
     pp = pair_patterns(scores, dataset_col, model_col, pair_col, label_col, pred_col)
-    slots = ordinal_in_group(pp.select(dataset_col, pair_col), [dataset_col], [pair_col], col="slot")
-    pat = pp.groupBy(dataset_col, "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("n_p"))
-    w = Window.partitionBy(dataset_col).orderBy("pattern")
-    pat = (pat.withColumn("start", F.coalesce(F.sum("n_p").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("n", F.sum("n_p").over(Window.partitionBy(dataset_col))))
-    n = pat.select(dataset_col, "n").distinct()
-    # spread the slots before exploding them into replicates: one dataset
-    # may hold most rows, and its draws must not stay in one task
+    pat = pp.filter(F.col(dataset_col).isNotNull()).groupBy(dataset_col, "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("n_p"))
+    # a row a dataset, with its patterns
+    packed = cut_lineage(pat.groupBy(dataset_col).agg(F.array_sort(F.collect_list(F.struct("pattern", "n_p"))).alias("pats"), F.sum("n_p").alias("n")))
+    slots = F.least("n", F.lit(UNIT_SLOTS))
+    reps = F.greatest(F.lit(1), F.least(F.lit(replicates), F.floor(F.lit(UNIT_DRAWS) / F.greatest(slots, F.size("pats"))))).cast("int")
     nparts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = slots.repartition(nparts, dataset_col, "slot")
-    draws = join_small(slots, n, dataset_col).select(
-        dataset_col, "n", "slot", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    draws = draws.withColumn("idx", key(seed, "boot", F.col(dataset_col), F.col("replicate"), F.col("slot")) % F.col("n"))
-    ranges = pat.select(dataset_col, "pattern", "start", F.col("n_p"))
-    hit = join_small(draws, ranges, (draws[dataset_col] == ranges[dataset_col]) & (draws["idx"] >= ranges["start"])
-                     & (draws["idx"] < ranges["start"] + ranges["n_p"]))
-    return hit.groupBy(draws[dataset_col], "replicate", "pattern").agg(F.count(F.lit(1)).cast("bigint").alias("w"))
+    units = packed.select(dataset_col, F.col("pats.n_p").alias("counts"), "n", slots.alias("slots"), reps.alias("reps"))
+    units = units.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1), F.col("reps"))).alias("rep"))
+    units = units.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.col("slots"))).alias("slot"))
+    units = units.repartition(nparts, dataset_col, "rep", "slot")
+    drawn = units.select(dataset_col, "rep", F.size("counts").alias("size"),
+                         F.posexplode(_keyed_draws(replicates, seed)(F.col(dataset_col).cast("string"), "counts", "rep", "reps", "slot", "slots")).alias("at", "w"))
+    sums = drawn.filter("w > 0").groupBy(dataset_col, (F.col("rep") + F.floor(F.col("at") / F.col("size"))).cast("int").alias("replicate"),
+                                         (F.col("at") % F.col("size")).alias("at")).agg(F.sum("w").cast("bigint").alias("w"))
+    names = packed.select(dataset_col, F.posexplode("pats.pattern").alias("at", "pattern"))
+    return join_small(sums, names, [dataset_col, "at"]).select(dataset_col, "replicate", "pattern", "w")
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))

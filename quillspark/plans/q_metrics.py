@@ -9,6 +9,7 @@ from quillspark.functions import key_sql
 from quillspark.operators import metrics as M
 from quillspark.operators import rank, significance as S, stats
 from quillspark.plans.registry import register
+from quillspark.session import cut_lineage
 from quillspark.sources import views
 
 K = ["dataset", "model"]
@@ -268,7 +269,8 @@ def _round_cmp(df):
 @register("compare_adjacent", _cmp_sql("f1"))
 def q_compare_adjacent(spark, sf_dir):
     s = _pred_scores(spark, sf_dir)
-    return _round_cmp(S.compare_adjacent(S.bootstrap_metrics(s), S.full_sample_metrics(s), "f1"))
+    boot = cut_lineage(S.bootstrap_metrics(s))  # read for both models of a pair
+    return _round_cmp(S.compare_adjacent(boot, S.full_sample_metrics(s), "f1"))
 
 
 @register("significance_report", f"SELECT * FROM ({_cmp_sql('f1')}) a UNION ALL SELECT * FROM ({_cmp_sql('accuracy')}) b")
