@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
 from quillspark.functions.normalize import fold_accents
-from quillspark.operators import checks, clean, features, joins, metrics, models, pairs, ppm, profiles, splits
+from quillspark.operators import checks, clean, joins, metrics, models, pairs, ppm, profiles, splits
 from quillspark.operators import significance as sig
 from quillspark.operators.ranking import dense_ids
 from quillspark.session import cut_lineage
@@ -162,9 +162,9 @@ def train_and_score(method: str, train: DataFrame, test: DataFrame, dataset: str
         got = ppm.attribute_by_entropy(h, texts=test, authors=train.filter(F.length("text") > 0))
         return rows(got.join(test.select("text_id", F.col("author_id").alias("label")), "text_id").withColumnRenamed("margin", "prob"), "text_id")
     if method == "ngrams":
-        grams = [cut_lineage(x.select("text_id", "author_id", features.char_ngrams(fold_accents(F.col("text")), 1, 3, lowercase=False).alias("grams"))) for x in (train, test)]
-        vec = models.ngram_vectors(grams[0], "grams", min_df=2.0, sublinear=True)
-        model = models.fit_author_classifier(cut_lineage(vec.transform(grams[0])), "author_id", reg=0.01)
+        grams = [cut_lineage(x.select("text_id", "author_id", fold_accents(F.col("text")).alias("folded"))) for x in (train, test)]
+        vec, vectors = models.fit_ngram_vectors(grams[0], "folded", min_df=2.0, sublinear=True, sizes=(1, 3))
+        model = models.fit_author_classifier(cut_lineage(vectors), "author_id", reg=0.01)
         got = model.transform(vec.transform(grams[1])).withColumn("prob", F.array_max(vector_to_array("probability")))
         return rows(got.withColumn("label", F.col("author_id")).withColumn("pred", F.col("prediction")), "text_id")
     raise ValueError(f"unknown method {method}")
