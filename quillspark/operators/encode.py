@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from quillspark.operators.features import let
 from quillspark.operators.joins import join_small
@@ -11,6 +16,7 @@ from quillspark.operators.joins import join_small
 # Special tokens.
 SOS, EOS, ELB, SLB = "<SOS>", "<EOS>", "<ELB>", "<SLB>"
 UNK, PAD = "<UNK>", "<PAD>"
+ROWS = 256  # texts whose grids are built at once
 
 
 def add_markers(sentences, t_w: int) -> Column:
@@ -61,23 +67,33 @@ def encode_ids(df: DataFrame, vocab: DataFrame, id_col: str, pieces_col: str, ma
                        F.size("__ss").alias("n_sents"))
 
 
-def char_grid(pieces, ids: Column, unk: Column, pad: Column, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> Column:
-    """Character ids of the tokens of sentence pieces as a fixed (max_sents, max_tokens, max_chars) grid.
-
-    ``ids``: map from character to id. Sentences, tokens and characters beyond the grid are cut, what is missing is ``pad``,
-    unknown characters are ``unk``. One expression over the row's arrays; nothing is exploded."""
-    def fill(a, n, empty):
-        return F.concat(a, F.array_repeat(empty, F.lit(n) - F.size(a)))
+def char_grid(pieces: Sequence[Sequence[str] | None], chars: np.ndarray, ids: np.ndarray, unk: int, pad: int, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> pa.Array:
+    """Character ids of the tokens of sentence pieces as fixed (max_sents, max_tokens, max_chars) grids, one a row.
 
-    def token(t):
-        chars = F.slice(F.regexp_extract_all(t, F.lit("(?s)."), 0), 1, max_chars)
-        return fill(F.transform(chars, lambda c: F.coalesce(F.try_element_at(ids, c), unk)), max_chars, pad)
+    ``chars``, ``ids``: code points in order and their ids. Sentences, tokens and characters beyond the grid are cut, what is
+    missing is ``pad``, unknown characters are ``unk``; a null row or piece has no grid."""
+    where, tokens = [], []
+    for r, row in enumerate(pieces):
+        for i, s in enumerate((row or [])[:max_sents]):
+            cut = [] if s is None else s.split(" ")[:max_tokens]
+            at = (r * max_sents + i) * max_tokens
+            where += range(at, at + len(cut))
+            tokens += [t[:max_chars] for t in cut]
+    codes = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.array([len(t) for t in tokens], np.int64)
+    place = np.minimum(np.searchsorted(chars, codes), len(chars) - 1)
+    grid = np.full(len(pieces) * max_sents * max_tokens * max_chars, pad, np.int32)
+    inside = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
+    grid[np.repeat(np.array(where, np.int64), size) * max_chars + inside] = np.where(chars[place] == codes, ids[place], unk)
 
-    def sentence(s):
-        return fill(F.transform(F.slice(F.split(s, " "), 1, max_tokens), token), max_tokens, F.array_repeat(pad, max_chars))
+    def lists(values, n: int, missing=None):
+        at = pa.array(np.arange(0, len(values) + 1, n), pa.int32())
+        return pa.ListArray.from_arrays(at, values, mask=None if missing is None else pa.array(missing))
 
-    p = F.slice(F.col(pieces) if isinstance(pieces, str) else pieces, 1, max_sents)
-    return fill(F.transform(p, sentence), max_sents, F.array_repeat(F.array_repeat(pad, max_chars), max_tokens))
+    none = np.zeros((len(pieces), max_sents), bool)
+    for r, row in enumerate(pieces):
+        none[r, :len(row or [])] = [s is None for s in (row or [])[:max_sents]]
+    return lists(lists(lists(pa.array(grid), max_chars), max_tokens, none.ravel()), max_sents, np.array([row is None for row in pieces]))
 
 
 def grid_lengths(pieces, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> Column:
@@ -90,9 +106,19 @@ def grid_lengths(pieces, max_sents: int = 50, max_tokens: int = 30, max_chars: i
 
 def encode_chars(df: DataFrame, char_vocab: DataFrame, id_col: str, pieces_col: str, max_sents: int = 50, max_tokens: int = 30, max_chars: int = 15) -> DataFrame:
     """(id, chars, n_sents, n_tokens, n_chars). ``char_vocab``: (term, id) of single characters with <UNK> and <PAD>
-    (``rank.build_vocab`` over character counts, at most its top_k rows), sent to the rows as one map."""
-    one = char_vocab.agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("id").cast("int")))).alias("__ids"))
-    d = df.select(id_col, F.col(pieces_col).alias("__p")).crossJoin(F.broadcast(one))
-    ids = F.col("__ids")
-    grid = char_grid("__p", ids, F.element_at(ids, F.lit(UNK)), F.element_at(ids, F.lit(PAD)), max_sents, max_tokens, max_chars)
-    return d.select(id_col, grid.alias("chars"), grid_lengths("__p", max_sents, max_tokens, max_chars).alias("__n")).select(id_col, "chars", "__n.*")
+    (``rank.build_vocab`` over character counts, at most its top_k rows), sent to the tasks as two arrays."""
+    ids = {r.term: r.id for r in char_vocab.select("term", F.col("id").cast("int").alias("id")).collect()}
+    known = sorted((ord(t), i) for t, i in ids.items() if t is not None and len(t) == 1) or [(-1, -1)]
+    sent = df.sparkSession.sparkContext.broadcast([np.array(x, np.int64) for x in zip(*known)])
+    unk, pad = ids[UNK], ids[PAD]
+    source = df.select(id_col, F.col(pieces_col).alias("chars"), grid_lengths(pieces_col, max_sents, max_tokens, max_chars).alias("__n")).select(id_col, "chars", "__n.*")
+    schema = ST.StructType([source.schema[id_col], ST.StructField("chars", ST.ArrayType(ST.ArrayType(ST.ArrayType(ST.IntegerType())))), *source.schema.fields[2:]])
+
+    def part(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(lo, ROWS)
+                grid = char_grid(rows.column(1).to_pylist(), *sent.value, unk, pad, max_sents, max_tokens, max_chars)
+                yield pa.RecordBatch.from_arrays([rows.column(0), grid, *rows.columns[2:]], names=schema.names)
+
+    return source.mapInArrow(part, schema)

@@ -9,6 +9,7 @@ from quillspark.functions import text as T
 from quillspark.operators import encode, rank, stats, windows
 from quillspark.operators import features as H
 from quillspark.plans.registry import register
+from quillspark.session import cut_lineage
 from quillspark.sources import views
 
 
@@ -135,7 +136,9 @@ def _cells(x):
       md5(array_to_string(flatten(flatten(g)), ',')) AS cells FROM c""")
 def q_encode_chars(spark, sf_dir):
     """The character grid of every text, all cells, and the true lengths."""
-    d = _docs(spark, sf_dir).select("doc_id", encode.add_markers(T.tokenized_sentences("text"), T_W).alias("pieces"))
+    d = H.by_id(_docs(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    # the pieces are read several times
+    d = cut_lineage(d.select("doc_id", encode.add_markers(T.tokenized_sentences("text"), T_W).alias("pieces")))
     e = encode.encode_chars(d, _char_vocab(spark, sf_dir), "doc_id", "pieces", *_GRID)
 
     def total(a):
