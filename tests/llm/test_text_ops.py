@@ -45,6 +45,26 @@ def test_encode_texts_odd_rows(odd, none, codec):
     assert sp_codec.encode_texts(none, MODEL).count() == 0
 
 
+def test_every_text_is_checked(spark, monkeypatch):
+    """Wrong ids of any text raise, not only those of a slice's shortest one."""
+    import pyarrow as pa
+    codec, kept = sp_codec.PieceCodec(open(MODEL, "rb").read()), []
+    right = codec.encode
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: kept.append(run))
+    monkeypatch.setattr(sp_codec, "_codec", lambda model: codec)
+    sp_codec.encode_texts(df, MODEL)
+    texts = ["short", None, "", "a text of some more words", "the longest text of all of them, by far"]
+
+    def batches():
+        yield pa.record_batch([pa.array(range(5)), pa.array(texts), pa.array(texts)], names=["doc_id", "text", "__text"])
+    assert sum(len(b) for b in kept[0](batches())) == 5
+    for wrong in filter(None, texts):
+        monkeypatch.setattr(codec, "encode", lambda some: [[5, *ids] if t == wrong else ids for t, ids in zip(some, right(some))])
+        with pytest.raises(ValueError, match="differ"):
+            list(kept[0](batches()))
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
