@@ -74,3 +74,31 @@ def test_grids_of_null_pieces(spark):
     df = spark.createDataFrame([(1, ["a b", None]), (2, None), (3, [""])], "doc_id long, pieces array<string>")
     e = encode.encode_chars(df, vocab, "doc_id", "pieces", 2, 2, 1)
     assert {r.doc_id: r.chars for r in e.collect()} == {1: [[[7], [1]], None], 2: None, 3: [[[0], [0]], [[0], [0]]]}
+
+
+def test_counts_are_packed(spark):
+    """Places and counts come back as they were, in far fewer bytes than two lists of integers."""
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 700):
+        f, n = np.sort(rng.choice(60_000, size, False)), rng.integers(1, 400 if size == 2 else 4, size)
+        data = ngrams.pack_counts(f, n)
+        back = ngrams.unpack_counts(data)
+        assert back[0].tolist() == f.tolist() and back[1].tolist() == n.tolist()
+    assert len(data) < 3 * 700
+    first, f, n = ngrams.flat_counts([None, data, b""])
+    assert first.tolist() == [0, 0, 700, 700] and len(f) == len(n) == 700
+
+
+def test_a_setting_joins_and_writes_nothing(spark, monkeypatch):
+    """Counts of a search lie in the rows of their texts: no join and no written vectors for a setting."""
+    rows = [(i, i % 2, "train" if i % 3 else "test", f"{'ab' if i % 2 else 'xy'}{i}") for i in range(30)]
+    for more in ([], [(4, 0, "train", "again"), (None, 1, "train", "no id")]):
+        df = spark.createDataFrame(rows + more, "text_id long, author_id long, part string, text string")
+        space = {"n_max": (1, 2), "max_features": (9, 40), "min_df": (1, 2), "sublinear": (0, 1), "reg": ("log", 1e-3, 1.0)}
+        shared = search.NgramSearch(df, "text", 2, space=space)
+        with monkeypatch.context() as m:
+            m.setattr(search, "cut_lineage", None)
+            table, _ = shared.features(2, 40, 1, True)
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and "Exchange" not in plan
+            assert shared.score({"n_max": 2, "max_features": 40, "min_df": 1, "sublinear": 1, "reg": 0.01}, 1.0) > 0.5
